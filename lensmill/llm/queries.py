@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from lensmill.llm import curriculum, preference, quality_ledger, url_cascade
+from lensmill.llm import byte_bpe, curriculum, media_columns, preference, quality_ledger, url_cascade, warc_dict
 
 _ALL = {
     "op1_preference_format": preference,
+    "op3_warc_dictionary": warc_dict,
+    "op4_byte_bpe": byte_bpe,
     "op6_url_bloom_cascade": url_cascade,
+    "op7_media_columns": media_columns,
     "op8_curriculum_mix": curriculum,
     "op9_rule_bitmask_ledger": quality_ledger,
 }
