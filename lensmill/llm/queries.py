@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lensmill.llm import byte_bpe, curriculum, media_columns, preference, quality_ledger, url_cascade, warc_dict
+from lensmill.llm import byte_bpe, curriculum, jaccard_join, media_columns, preference, quality_ledger, url_cascade, warc_dict
 
 _ALL = {
     "op1_preference_format": preference,
@@ -12,6 +12,7 @@ _ALL = {
     "op7_media_columns": media_columns,
     "op8_curriculum_mix": curriculum,
     "op9_rule_bitmask_ledger": quality_ledger,
+    "op10_ngram_jaccard": jaccard_join,
 }
 
 
