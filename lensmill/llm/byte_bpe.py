@@ -25,7 +25,7 @@ import hashlib
 import os
 import sys
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,7 @@ from lensmill.llm.common import text_or_empty
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE_BYTES = 1 << 20
+PIECES = 500_000
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -56,10 +57,15 @@ def byte_characters() -> list[str]:
 
 
 class ByteBPE:
-    """Ranks, the tokenizer built from them, and the reversed byte table."""
+    """Ranks, the tokenizer built from them, and the reversed byte table.
+
+    Texts are cut by the pattern, and each piece goes through the tokenizer once as long as it is remembered: a bounded
+    memory of pieces and their ids spares most of the work, as texts repeat their words.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+        import regex
+        from tokenizers import Tokenizer, models
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         to_char = byte_characters()
@@ -69,9 +75,11 @@ class ByteBPE:
             splits = [(token[:i], token[i:]) for i in range(1, len(token))]
             merges += [(rank, ranks[a], ranks[b], a, b) for a, b in splits if a in ranks and b in ranks]
         merges.sort(key=lambda m: m[:3])
-        model = models.BPE(vocab={spell(t): r for t, r in ranks.items()}, merges=[(spell(a), spell(b)) for *_, a, b in merges], ignore_merges=True, cache_capacity=1 << 17)
+        model = models.BPE(vocab={spell(t): r for t, r in ranks.items()}, merges=[(spell(a), spell(b)) for *_, a, b in merges], ignore_merges=True)
         self.tokenizer = Tokenizer(model)
-        self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.spelling = str.maketrans({chr(b): c for b, c in enumerate(to_char)})
+        self.split = regex.compile(pattern).findall
+        self.known: dict[str, bytes] = {}
         from_char = {c: b for b, c in enumerate(to_char)}
         vocab = self.tokenizer.get_vocab()
         self.token_bytes: list[bytes] = [b""] * (max(vocab.values()) + 1)
@@ -80,8 +88,15 @@ class ByteBPE:
         self.lengths = np.array([len(t) for t in self.token_bytes], dtype=np.int64)
 
     @staticmethod
-    @lru_cache(maxsize=4)
     def from_file(path: str, pattern: str) -> ByteBPE:
+        """One for each Python process: a worker that is used again keeps its tables and its pieces."""
+        kept = sys.__dict__.setdefault("_lensmill_byte_bpe", {})
+        if (path, pattern) not in kept:
+            kept[path, pattern] = ByteBPE.read(path, pattern)
+        return kept[path, pattern]
+
+    @staticmethod
+    def read(path: str, pattern: str) -> ByteBPE:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in f if line.strip())}
         return ByteBPE(ranks, pattern)
@@ -98,8 +113,17 @@ class ByteBPE:
         yield from self._encode(part)
 
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else ():
-            yield np.array(e.ids, dtype=np.uint32)
+        cut = [self.split(t) for t in texts]
+        if len(self.known) > PIECES:
+            self.known.clear()
+        known = self.known
+        fresh = {p for pieces in cut for p in pieces if p not in known}
+        tokens = self.tokenizer.model.tokenize
+        for p in fresh:
+            spelled = p.encode().decode("latin-1").translate(self.spelling)
+            known[p] = np.array([t.id for t in tokens(spelled)], dtype=np.uint32).tobytes()
+        for pieces in cut:
+            yield np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype=np.uint32)
 
     def offsets(self, ids: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(byte starts, first character, end character, whether a character is split) of each token of ``data``."""
