@@ -37,8 +37,8 @@ from lensmill.llm.common import scratch, text_or_empty
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SKIPPABLE = 0x184D2A5D
-FILE_BYTES = 32 << 20
-SAMPLE_BYTES = 4 << 20
+FILE_BYTES = 12 << 20
+SAMPLE_BYTES = 2 << 20
 DICT_BYTES = 112 << 10
 LEVEL = 3
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -129,14 +129,27 @@ def read_archive(data: bytes) -> Iterator[bytes]:
         raise ValueError("no dictionary frame")
     packed = data[8 : 8 + n]
     d = z.ZstdDecompressor(dict_data=z.ZstdCompressionDict(z.ZstdDecompressor().decompress(packed))) if n else z.ZstdDecompressor()
-    rest = memoryview(data)[8 + n :]
-    while len(rest):
-        one = d.decompressobj()
-        out = one.decompress(rest)
-        if not one.eof:
+    at, whole = 8 + n, memoryview(data)
+    while at < len(data):
+        end = frame_end(data, at)
+        yield d.decompress(whole[at:end])
+        at = end
+
+
+def frame_end(data: bytes, at: int) -> int:
+    """Where the Zstandard frame that begins at ``at`` ends: its block headers say how long they are."""
+    import zstandard as z
+
+    head = data[at : at + 18]
+    checksum = z.get_frame_parameters(head).has_checksum
+    at += z.frame_header_size(head)
+    while True:
+        block = int.from_bytes(data[at : at + 3], "little")
+        at += 3 + (1 if block >> 1 & 3 == 1 else block >> 3)
+        if at > len(data):
             raise ValueError("frame is cut")
-        yield out
-        rest = rest[len(rest) - len(one.unused_data) :]
+        if block & 1:
+            return at + 4 * checksum
 
 
 def _open(path: str):
@@ -182,7 +195,7 @@ def write(pages: DataFrame, to: str, min_revisit_bytes: int = 0) -> DataFrame:
             return row
 
         for batch in batches:
-            columns = [batch.column(i) for i in range(batch.num_columns)]
+            columns = batch.columns
             for i in range(batch.num_rows):
                 page, url, payload, sha1, refers, revisit = (c[i].as_py() for c in columns)
                 held.append(record(page, url, payload, digest_base32(bytes.fromhex(sha1)), refers, revisit))
