@@ -227,6 +227,13 @@ def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None
     return docs.select("doc_id", text_or_empty("text").cast("binary").alias("data")).mapInArrow(run, schema)
 
 
+def tokens_and_digests(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Pipeline form: doc_id, source, ids, n_tokens and decoded_sha256, the digest of what the ids decode to."""
+    narrow = docs.select("doc_id", "source", "text")
+    back = decode(encode(narrow, "text", path, pattern).drop("offsets", "text"), "ids", "_back", path, pattern)
+    return back.select("doc_id", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("_back", 256).alias("decoded_sha256"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lensmill.llm.common import table
 

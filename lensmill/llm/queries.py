@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lensmill.llm import byte_bpe, curriculum, jaccard_join, line_dedup, media_columns, preference, quality_ledger, url_cascade, warc_dict
+from lensmill.llm import byte_bpe, curriculum, jaccard_join, line_dedup, media_columns, preference, quality_ledger, surrogates, url_cascade, warc_dict
 
 _ALL = {
     "op1_preference_format": preference,
+    "op2_pii_surrogates": surrogates,
     "op3_warc_dictionary": warc_dict,
     "op4_byte_bpe": byte_bpe,
     "op5_line_dedup": line_dedup,
