@@ -22,7 +22,7 @@ def _names(body: str) -> tuple[str, ...]:
 
 def to_spark(body: str) -> str:
     # a number with a point is a double, not a decimal
-    return re.sub(r"(?<![\w.])(\d+\.\d+)(?![\w.])", r"\1D", re.sub(r"\bPCT\(", "percentile(", body))
+    return re.sub(r"(?<![\w.])(\d+\.\d+)(?![\w.])", r"\1D", re.sub(r"\bsha256\((.*?)\)", r"sha2(\1, 256)", re.sub(r"\bPCT\(", "percentile(", body)))
 
 
 def to_sql(body: str) -> str:

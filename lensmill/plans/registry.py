@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 _FOUND: dict[str, Query] = {}
-MODULES: tuple[str, ...] = ("q_text", "q_rules", "q_scores", "q_stats", "q_relate")
+MODULES: tuple[str, ...] = ("q_text", "q_rules", "q_scores", "q_stats", "q_relate", "q_vectors", "q_io")
 
 
 @dataclass(frozen=True)
