@@ -12,14 +12,16 @@ difference changes it); designated segments (``q`` of them: none or all, for eac
 neighbourhood, which survives one difference. If the non-empty segments plus the designated ones with two tokens or more number at least H + 1, a linked
 partner must share a key. m and q are chosen for each group by cost: the fewest keys a set at a failure probability
 that is negligible; whether a set really falls short is counted exactly, and a group with one gets more segments until
-none does. Sets of sizes that allow no difference need no keys: their classes are their links.
+none does. Of these keys a set needs only H + 1; those that no other class has come first, then the rarest (by the
+exact number of classes with a key), so keys that many documents share are left out unless a set has little else.
+Sets of sizes that allow no difference need no keys: their classes are their links.
 
 Verification is exact, on the words themselves: candidates meet the texts of their classes' first documents, the centre
-of a star once for each chunk of partners.
+of a star once for each chunk of partners. A sketch of parities bounds the difference of two sets from below.
 
 Hot groups. Copies fall into one class before anything is paired. In a run of many classes with one key only the pairs
 with its first member are taken first; links and components follow, and only members of a run that are still in
-different components are paired with each other. So near copies in a group of k cost k pairs, and no link is lost.
+different components are compared with each other, in blocks, by size and sketch. So near copies in a group of k cost k pairs, and no link is lost.
 Classes are known by 64-bit hashes; two sets with the same one are detected, and everything starts again with another
 seed.
 
@@ -40,15 +42,18 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lensmill.llm.common import materialize, text_or_empty
+from lensmill.llm.common import bounded_batches, materialize, text_or_empty, tidy
 from lensmill.llm.components import components
-from lensmill.llm.packing import Packer, U, WordHashes, bitmap, bucket_count, by_bucket, in_bitmap, mix, packed_schema, spot
+from lensmill.llm.packing import KeyPacker, Packer, U, bitmap, bucket_count, by_bucket, in_bitmap, mix, packed_schema, spot, word_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHINGLE, NUM, DEN = 5, 80, 100
 SMALL_RUN = 8
 CHUNK = 256
+SKETCH_BITS = 1024
+BLOCK = 2048
+LOWEST = 16
 TAIL = 1e-12
 WEAK = 4
 STEP, SEG, GROUP = U(0x9FB21C651E98DF25), U(0xD6E8FEB86659FD93), U(0xA0761D6478BD642F)
@@ -123,24 +128,40 @@ def allocate(lo: int, hi: int, num: int, den: int, more: int = 0) -> tuple[int,
     return h, m, m if q else 0
 
 
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
 class Sets:
     """The shingle hashes of documents."""
 
     def __init__(self, n: int, seed: int = 0):
-        self.n, self.seed, self.words = n, U(seed), WordHashes()
-
-    def of(self, data: bytes) -> np.ndarray:
-        words = data.lower().split()  # bytes: ASCII letters and ASCII white space only
-        if not words:
+        self.n, self.seed = n, U(seed)
+
+    def of_all(self, docs: list[bytes]) -> list[np.ndarray]:
+        """The distinct shingles of each document; A-Z are lower-cased, words are cut at ASCII white space."""
+        buf = LOWER[np.frombuffer(b"\n".join(docs), dtype=np.uint8)]
+        w, start = word_hashes(buf)
+        ends = np.cumsum([len(d) + 1 for d in docs])
+        cut = np.concatenate(([0], np.searchsorted(start, ends)))  # the first word of each document
+        shingles = self._shingles(w, self.n)
+        out = []
+        for a, b in zip(cut, cut[1:], strict=False):
+            if b - a >= self.n:
+                out.append(np.unique(shingles[a : b - self.n + 1]))
+            else:
+                out.append(self._shingles(w[a:b], int(b - a)) if b > a else np.zeros(0, dtype=np.uint64))
+        return out
+
+    def _shingles(self, w: np.ndarray, n: int) -> np.ndarray:
+        if len(w) < n:
             return np.zeros(0, dtype=np.uint64)
-        w = self.words.of(words)
-        n = min(self.n, len(w))
         with np.errstate(over="ignore"):
             h = np.full(len(w) - n + 1, U(n), dtype=np.uint64)
             for i in range(n):
                 h = (h ^ w[i : len(w) - n + 1 + i]) * STEP
                 h ^= h >> U(29)
-            return np.unique(mix(h))
+            return mix(h)
 
     def class_of(self, u: np.ndarray) -> tuple[int, int]:
         """Two independent hashes of a set, as signed numbers."""
@@ -150,6 +171,12 @@ class Sets:
         return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
+def sketch(u: np.ndarray) -> bytes:
+    """Parities of the tokens in ``SKETCH_BITS`` hashed cells: two sets differ in at least as many tokens as cells."""
+    cells = np.bincount((mix(u ^ U(0x3C79AC492BA7B653)) >> U(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((cells & 1).astype(np.uint8)).tobytes()
+
+
 def band_of(size: int, cuts: list[int]) -> int:
     import bisect
 
@@ -214,6 +241,7 @@ class Plan:
 
 
 def _documents(docs: DataFrame, text: str) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     return docs.select("doc_id", text_or_empty(text).cast("binary").alias("data"))
 
 
@@ -222,60 +250,119 @@ def _slices(batch: pa.RecordBatch, size: int = 512) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, size)
 
 
-def describe(docs: DataFrame, n: int, plan: Plan, text: str = "text", seed: int = 0) -> DataFrame:
-    """doc_id, n_shingles, c1, c2 and ``short``: the groups in which the set has too few segments."""
-    schema = "doc_id bigint, n_shingles bigint, c1 bigint, c2 bigint, short array<int>"
+def describe(docs: DataFrame, n: int, text: str = "text", seed: int = 0) -> DataFrame:
+    """doc_id, n_shingles, the class hashes c1, c2 and the sketch."""
+    names = ["doc_id", "n_shingles", "c1", "c2", "sketch"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Sets(n, seed)
         for batch in batches:
-            for part in _slices(batch):
-                found = [sets.of(b.as_py()) for b in part.column(1)]
-                keys = [sets.class_of(u) for u in found]
-                short: list[list[int]] = [[] for _ in found]
-                index, g, m, q, h = plan.entries(found)
-                if index:
-                    weight = segment_keys([found[i] for i in index], g, m, q, want_keys=False)[2]
-                    for j in np.flatnonzero(weight < h + 1):
-                        short[index[j]].append(int(g[j]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(u) for u in found], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(short, pa.list_(pa.int32()))],
-                    names=["doc_id", "n_shingles", "c1", "c2", "short"],
-                )
+            rows = []
+            for u in sets.of_all([b.as_py() for b in batch.column(1)]):
+                rows.append((len(u), *sets.class_of(u), sketch(u)))
+            if rows:
+                columns = zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in columns)], names=names)
+
+    return _documents(docs, text).mapInArrow(tidy(run), "doc_id bigint, n_shingles bigint, c1 bigint, c2 bigint, sketch binary")
 
-    return _documents(docs, text).mapInArrow(run, schema)
+
+#: In a posting's last field: this group has a set with too few segments. As a key: the same, later.
+SHORT, SHORT_KEY = 0xFFFFFFFF, (1 << 64) - 1
+POSTING = [np.uint32, np.int64, np.uint32]
 
 
 def postings(docs: DataFrame, n: int, plan: Plan, text: str = "text", seed: int = 0) -> DataFrame:
-    """Packed (key, class): every class of a task once."""
+    """Packed (key, class, group and spare segments): every class of a task once.
+
+    Spare: how many of a set's non-empty segments it could do without, N - H - 1; 0 in groups with one-deletion keys.
+    """
     buckets = bucket_count(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, packer, seen = Sets(n, seed), Packer(buckets), set()
+        sets, packer, seen = Sets(n, seed), KeyPacker(buckets), set()
         for batch in batches:
             for part in _slices(batch):
                 fresh, ids = [], []
-                for b in part.column(1):
-                    u = sets.of(b.as_py())
+                for u in sets.of_all([b.as_py() for b in part.column(1)]):
                     if len(u) and (c := sets.class_of(u)[0]) not in seen:
                         if len(seen) >= 1_000_000:
                             seen.clear()
                         seen.add(c)
                         fresh.append(u)
                         ids.append(c)
-                index, g, m, q, _ = plan.entries(fresh)
+                index, g, m, q, h = plan.entries(fresh)
                 if index:
-                    keys, owner, _ = segment_keys([fresh[i] for i in index], g, m, q)
-                    packer.add(keys, np.array(ids, dtype=np.int64)[np.array(index)][owner])
+                    keys, owner, weight = segment_keys([fresh[i] for i in index], g, m, q)
+                    spare = np.minimum(np.where(q > 0, 0, np.maximum(weight - h - 1, 0)), (1 << 24) - 1)
+                    tag = (g.astype(np.uint32) << np.uint32(24)) | spare.astype(np.uint32)
+                    packer.add(keys, np.array(ids, dtype=np.int64)[np.array(index)][owner], tag[owner])
+                    if len(bad := np.unique(g[weight < h + 1])):
+                        packer.add(mix(bad.astype(np.uint64)), bad.astype(np.int64), np.full(len(bad), SHORT, np.uint32))
                 if packer.full():
                     yield from packer.flush()
         yield from packer.flush()
 
-    return _documents(docs, text).mapInArrow(run, packed_schema(2))
+    return _documents(docs, text).mapInArrow(tidy(run), packed_schema(3))
+
+
+def shared_keys(packed: DataFrame, buckets: int) -> DataFrame:
+    """Of the postings, those whose key another class has too: packed (class, key, classes with the key, tag)."""
+
+    def process(out: Packer, bucket: int, key, cls, tag) -> None:
+        short = tag == SHORT
+        if short.any():
+            g = np.unique(cls[short])
+            out.add(g.astype(np.uint64), np.full(len(g), SHORT_KEY, np.uint64), np.zeros(len(g), np.uint32), np.full(len(g), SHORT, np.uint32))
+            key, cls, tag = key[~short], cls[~short], tag[~short]
+        order = np.lexsort((tag, cls, key))
+        key, cls, tag = key[order], cls[order], tag[order]
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
+        key, cls, tag = key[new], cls[new], tag[new]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.append(first, len(key)))
+        often = np.repeat(size, size)
+        many = often > 1
+        whole = (np.uint64(bucket) << U(32)) | key[many].astype(np.uint64)
+        out.add(cls[many].astype(np.uint64), whole, often[many].astype(np.uint32), tag[many])
+
+    return by_bucket(packed, POSTING, process, packed_schema(4), repack=buckets)
+
+
+def rarest_keys(shared: DataFrame, buckets: int) -> DataFrame:
+    """Of each set and group the keys it needs: packed (key, class).
+
+    A linked partner differs in at most H segments, so of any H + 1 one is the same. Segments nobody else has come
+    first and match nobody; of the shared ones, in order of rarity, only as many are needed as fill up H + 1.
+    """
+
+    def process(out: Packer, _: int, cls, key, often, tag) -> None:
+        short = tag == SHORT
+        if short.any():
+            out.add(np.full(int(short.sum()), SHORT_KEY, np.uint64), cls[short].astype(np.int64))
+            cls, key, often, tag = cls[~short], key[~short], often[~short], tag[~short]
+        group, spare = tag >> np.uint32(24), (tag & np.uint32(0xFFFFFF)).astype(np.int64)
+        order = np.lexsort((key, often, group, cls))
+        cls, key, group, spare = cls[order], key[order], group[order], spare[order]
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (cls[1:] != cls[:-1]) | (group[1:] != group[:-1])
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(key)))
+        rank = np.arange(len(key)) - np.repeat(first, size)
+        keep = rank < np.repeat(size, size) - spare
+        out.add(key[keep], cls[keep].astype(np.int64))
+
+    return by_bucket(shared, [np.uint64, np.uint64, np.uint32, np.uint32], process, packed_schema(2), repack=buckets)
 
 
 def _runs(keys: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """kind 0: candidate pairs (a, b); kind 1: members (run a, class b) of runs that are too long to pair."""
+    """kind 0: candidate pairs (a, b); 1: members (run a, class b) of runs that are too long to pair; 2: groups (a) cut too coarsely."""
+    short = keys == SHORT_KEY
+    if short.any():
+        g = np.unique(ids[short])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), 2, np.int32)), pa.array(g), pa.array(g)], names=["kind", "a", "b"])
+        keys, ids = keys[~short], ids[~short]
     order = np.lexsort((ids, keys))
     k, i = keys[order], ids[order]
     new = np.ones(len(k), dtype=bool)
@@ -332,11 +419,11 @@ def texts_of(docs: DataFrame, classes: DataFrame, n: int, text: str = "text", se
         sets = Sets(n, seed)
         for batch in batches:
             part = batch.filter(pa.array(in_bitmap(bits, batch.column(2).to_numpy())))
-            ids = [sets.class_of(sets.of(b.as_py()))[0] for b in part.column(1)]
+            ids = [sets.class_of(u)[0] for u in sets.of_all([b.as_py() for b in part.column(1)])]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), part.column(1)], names=["class", "data"])
 
     found = docs.select("doc_id", text_or_empty(text).cast("binary").alias("data"), spot("doc_id").alias("spot"))
-    found = found.mapInArrow(run, "class bigint, data binary")
+    found = found.mapInArrow(tidy(run), "class bigint, data binary")
     one = found.join(classes.select("class"), "class").groupBy("class").agg(F.min("data").alias("data"))
     return materialize(one, "texts")
 
@@ -363,7 +450,64 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
 
     dealt = both.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-    return materialize(dealt.mapInArrow(run, "a bigint, b bigint"), "links")
+    return materialize(dealt.mapInArrow(tidy(run), "a bigint, b bigint"), "links")
+
+
+def block_pairs(members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of members (run, class, root) of one run with different roots that may be linked.
+
+    A run is cut into blocks of about ``BLOCK`` members and every two blocks meet in one task, which compares sizes and
+    sketches and gives out only pairs that these do not rule out.
+    """
+    blocks = members.groupBy("run").agg(F.ceil(F.count("*") / BLOCK).cast("bigint").alias("blocks"))
+    # a pair that shares several runs is given out in the first one only, as far as the lowest runs of both tell
+    lowest = members.groupBy("class").agg(F.slice(F.sort_array(F.collect_set("run")), 1, LOWEST).alias("low"))
+    rows = members.join(blocks, "run").join(classes.select("class", "n", "sketch"), "class").join(lowest, "class")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    met = rows.select("run", "class", "root", "n", "sketch", "low", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = met.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+
+    def compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(held)
+        cls, root, n, own = (t.column(c).to_numpy() for c in ("class", "root", "n", "own"))
+        bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(cls), -1)
+        lo, hi = t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
+        left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+        here = t.column("run")[0].as_py()
+        low = [{r for r in x if r < here} for x in t.column("low").to_pylist()]
+        a, b = [], []
+        for x in left:
+            y = right[(root[right] != root[x]) & (n[right] * den >= n[x] * num) & (n[right] * num <= n[x] * den)]
+            if lo == hi:
+                y = y[cls[y] > cls[x]]
+            far = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            y = y[far * (den + num) <= (den - num) * (n[y] + n[x])]
+            if low[x]:
+                y = y[[low[x].isdisjoint(low[j]) for j in y]] if len(y) else y
+            if len(y):
+                a.append(np.minimum(cls[y], cls[x]))
+                b.append(np.maximum(cls[y], cls[x]))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            keys = np.column_stack([batch.column(c).to_numpy() for c in ("run", "lo", "hi")])
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
+            for s, e in zip(cuts, cuts[1:], strict=False):
+                if s == e:
+                    continue
+                if last is not None and tuple(keys[s]) != last:
+                    yield from compare(held)
+                    held = []
+                last = tuple(keys[s])
+                held.append(batch.slice(s, e - s))
+        if held:
+            yield from compare(held)
+
+    return met.repartition("run", "lo", "hi").sortWithinPartitions("run", "lo", "hi").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, text: str = "text") -> DataFrame:
@@ -371,18 +515,21 @@ def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, t
     spark: SparkSession = docs.sparkSession
     wider: dict[int, int] = {}
     seed = 0
+    buckets = bucket_count(spark)
     while True:
-        plan = Plan(num, den, wider)
-        found = materialize(describe(docs, n, plan, text, seed), "sets")
-        classes = found.filter("n_shingles > 0").groupBy(F.col("c1").alias("class")).agg(F.min("doc_id").alias("rep"), F.min("c2").alias("x"), F.max("c2").alias("y"))
+        found = materialize(describe(docs, n, text, seed), "sets")
+        classes = found.filter("n_shingles > 0").groupBy(F.col("c1").alias("class")).agg(F.min("doc_id").alias("rep"), F.min("c2").alias("x"), F.max("c2").alias("y"), F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch"))
         classes = materialize(classes, "classes")
-        short = [r["g"] for r in found.select(F.explode("short").alias("g")).distinct().collect()]  # at most one for each band
-        twins = not classes.filter("x <> y").isEmpty()
-        if not short and not twins:
+        if classes.filter("x <> y").isEmpty():
+            break
+        seed += 1
+    while True:
+        packed = rarest_keys(shared_keys(postings(docs, n, Plan(num, den, wider), text, seed), buckets), buckets)
+        runs = materialize(by_bucket(packed, [np.uint64, np.int64], _runs, "kind int, a bigint, b bigint"), "runs")
+        short = [r["a"] for r in runs.filter("kind = 2").select("a").distinct().collect()]  # at most one for each band
+        if not short:
             break
-        wider |= {g: wider.get(g, 0) + 1 for g in short}
-        seed += twins
-    runs = materialize(by_bucket(postings(docs, n, plan, text, seed), [np.uint64, np.int64], _runs, "kind int, a bigint, b bigint"), "runs")
+        wider = wider | {g: wider.get(g, 0) + 1 for g in short}
     pairs = materialize(runs.filter("kind = 0").select("a", "b").distinct(), "pairs")
     members = runs.filter("kind = 1").select(F.col("a").alias("run"), F.col("b").alias("class")).distinct()
     named = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(members.select("class")).distinct()
@@ -396,8 +543,7 @@ def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, t
         placed = materialize(placed.join(split, "run"), "split")
         if placed.isEmpty():
             break
-        left, right = placed.toDF("run", "a", "ra"), placed.toDF("run", "b", "rb")
-        rest = left.join(right, "run").filter("a < b AND ra <> rb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+        rest = block_pairs(placed.select("run", "class", "root"), classes, num, den).distinct().join(pairs, ["a", "b"], "left_anti")
         rest = materialize(rest, "pairs")
         if rest.isEmpty():
             break

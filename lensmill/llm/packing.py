@@ -16,10 +16,11 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lensmill.llm.common import bounded_batches, tidy
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FLUSH = 1_000_000
-CACHE = 400_000
+FLUSH = 300_000
 #: Size of a membership bitmap (``bitmap``): fixed, whatever the input.
 BITMAP_BITS = 1 << 23
 
@@ -34,23 +35,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash; forgets everything when it is full, so its memory is bounded."""
-
-    def __missing__(self, word: bytes) -> int:
+LONG_WORD = 256
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
+
+
+def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash, first byte) of every word of a byte array; words are cut at ASCII white space.
+
+    All words advance together, eight bytes at a time; the few very long ones are hashed one by one.
+    """
+    blank = (buf == 32) | ((buf >= 9) & (buf <= 13))
+    inside = ~blank
+    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    size = end - start
+    out = size.astype(np.uint64) * GOLD
+    padded = np.concatenate((buf, np.zeros(16, np.uint8)))
+    eights = np.lib.stride_tricks.as_strided(padded, shape=(len(buf) + 8, 8), strides=(1, 1))
+    with np.errstate(over="ignore"):
+        at = np.flatnonzero(size <= LONG_WORD)
+        pos, rest = start[at], size[at]
+        while len(at):
+            piece = np.ascontiguousarray(eights[pos]).view(np.uint64)[:, 0] & _MASKS[np.minimum(rest, 8)]
+            out[at] = mix((out[at] ^ piece) * GOLD)
+            more = rest > 8
+            at, pos, rest = at[more], pos[more] + 8, rest[more] - 8
+    for i in np.flatnonzero(size > LONG_WORD):
         from xxhash import xxh64_intdigest
 
-        if len(self) >= CACHE:
-            self.clear()
-        h = self[word] = xxh64_intdigest(word, 7)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+        out[i] = xxh64_intdigest(buf[start[i] : end[i]].tobytes(), 7)
+    return out, start
 
 
 def bucket_count(spark: SparkSession) -> int:
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 class Packer:
@@ -86,19 +104,39 @@ def packed_schema(n: int) -> str:
     return ", ".join(["bucket int", *(f"c{i} binary" for i in range(n))])
 
 
-def by_bucket(packed: DataFrame, dtypes: list, process: Callable[..., Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """Deal packed rows by bucket and run ``process(*arrays)`` on each bucket's arrays."""
+class KeyPacker(Packer):
+    """Keeps 32 bits of the key: the bucket stands for others, and equal keys stay equal."""
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        for batch in super().flush():
+            keys = [(np.frombuffer(k, dtype=np.uint64) & U(0xFFFFFFFF)).astype(np.uint32).tobytes() for k in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), *batch.columns[2:]], names=batch.schema.names)
+
+
+def by_bucket(packed: DataFrame, dtypes: list, process: Callable[..., Iterable[pa.RecordBatch]], schema: str, repack: int = 0) -> DataFrame:
+    """Deal packed rows by bucket and run ``process(*arrays)`` on each bucket's arrays.
+
+    With ``repack``, a number of buckets, ``process(packer, bucket, *arrays)`` adds its postings to a packer that the
+    buckets of a task share, so that a task gives out a row for each of those buckets and flush.
+    """
+    bounded_batches(packed.sparkSession)
     n = len(dtypes)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[bytes]] = [[] for _ in range(n)]
         current = None
+        packer = Packer(repack) if repack else None
 
         def done() -> Iterator[pa.RecordBatch]:
             arrays = [np.frombuffer(b"".join(h), dtype=t) for h, t in zip(held, dtypes, strict=True)]
             for h in held:
                 h.clear()
-            yield from process(*arrays)
+            if packer is None:
+                yield from process(*arrays)
+            else:
+                process(packer, current, *arrays)
+                if packer.full():
+                    yield from packer.flush()
 
         for batch in batches:
             buckets = batch.column(0).to_pylist()
@@ -110,8 +148,10 @@ def by_bucket(packed: DataFrame, dtypes: list, process: Callable[..., Iterable[p
                     held[k].append(batch.column(k + 1)[i].as_py())
         if current is not None:
             yield from done()
+        if packer is not None:
+            yield from packer.flush()
 
-    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(run), schema)
 
 
 def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
