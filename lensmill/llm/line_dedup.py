@@ -5,16 +5,17 @@ a Jaccard similarity of at least ``num`` / ``den`` with it, whether or not that
 group always stays.
 
 Order of tokens: by rarity, counted over all lines in ``BUCKETS`` hashed counters (a fixed size; any order gives right
-results, a rarer one fewer candidates), then by hash.
+results, a rarer one fewer candidates), then by hash. Tokens are known by 44 bits, sets by 128.
 Prefix filter: similar sets share a token among the first n - ceil(n num/den) + 1 of either; tokens that occur once in
 the corpus cannot match and are left out.
-Length and positional filters: sizes within num/den, and enough tokens left after the shared position. A 64-bit parity
+Length and positional filters: sizes within num/den, and enough tokens left after the shared position. A 128-bit parity
 sketch of each set then bounds the symmetric difference from below and drops nearly all other chance candidates.
 Verification is exact, on the lines' words.
 
 Equal sets first: a task posts each of its sets once, with its first place; the tasks' places meet in the run of any of
 its tokens, and an exact stage finds the copies, so a line that a third of all documents share is one posting a task.
-Near copies: a later line keeps its ``NEAREST`` likeliest earlier partners of a run. Lines that had more and are not
+Near copies: a later line takes its ``NEAREST`` likeliest earlier partners of a run. The ``FIRST`` of them are
+verified first, the others for lines that these do not decide. Lines that had still more and are not
 decided by those are looked at again with all of their partners, until nothing is left: no partner is dropped.
 
 Recovery: all stages are plain jobs with results in the shared folder.
@@ -33,155 +34,202 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lensmill.llm.common import materialize, text_or_empty
-from lensmill.llm.packing import Packer, U, WordHashes, bitmap, bucket_count, by_bucket, in_bitmap, mix, packed_schema, spot
+from lensmill.llm.common import bounded_batches, materialize, text_or_empty, tidy
+from lensmill.llm.packing import KeyPacker, Packer, U, bitmap, bucket_count, by_bucket, in_bitmap, mix, packed_schema, spot, word_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NUM, DEN = 80, 100
 BUCKETS = 1 << 22
 SLICES = 64
-NEAREST = 4
+NEAREST, FIRST = 24, 3
 LAST = (1 << 63) - 1
-SLICE = 256
-
-
-def class_hash(words: list[bytes], hashes: WordHashes) -> int:
-    """The 64-bit hash of a line's set, as ``Lines`` computes it for many at once."""
-    w = np.unique(hashes.of(words))
-    with np.errstate(over="ignore"):
-        return int(mix(np.add.reduce(mix(w)) + U(len(w))).astype(np.int64))
+SLICE_BYTES, MAX_LINES = 1 << 20, 1 << 18
+#: A flat array holds (line << TOKEN_BITS | token) of the lines of a slice; so it has fewer than 2 ** 20 lines.
+TOKEN_BITS = 44
+TOKEN = U((1 << TOKEN_BITS) - 1)
+RARE_BITS = 36
+COUNTS = 1_000_000
 
 
 class Lines:
-    """The token sets of all lines of some documents, as flat arrays.
+    """The sets of all lines with words of some pieces of documents (doc, number of the first line, bytes), as flat arrays.
 
-    ``token`` and ``of`` (index of the line) hold the distinct tokens of each line, ``first`` the start of each line's
-    tokens, ``size`` their number; ``doc`` and ``number`` say where the line stands.
+    ``token`` and ``of`` (index of the line here) hold the distinct tokens of each line in order, ``first`` the start of
+    each line's tokens, ``size`` their number; ``doc`` and ``number`` say where the line stands.
     """
 
-    def __init__(self, docs: list[tuple[int, bytes]], hashes: WordHashes):
-        words, counts, doc, number = [], [], [], []
-        for doc_id, data in docs:
-            for i, line in enumerate(data.split(b"\n")):
-                if w := line.split():
-                    words += w
-                    counts.append(len(w))
-                    doc.append(doc_id)
-                    number.append(i)
-        self.doc, self.number = np.array(doc, dtype=np.int64), np.array(number, dtype=np.int64)
-        w = hashes.of(words)
-        of = np.repeat(np.arange(len(counts)), counts)
-        order = np.lexsort((w, of))
-        w, of = w[order], of[order]
-        new = np.ones(len(w), dtype=bool)
-        new[1:] = (w[1:] != w[:-1]) | (of[1:] != of[:-1])
-        self.token, self.of = w[new], of[new]
-        self.first = np.flatnonzero(np.diff(self.of, prepend=-1))
-        self.size = np.diff(np.append(self.first, len(self.of)))
+    def __init__(self, pieces: list[tuple[int, int, bytes]]):
+        buf = np.frombuffer(b"\n".join(p[2] for p in pieces), dtype=np.uint8)
+        words, start = word_hashes(buf)
+        breaks = np.concatenate(([0], np.cumsum(buf == 10)))
+        line = breaks[start].astype(np.uint64)
+        flat = np.sort(line << U(TOKEN_BITS) | (words & TOKEN))
+        new = np.ones(len(flat), dtype=bool)
+        new[1:] = flat[1:] != flat[:-1]
+        self.flat = flat[new]
+        self.token = self.flat & TOKEN
+        here = (self.flat >> U(TOKEN_BITS)).astype(np.int64)
+        self.first = np.flatnonzero(np.diff(here, prepend=-1))
+        self.size = np.diff(np.append(self.first, len(here)))
+        self.of = np.repeat(np.arange(len(self.first)), self.size)
+        line = here[self.first]
+        offsets = np.concatenate(([0], np.cumsum([len(p[2]) + 1 for p in pieces])))[:-1]
+        starts = breaks[np.minimum(offsets, len(buf))]  # the first line of each piece
+        self.piece = np.searchsorted(starts, line, side="right") - 1
+        self.doc = np.array([p[0] for p in pieces], dtype=np.int64)[self.piece]
+        self.number = np.array([p[1] for p in pieces], dtype=np.int64)[self.piece] + line - starts[self.piece]
         with np.errstate(over="ignore"):
-            m = mix(self.token)
-            self.cls = mix(np.add.reduceat(m, self.first) + self.size.astype(np.uint64)) if len(m) else m
-            self.parity = np.bitwise_xor.reduceat(U(1) << (m >> U(58)), self.first) if len(m) else m
-
-
-def _rows(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("bigint").alias("doc"), text_or_empty(text).cast("binary").alias("data"))
-
-
-def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[Lines]:
-    hashes = WordHashes()
-    for batch in batches:
-        for i in range(0, batch.num_rows, SLICE):
-            part = batch.slice(i, SLICE)
-            lines = Lines(list(zip(part.column(0).to_pylist(), (b.as_py() for b in part.column(1)), strict=True)), hashes)
-            if len(lines.size):
-                yield lines
+            self.mixed = mix(self.token)
+            self.cls = mix(np.add.reduceat(self.mixed, self.first) + self.size.astype(np.uint64)) if len(line) else self.mixed
 
+    def check(self) -> np.ndarray:
+        """A second hash of each set."""
+        with np.errstate(over="ignore"):
+            return mix(np.add.reduceat(mix(self.mixed ^ U(0x2545F4914F6CDD1D)), self.first))
 
-def count_tokens(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """How many lines hold a token of each of ``BUCKETS`` hash buckets: summed by slices, 16 MB on the driver."""
-    width = BUCKETS // SLICES
+    def parity(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two words of the parities of the tokens in 128 hashed cells."""
+        cell, high = U(1) << (self.mixed >> U(58)), (self.mixed >> U(57)) & U(1) == 1
+        zero = np.zeros_like(cell)
+        return tuple(np.bitwise_xor.reduceat(np.where(x, cell, zero), self.first) for x in (high, ~high))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, dtype=np.uint32)
-        for lines in _parts(batches):
-            at = (lines.token & U(BUCKETS - 1)).astype(np.int64)
-            np.add.at(counts, at, np.uint32(1))
-        if counts.any():
-            cut = counts.reshape(SLICES, width)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES, dtype=np.int32)), pa.array([c.tobytes() for c in cut], pa.binary())], names=["bucket", "c0"])
-
-    def total(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        s = np.minimum(counts.reshape(-1, width).sum(axis=0, dtype=np.uint64), np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array([s.tobytes()], pa.binary())], names=["c"])
-
-    partial = _rows(docs, text).mapInArrow(run, packed_schema(1))
-    # the slices' numbers travel as an extra key, so that order is known
-    summed = by_slice(partial, total)
-    out = np.zeros((SLICES, width), dtype=np.uint32)
-    for r in summed.toLocalIterator():
-        out[r["bucket"]] = np.frombuffer(r["c"], dtype=np.uint32)
-    return out.reshape(-1)
 
+def classes_of(lines: list[bytes]) -> list[int]:
+    """The class of each line; 0 for a line without words."""
+    out = np.zeros(len(lines), dtype=np.int64)
+    if lines:
+        x = Lines([(0, 0, line) for line in lines])
+        out[x.piece] = x.cls.astype(np.int64)
+    return out.tolist()
 
-def by_slice(partial: DataFrame, total) -> DataFrame:
-    """Add up the partial counts of each slice, one blob at a time."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, acc = None, None
+def _rows(docs: DataFrame, text: str) -> DataFrame:
+    bounded_batches(docs.sparkSession)
+    return docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("bigint").alias("doc"), text_or_empty(text).cast("binary").alias("data"))
 
-        def done() -> Iterator[pa.RecordBatch]:
-            for b in total(acc):
-                yield pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), b.column(0)], names=["bucket", "c"])
 
-        for batch in batches:
-            for b, c in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                counts = np.frombuffer(c.as_py(), dtype=np.uint32).astype(np.uint64)
-                if b != current:
-                    if current is not None:
-                        yield from done()
-                    current, acc = b, counts
-                else:
-                    acc = acc + counts
-        if current is not None:
-            yield from done()
+def _pieces(doc: int, data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """A document, cut between lines if it has very many."""
+    if data.count(b"\n") < MAX_LINES:
+        yield doc, 0, data
+        return
+    lines = data.split(b"\n")
+    for i in range(0, len(lines), MAX_LINES):
+        yield doc, i, b"\n".join(lines[i : i + MAX_LINES])
 
-    return partial.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket int, c binary")
 
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[Lines]:
+    """The lines of a few documents at a time."""
+    held, size, breaks = [], 0, 0
+    for batch in batches:
+        for d, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for piece in _pieces(d, data.as_py()):
+                held.append(piece)
+                size += len(piece[2]) + 1
+                breaks += piece[2].count(b"\n") + 1
+                if size >= SLICE_BYTES or breaks >= MAX_LINES:
+                    x = Lines(held)
+                    if len(x.size):
+                        yield x
+                    held, size, breaks = [], 0, 0
+    if held:
+        x = Lines(held)
+        if len(x.size):
+            yield x
+
+
+#: A row of the first pass: kind 0, a slice of token counts (places that are not zero in c0, counts in c1); kind 1, packed places of sets.
+PLACE = [np.uint64, np.uint64, np.int64, np.uint32, np.uint8]
+
+
+def first_pass(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Token counts and the places of all sets, from one reading of the texts; written, as both are used."""
+    buckets, width = bucket_count(docs.sparkSession), BUCKETS // SLICES
 
-EXACT = [np.uint64, np.uint64, np.int64, np.int64, np.uint8]
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, counts, held, n_held = Packer(buckets), np.zeros(BUCKETS, dtype=np.uint32), [], 0
 
+        def packed() -> Iterator[pa.RecordBatch]:
+            for b in packer.flush():
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(b.num_rows, np.int32)), *b.columns], names=["kind", *b.schema.names])
 
-def copies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(class, doc, line) of lines whose set stood in the corpus before."""
-    buckets = bucket_count(docs.sparkSession)
+        def count() -> None:
+            nonlocal held, n_held
+            if held:
+                np.add(counts, np.bincount(np.concatenate(held), minlength=BUCKETS), out=counts, casting="unsafe")
+            held, n_held = [], 0
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(buckets)
         for x in _parts(batches):
+            held.append((x.token & U(BUCKETS - 1)).astype(np.int32))
+            n_held += len(x.token)
+            if n_held >= COUNTS:
+                count()
             # within a slice only the first place of a set goes to the set's bucket; the others are copies already
             order = np.lexsort((x.number, x.doc, x.cls))
-            c, d, n = x.cls[order], x.doc[order], x.number[order]
+            c, d, n, check = x.cls[order], x.doc[order], x.number[order], x.check()[order]
             lead = np.append(True, c[1:] != c[:-1])
+            start = np.flatnonzero(lead)[np.cumsum(lead) - 1]
+            take = lead | (d != d[start]) | (n != n[start])  # a repeated row of one document is the same place, not a copy
             with np.errstate(over="ignore"):
-                check = mix(np.add.reduceat(mix(x.token ^ U(0x2545F4914F6CDD1D)), x.first))[order]
-                # a repeated row of one document is the same place, not a copy
-                start = np.flatnonzero(lead)[np.cumsum(lead) - 1]
-                same = (d == d[start]) & (n == n[start])
                 key = np.where(lead, c, mix(d.astype(np.uint64) + n.astype(np.uint64)))
-            take = lead | ~same
-            packer.add(key[take], np.where(lead, check, c)[take], d[take], n[take], (~lead).astype(np.uint8)[take])
+            packer.add(key[take], np.where(lead, check, c)[take], d[take], n[take].astype(np.uint32), (~lead).astype(np.uint8)[take])
             if packer.full():
-                yield from packer.flush()
-        yield from packer.flush()
+                yield from packed()
+        yield from packed()
+        count()
+        rows = []
+        for k, part in enumerate(counts.reshape(SLICES, width)):
+            at = np.flatnonzero(part)
+            if len(at):
+                rows.append((k, at.astype(np.uint16).tobytes(), part[at].tobytes()))
+        if rows:
+            k, at, n = zip(*rows, strict=True)
+            columns = [pa.array(np.zeros(len(k), np.int32)), pa.array(k, pa.int32()), pa.array(at, pa.binary()), pa.array(n, pa.binary()), *[pa.nulls(len(k), pa.binary())] * 3]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "bucket", *(f"c{i}" for i in range(5))])
+
+    return materialize(_rows(docs, text).mapInArrow(tidy(run), "kind int, " + packed_schema(5)), "lines")
+
+
+def rarity(first: DataFrame) -> np.ndarray:
+    """For each bucket of token hashes a code that grows with the lines it occurs in; 0: in one line at most.
+
+    The counts are added up slice by slice on the executors; the driver gets ``BUCKETS`` bytes, whatever the input.
+    """
+    width = BUCKETS // SLICES
+
+    def code(total: np.ndarray) -> bytes:
+        return np.minimum(8 * np.log2(np.maximum(total, 1)), 255).astype(np.uint8).tobytes()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, total = None, np.zeros(width, dtype=np.uint64)
+        row = lambda: pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([code(total)], pa.binary())], names=["bucket", "c"])
+        for batch in batches:
+            for b, at, c in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                if current is not None and b != current:
+                    yield row()
+                    total = np.zeros(width, dtype=np.uint64)
+                current = b
+                total[np.frombuffer(at.as_py(), dtype=np.uint16)] += np.frombuffer(c.as_py(), dtype=np.uint32)
+        if current is not None:
+            yield row()
+
+    parts = first.filter("kind = 0").select("bucket", "c0", "c1").repartition("bucket").sortWithinPartitions("bucket")
+    out = np.zeros((SLICES, width), dtype=np.uint8)
+    for r in parts.mapInArrow(tidy(run), "bucket int, c binary").toLocalIterator():
+        out[r["bucket"]] = np.frombuffer(r["c"], dtype=np.uint8)
+    return out.reshape(-1)
+
+
+def copies(first: DataFrame) -> DataFrame:
+    """(class, doc, line) of lines whose set stood in the corpus before."""
 
     def process(key, check, d, n, known) -> Iterator[pa.RecordBatch]:
-        known = known.astype(bool)
+        known, n = known.astype(bool), n.astype(np.int64)
         k, c, dd, nn = key[~known], check[~known], d[~known], n[~known]
         order = np.lexsort((nn, dd, c, k))
         k, c, dd, nn = k[order], c[order], dd[order], nn[order]
@@ -192,60 +240,47 @@ def copies(docs: DataFrame, text: str = "text") -> DataFrame:
         cls = np.concatenate((check[known], k[late])).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(np.concatenate((d[known], dd[late]))), pa.array(np.concatenate((n[known], nn[late])))], names=["class", "doc", "line"])
 
-    packed = _rows(docs, text).mapInArrow(run, packed_schema(5))
-    return materialize(by_bucket(packed, EXACT, process, "class bigint, doc bigint, line bigint"), "copies")
-
+    return materialize(by_bucket(first.filter("kind = 1").drop("kind"), PLACE, process, "class bigint, doc bigint, line bigint"), "copies")
 
-POSTING = [np.uint32, np.uint64, np.uint32, np.uint32, np.uint16, np.int64, np.uint32]
 
+POSTING = [np.uint32, np.uint64, np.uint64, np.uint32, np.uint32, np.uint16, np.int64, np.uint32]
 
-class PostingPacker(Packer):
-    """Keeps 32 bits of the token, as the bucket holds others."""
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        for batch in super().flush():
-            keys = [(np.frombuffer(k, dtype=np.uint64) & U(0xFFFFFFFF)).astype(np.uint32).tobytes() for k in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), *batch.columns[2:]], names=batch.schema.names)
-
-
-def candidates(docs: DataFrame, counts, num: int, den: int, text: str = "text", undecided: np.ndarray | None = None) -> DataFrame:
-    """(xd, xl, yd, yl, yc, more): an earlier line x that may match a later line y of class yc.
+def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", undecided: np.ndarray | None = None) -> DataFrame:
+    """(xd, xl, yd, yl, far, more): an earlier line x that may match a later line y, and how far their sketches are apart.
 
     ``more``: y has further partners in this run. With ``undecided``, a bitmap of places, all partners of those y.
     """
     buckets = bucket_count(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, table = PostingPacker(buckets), counts.value
+        packer, table = KeyPacker(buckets), codes.value
         for x in _parts(batches):
             # each set once, with its first place of the slice
             order = np.lexsort((x.number, x.doc, x.cls))
             lead = np.append(True, x.cls[order][1:] != x.cls[order][:-1])
             chosen = np.zeros(len(x.size), dtype=bool)
             chosen[order[lead]] = True
-            t = chosen[x.of]
-            token, of = x.token[t], x.of[t]
-            rare = table[(token & U(BUCKETS - 1)).astype(np.int64)]
-            order = np.lexsort((token, rare, of))
-            token, of, rare = token[order], of[order], rare[order]
-            start = np.flatnonzero(np.diff(of, prepend=-1))
-            length = np.diff(np.append(start, len(of)))
-            at = np.arange(len(of)) - np.repeat(start, length)
-            n = x.size[of]
-            keep = (at < n - (n * num + den - 1) // den + 1) & (rare > 1)
-            of = of[keep]
-            packer.add(token[keep], x.parity[of], (x.cls[of] >> U(32)).astype(np.uint32), n[keep].astype(np.uint32), np.minimum(at[keep], 65535).astype(np.uint16), x.doc[of], x.number[of].astype(np.uint32))
+            code = table[(x.token & U(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
+            # in each line by rarity, then hash: the same order everywhere
+            flat = np.sort((x.flat & ~TOKEN) | code << U(RARE_BITS) | (x.token & U((1 << RARE_BITS) - 1)))
+            at = np.arange(len(flat)) - np.repeat(x.first, x.size)
+            prefix = np.repeat(np.where(chosen, x.size - (x.size * num + den - 1) // den + 1, 0), x.size)
+            keep = (at < prefix) & ((flat & TOKEN) >> U(RARE_BITS) > 0)
+            of = x.of[keep]
+            token = mix(flat[keep] & TOKEN)
+            packer.add(token, *(z[of] for z in x.parity()), (x.cls[of] >> U(32)).astype(np.uint32), x.size[of].astype(np.uint32), np.minimum(at[keep], 65535).astype(np.uint16), x.doc[of], x.number[of].astype(np.uint32))
             if packer.full():
                 yield from packer.flush()
         yield from packer.flush()
 
-    def process(key, parity, cls, n, at, d, line) -> Iterator[pa.RecordBatch]:
+    def process(key, p0, p1, cls, n, at, d, line) -> Iterator[pa.RecordBatch]:
         # one entry for each set of a run, with its earliest place
-        order = np.lexsort((line, d, cls, parity, n, key))
-        key, parity, cls, n, at, d, line = (c[order] for c in (key, parity, cls, n, at, d, line))
+        order = np.lexsort((line, d, cls, p1, p0, n, key))
+        key, p0, p1, cls, n, at, d, line = (c[order] for c in (key, p0, p1, cls, n, at, d, line))
         lead = np.ones(len(key), dtype=bool)
-        lead[1:] = (key[1:] != key[:-1]) | (n[1:] != n[:-1]) | (parity[1:] != parity[:-1]) | (cls[1:] != cls[:-1])
-        key, parity, cls, n, at, d, line = (c[lead] for c in (key, parity, cls, n, at, d, line))
+        lead[1:] = (key[1:] != key[:-1]) | (n[1:] != n[:-1]) | (p0[1:] != p0[:-1]) | (p1[1:] != p1[:-1]) | (cls[1:] != cls[:-1])
+        key, p0, p1, cls, n, at, d, line = (c[lead] for c in (key, p0, p1, cls, n, at, d, line))
         n, at = n.astype(np.int64), at.astype(np.int64)
         if undecided is not None:
             ask = in_bitmap(undecided, place(d, line))
@@ -260,7 +295,7 @@ def candidates(docs: DataFrame, counts, num: int, den: int, text: str = "text",
             need = (total * num + num + den - 1) // (num + den)
             hit = 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1 >= need
             a, b = i[hit], j[hit]
-            far = np.bitwise_count(parity[a] ^ parity[b]).astype(np.int64)
+            far = np.bitwise_count(p0[a] ^ p0[b]).astype(np.int64) + np.bitwise_count(p1[a] ^ p1[b])
             near = far <= total[hit] - 2 * need[hit]
             if near.any():
                 a, b = a[near], b[near]
@@ -286,12 +321,12 @@ def candidates(docs: DataFrame, counts, num: int, den: int, text: str = "text",
             rank = np.arange(len(y)) - np.repeat(start, size)
             more = np.repeat(size > NEAREST, size)
             k = rank < NEAREST
-            x, y, more = x[k], y[k], more[k]
-        rows = np.unique(np.column_stack((d[x], line[x].astype(np.int64), d[y], line[y].astype(np.int64), more.astype(np.int64))), axis=0)
-        yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(4)), pa.array(rows[:, 4] > 0)], names=["xd", "xl", "yd", "yl", "more"])
+            x, y, far, more = x[k], y[k], far[k], more[k]
+        rows = np.unique(np.column_stack((d[x], line[x].astype(np.int64), d[y], line[y].astype(np.int64), far, more.astype(np.int64))), axis=0)
+        yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(5)), pa.array(rows[:, 5] > 0)], names=["xd", "xl", "yd", "yl", "far", "more"])
 
-    packed = _rows(docs, text).mapInArrow(run, packed_schema(7))
-    return by_bucket(packed, POSTING, process, "xd bigint, xl bigint, yd bigint, yl bigint, more boolean")
+    packed = _rows(docs, text).mapInArrow(tidy(run), packed_schema(8))
+    return by_bucket(packed, POSTING, process, "xd bigint, xl bigint, yd bigint, yl bigint, far bigint, more boolean")
 
 
 def place(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -315,14 +350,14 @@ def places_bitmap(lines: DataFrame) -> np.ndarray:
         if len(w):
             yield pa.RecordBatch.from_arrays([pa.array(w.astype(np.int32)), pa.array(words[w].astype(np.int64))], names=["w", "bits"])
 
-    rows = lines.select("doc", "line").mapInArrow(run, "w int, bits bigint").groupBy("w").agg(F.bit_or("bits").alias("bits")).toArrow()
+    rows = lines.select("doc", "line").mapInArrow(tidy(run), "w int, bits bigint").groupBy("w").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(BITMAP_BITS // 32, dtype=np.uint32)
     out[rows.column("w").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
     return out
 
 
-def verify(docs: DataFrame, pairs: DataFrame, num: int, den: int, text: str = "text") -> DataFrame:
-    """(class, doc, line) of the lines y of ``pairs`` that have a similar x, checked on their words."""
+def lines_of(docs: DataFrame, pairs: DataFrame, text: str = "text") -> DataFrame:
+    """(doc, line, data) of all lines of ``pairs``: documents sieved by a bitmap, then joined exactly."""
     ends = pairs.select(F.col("xd").alias("doc"), F.col("xl").alias("line")).union(pairs.select("yd", "yl"))
     wanted = materialize(ends.groupBy("doc").agg(F.collect_set("line").alias("lines")), "wanted")
     bits = bitmap(wanted, "doc")
@@ -344,40 +379,54 @@ def verify(docs: DataFrame, pairs: DataFrame, num: int, den: int, text: str = "t
                 yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(n, pa.int64()), pa.array(t, pa.binary())], names=["doc", "line", "data"])
 
     rows = _rows(docs, text)
-    some = rows.withColumn("spot", spot("doc")).mapInArrow(sieve, "doc bigint, data binary")
-    lines = some.join(wanted, "doc").mapInArrow(cut, "doc bigint, line bigint, data binary").distinct()
-    lines = materialize(lines, "lines")
+    some = rows.withColumn("spot", spot("doc")).mapInArrow(tidy(sieve), "doc bigint, data binary")
+    lines = some.join(wanted, "doc").mapInArrow(tidy(cut), "doc bigint, line bigint, data binary").distinct()
+    return materialize(lines, "texts")
+
+
+def verify(lines: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """(class, doc, line) of the lines y of ``pairs`` that have a similar x, checked on their words."""
     x = lines.toDF("xd", "xl", "x")
     y = lines.toDF("yd", "yl", "y")
-    both = pairs.select("xd", "xl", "yd", "yl").distinct().join(x, ["xd", "xl"]).join(y, ["yd", "yl"]).select("yd", "yl", "x", "y")
+    both = pairs.select("xd", "xl", "yd", "yl").join(x, ["xd", "xl"]).join(y, ["yd", "yl"]).select("yd", "yl", "x", "y")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in batches:
             out = []
             for d, n, p, q in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
-                words = q.as_py().split()
-                s, t = set(p.as_py().split()), set(words)
+                y = q.as_py()
+                s, t = set(p.as_py().split()), set(y.split())
                 same = len(s & t)
                 if same and den * same >= num * (len(s) + len(t) - same):
-                    out.append((class_hash(words, hashes), d, n))
+                    out.append((y, d, n))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["class", "doc", "line"])
+                y, d, n = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (classes_of(list(y)), d, n)], names=["class", "doc", "line"])
 
-    return materialize(both.mapInArrow(check, "class bigint, doc bigint, line bigint").distinct(), "similar")
+    return materialize(both.mapInArrow(tidy(check), "class bigint, doc bigint, line bigint").distinct(), "similar")
 
 
 def removed(docs: DataFrame, num: int = NUM, den: int = DEN, text: str = "text") -> DataFrame:
     """(class, doc, line) of every line to remove."""
-    counts = docs.sparkSession.sparkContext.broadcast(count_tokens(docs, text))
-    gone = copies(docs, text)
-    found = materialize(candidates(docs, counts, num, den, text).distinct(), "candidates")
-    similar = verify(docs, found, num, den, text)
-    open_ = found.filter("more").select(F.col("yd").alias("doc"), F.col("yl").alias("line")).distinct().join(similar.select("doc", "line"), ["doc", "line"], "left_anti")
+    first = first_pass(docs, text)
+    gone = copies(first)
+    codes = docs.sparkSession.sparkContext.broadcast(rarity(first))
+    keys = ["xd", "xl", "yd", "yl"]
+    found = candidates(docs, codes, num, den, text).groupBy(*keys).agg(F.min("far").alias("far"), F.bool_or("more").alias("more"))
+    nearest = F.row_number().over(Window.partitionBy("yd", "yl").orderBy("far", "xd", "xl"))
+    found = materialize(found.withColumn("rank", nearest), "candidates")
+    lines = lines_of(docs, found, text)
+    similar = verify(lines, found.filter(F.col("rank") <= FIRST), num, den)
+    decided = similar.select(F.col("doc").alias("yd"), F.col("line").alias("yl"))
+    rest = found.filter(F.col("rank") > FIRST).join(decided, ["yd", "yl"], "left_anti")
+    similar = similar.unionByName(verify(lines, rest, num, den))
+    decided = similar.select("doc", "line")
+    open_ = found.filter("more").select(F.col("yd").alias("doc"), F.col("yl").alias("line")).distinct().join(decided, ["doc", "line"], "left_anti")
     open_ = materialize(open_, "undecided")
     if not open_.isEmpty():
-        rest = candidates(docs, counts, num, den, text, places_bitmap(open_)).join(found.select("xd", "xl", "yd", "yl"), ["xd", "xl", "yd", "yl"], "left_anti")
-        similar = similar.unionByName(verify(docs, materialize(rest.distinct(), "candidates"), num, den, text))
+        rest = candidates(docs, codes, num, den, text, places_bitmap(open_)).select(*keys).distinct().join(found.select(*keys), keys, "left_anti")
+        rest = materialize(rest, "candidates")
+        similar = similar.unionByName(verify(lines_of(docs, rest, text), rest, num, den))
     return gone.unionByName(similar)
 
 
@@ -391,24 +440,23 @@ def strip(docs: DataFrame, gone: DataFrame, text: str = "text") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("_n_lines", T.LongType()), T.StructField("_n_removed", T.LongType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in batches:
-            texts, n_lines, n_removed = [], [], []
-            for t, g in zip(b.column(at), b.column(b.num_columns - 1).to_pylist(), strict=True):
-                t = t.as_py()
-                lines = t.encode().split(b"\n") if t is not None else []
-                n_lines.append(sum(1 for x in lines if x.split()))
-                drop = set()
-                for x in g or ():
-                    if x["line"] < len(lines) and (w := lines[x["line"]].split()) and class_hash(w, hashes) == x["class"]:
-                        drop.add(x["line"])
-                n_removed.append(len(drop))
-                texts.append(t if not drop else b"\n".join(x for i, x in enumerate(lines) if i not in drop).decode())
+            texts, n_lines = [t.as_py() for t in b.column(at)], []
+            gone = b.column(b.num_columns - 1).to_pylist()
+            lines = [t.encode().split(b"\n") if t is not None else [] for t in texts]
+            n_lines = [sum(1 for x in row if x.strip()) for row in lines]
+            asked = [(k, g["line"], g["class"]) for k, row in enumerate(gone) for g in row or () if g["line"] < len(lines[k])]
+            drop: list[set[int]] = [set() for _ in texts]
+            for (k, n, c), own in zip(asked, classes_of([lines[k][n] for k, n, _ in asked]), strict=True):
+                if own == c:
+                    drop[k].add(n)
+            n_removed = [len(x) for x in drop]
+            texts = [b"\n".join(x for i, x in enumerate(lines[k]) if i not in drop[k]).decode() if drop[k] else t for k, t in enumerate(texts)]
             columns = list(b.columns[:-1])
             columns[at] = pa.array(texts, b.column(at).type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], names=names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(tidy(run), schema)
 
 
 def dedup(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
