@@ -34,12 +34,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lensmill.llm.common import text_or_empty
+from lensmill.llm.common import bounded_batches, text_or_empty, tidy
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE_BYTES = 1 << 20
-PIECES = 500_000
+PIECES = 60_000
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -151,9 +151,11 @@ class ByteBPE:
             yield text
 
 
-def _setting(path: str | None, pattern: str | None) -> tuple[str, str]:
+def _setting(df: DataFrame, path: str | None, pattern: str | None) -> tuple[str, str]:
     import public_tokenizers
 
+    bounded_batches(df.sparkSession)
+
     return path or public_tokenizers.path(VOCABULARY), pattern or public_tokenizers.PATTERN
 
 
@@ -167,7 +169,7 @@ OFFSETS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Stru
 
 def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``docs`` with ``ids`` and ``offsets`` (characters start to end, and whether the token splits a character)."""
-    path, pattern = _setting(path, pattern)
+    path, pattern = _setting(docs, path, pattern)
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", TOKENS), T.StructField("offsets", OFFSETS)])
     data = docs.withColumn("_data", text_or_empty(text).cast("binary"))
 
@@ -189,12 +191,12 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
             columns = [*batch.columns[:at], pa.ListArray.from_arrays(cuts, flat(ids, pa.int64())), pa.ListArray.from_arrays(cuts, spans)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:at], "ids", "offsets"])
 
-    return data.mapInArrow(run, schema)
+    return data.mapInArrow(tidy(run), schema)
 
 
 def decode(tokens: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``tokens`` with the binary column ``out``: the bytes of the ids; null ids give no bytes."""
-    path, pattern = _setting(path, pattern)
+    path, pattern = _setting(tokens, path, pattern)
     schema = T.StructType([*tokens.schema.fields, T.StructField(out, T.BinaryType())])
     at = tokens.columns.index(ids)
 
@@ -204,12 +206,12 @@ def decode(tokens: DataFrame, ids: str = "ids", out: str = "decoded", path: str
             found = pa.array([bpe.decode(i or ()) for i in batch.column(at).to_pylist()], type=pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, out])
 
-    return tokens.mapInArrow(run, schema)
+    return tokens.mapInArrow(tidy(run), schema)
 
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, n_split: ids go through encoder and decoder without leaving the task."""
-    path, pattern = _setting(path, pattern)
+    path, pattern = _setting(docs, path, pattern)
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_split_characters bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,14 +226,27 @@ def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None
                 split.append(int(bpe.offsets(ids, t.encode())[3].sum()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string()), pa.array(split, pa.int64())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_split_characters"])
 
-    return docs.select("doc_id", text_or_empty("text").cast("binary").alias("data")).mapInArrow(run, schema)
+    return docs.select("doc_id", text_or_empty("text").cast("binary").alias("data")).mapInArrow(tidy(run), schema)
 
 
 def tokens_and_digests(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Pipeline form: doc_id, source, ids, n_tokens and decoded_sha256, the digest of what the ids decode to."""
-    narrow = docs.select("doc_id", "source", "text")
-    back = decode(encode(narrow, "text", path, pattern).drop("offsets", "text"), "ids", "_back", path, pattern)
-    return back.select("doc_id", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("_back", 256).alias("decoded_sha256"))
+    path, pattern = _setting(docs, path, pattern)
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    schema = f"doc_id {kinds['doc_id']}, source {kinds['source']}, ids array<int>, n_tokens bigint, decoded_sha256 string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = ByteBPE.from_file(path, pattern)
+        for batch in batches:
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                ids = list(bpe.encode(_texts(part.column(2))))
+                back = [hashlib.sha256(bpe.decode(i.tolist())).hexdigest() for i in ids]
+                sizes = [len(i) for i in ids]
+                cuts = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+                lists = pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(ids).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists, pa.array(sizes, pa.int64()), pa.array(back, pa.string())], names=["doc_id", "source", "ids", "n_tokens", "decoded_sha256"])
+
+    return docs.select("doc_id", "source", text_or_empty("text").cast("binary").alias("data")).mapInArrow(tidy(run), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

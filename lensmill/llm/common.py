@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: A word is a run of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,6 +44,38 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch. The default suits short rows; texts, pages and packed blobs are long, and both the JVM and the
+#: Python worker hold a batch.
+BATCH_ROWS = 512
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of this session small from here on."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def tidy(run):
+    """``run`` for ``mapInArrow``, after which the worker gives memory back: Spark keeps workers for other tasks."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        import ctypes
+        import gc
+
+        import pyarrow
+
+        gc.collect()
+        pyarrow.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # not glibc
+            pass
+
+    return wrapped
+
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

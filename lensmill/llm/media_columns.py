@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lensmill.llm.common import materialize, text_or_empty
+from lensmill.llm.common import bounded_batches, materialize, text_or_empty, tidy
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -172,7 +172,7 @@ def interleave(docs: DataFrame, html: str = "html") -> DataFrame:
             found = pa.array([parse(x) for x in b.column(at).to_pylist()], type=kind)
             yield pa.RecordBatch.from_arrays([*b.columns, found], names=[*b.schema.names, "items"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def resolve(items: DataFrame, media: DataFrame, key: str = "digest") -> DataFrame:
@@ -188,6 +188,7 @@ def store(docs: DataFrame) -> DataFrame:
 
     Written once to the shared folder; ``media`` is null where the same task has just written that digest.
     """
+    bounded_batches(docs.sparkSession)
     schema = "doc_id bigint, n_bytes bigint, items array<struct<position:int,kind:string,chars:bigint,digest:string,caption:string>>, digest string, media binary"
     kind = pa.list_(pa.struct([("position", pa.int32()), ("kind", pa.string()), ("chars", pa.int64()), ("digest", pa.string()), ("caption", pa.string())]))
 
@@ -214,7 +215,7 @@ def store(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=["doc_id", "n_bytes", "items", "digest", "media"])
                     out, size = [], 0
 
-    return materialize(docs.select("doc_id", text_or_empty("text").cast("binary").alias("data")).mapInArrow(run, schema), "media")
+    return materialize(docs.select("doc_id", text_or_empty("text").cast("binary").alias("data")).mapInArrow(tidy(run), schema), "media")
 
 
 def read_back(media: DataFrame) -> DataFrame:
@@ -235,7 +236,7 @@ def read_back(media: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
 
-    rows = media.filter("media IS NOT NULL").select("digest", "media").mapInArrow(run, schema)
+    rows = media.filter("media IS NOT NULL").select("digest", "media").mapInArrow(tidy(run), schema)
     rest = [c for c in rows.columns if c != "digest"]
     return rows.groupBy("digest").agg(F.min(F.struct(*rest)).alias("m")).select("digest", "m.*")
 

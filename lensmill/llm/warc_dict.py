@@ -32,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lensmill.llm.common import scratch, text_or_empty
+from lensmill.llm.common import bounded_batches, scratch, text_or_empty, tidy
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -146,7 +146,7 @@ def frame_end(data: bytes, at: int) -> int:
     while True:
         block = int.from_bytes(data[at : at + 3], "little")
         at += 3 + (1 if block >> 1 & 3 == 1 else block >> 3)
-        if at > len(data):
+        if at + 4 * checksum > len(data):
             raise ValueError("frame is cut")
         if block & 1:
             return at + 4 * checksum
@@ -205,8 +205,9 @@ def write(pages: DataFrame, to: str, min_revisit_bytes: int = 0) -> DataFrame:
         if held:
             yield flush()
 
+    bounded_batches(pages.sparkSession)
     manifest = f"{to}/manifest"
-    plan(pages, min_revisit_bytes).mapInArrow(run, "path string, records bigint, bytes bigint, raw_bytes bigint").write.parquet(manifest)
+    plan(pages, min_revisit_bytes).mapInArrow(tidy(run), "path string, records bigint, bytes bigint, raw_bytes bigint").write.parquet(manifest)
     return pages.sparkSession.read.parquet(manifest)
 
 
@@ -239,7 +240,7 @@ def read(manifest: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     n = max(1, manifest.count())
-    return manifest.select("path").repartition(n).mapInArrow(run, schema)
+    return manifest.select("path").repartition(n).mapInArrow(tidy(run), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
