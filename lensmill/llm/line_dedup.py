@@ -8,13 +8,13 @@ Order of tokens: by rarity, counted over all lines in ``BUCKETS`` hashed counter
 results, a rarer one fewer candidates), then by hash. Tokens are known by 44 bits, sets by 128.
 Prefix filter: similar sets share a token among the first n - ceil(n num/den) + 1 of either; tokens that occur once in
 the corpus cannot match and are left out.
-Length and positional filters: sizes within num/den, and enough tokens left after the shared position. A 128-bit parity
+Length and positional filters: sizes within num/den, and enough tokens left after the shared position. A 256-bit parity
 sketch of each set then bounds the symmetric difference from below and drops nearly all other chance candidates.
 Verification is exact, on the lines' words.
 
 Equal sets first: a task posts each of its sets once, with its first place; the tasks' places meet in the run of any of
 its tokens, and an exact stage finds the copies, so a line that a third of all documents share is one posting a task.
-Near copies: a later line takes its ``NEAREST`` likeliest earlier partners of a run. The ``FIRST`` of them are
+Near copies: a later line takes its earlier partners of a run, of more than ``FEW`` the ``NEAREST`` likeliest. The ``FIRST`` of them are
 verified first, the others for lines that these do not decide. Lines that had still more and are not
 decided by those are looked at again with all of their partners, until nothing is left: no partner is dropped.
 
@@ -46,7 +46,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 NUM, DEN = 80, 100
 BUCKETS = 1 << 22
 SLICES = 64
-NEAREST, FIRST = 24, 3
+FEW, NEAREST, FIRST = 256, 24, 3
 LAST = (1 << 63) - 1
 SLICE_BYTES, MAX_LINES = 1 << 20, 1 << 18
 #: A flat array holds (line << TOKEN_BITS | token) of the lines of a slice; so it has fewer than 2 ** 20 lines.
@@ -92,11 +92,11 @@ class Lines:
         with np.errstate(over="ignore"):
             return mix(np.add.reduceat(mix(self.mixed ^ U(0x2545F4914F6CDD1D)), self.first))
 
-    def parity(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two words of the parities of the tokens in 128 hashed cells."""
-        cell, high = U(1) << (self.mixed >> U(58)), (self.mixed >> U(57)) & U(1) == 1
-        zero = np.zeros_like(cell)
-        return tuple(np.bitwise_xor.reduceat(np.where(x, cell, zero), self.first) for x in (high, ~high))
+    def parity(self) -> list[np.ndarray]:
+        """Four words: the parities of the tokens in 256 hashed cells."""
+        cell, word = U(1) << (self.mixed >> U(58)), (self.mixed >> U(56)) & U(3)
+        zero = U(0)
+        return [np.bitwise_xor.reduceat(np.where(word == U(k), cell, zero), self.first) for k in range(4)]
 
 
 def classes_of(lines: list[bytes]) -> list[int]:
@@ -243,7 +243,7 @@ def copies(first: DataFrame) -> DataFrame:
     return materialize(by_bucket(first.filter("kind = 1").drop("kind"), PLACE, process, "class bigint, doc bigint, line bigint"), "copies")
 
 
-POSTING = [np.uint32, np.uint64, np.uint64, np.uint32, np.uint32, np.uint16, np.int64, np.uint32]
+POSTING = [np.uint32, *[np.uint64] * 4, np.uint32, np.uint32, np.uint16, np.int64, np.uint32]
 
 
 def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", undecided: np.ndarray | None = None) -> DataFrame:
@@ -274,13 +274,13 @@ def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", u
                 yield from packer.flush()
         yield from packer.flush()
 
-    def process(key, p0, p1, cls, n, at, d, line) -> Iterator[pa.RecordBatch]:
+    def process(key, p0, p1, p2, p3, cls, n, at, d, line) -> Iterator[pa.RecordBatch]:
         # one entry for each set of a run, with its earliest place
-        order = np.lexsort((line, d, cls, p1, p0, n, key))
-        key, p0, p1, cls, n, at, d, line = (c[order] for c in (key, p0, p1, cls, n, at, d, line))
+        order = np.lexsort((line, d, cls, p0, n, key))
+        key, p0, p1, p2, p3, cls, n, at, d, line = (c[order] for c in (key, p0, p1, p2, p3, cls, n, at, d, line))
         lead = np.ones(len(key), dtype=bool)
-        lead[1:] = (key[1:] != key[:-1]) | (n[1:] != n[:-1]) | (p0[1:] != p0[:-1]) | (p1[1:] != p1[:-1]) | (cls[1:] != cls[:-1])
-        key, p0, p1, cls, n, at, d, line = (c[lead] for c in (key, p0, p1, cls, n, at, d, line))
+        lead[1:] = (key[1:] != key[:-1]) | (n[1:] != n[:-1]) | (p0[1:] != p0[:-1]) | (cls[1:] != cls[:-1])
+        key, p0, p1, p2, p3, cls, n, at, d, line = (c[lead] for c in (key, p0, p1, p2, p3, cls, n, at, d, line))
         n, at = n.astype(np.int64), at.astype(np.int64)
         if undecided is not None:
             ask = in_bitmap(undecided, place(d, line))
@@ -295,7 +295,7 @@ def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", u
             need = (total * num + num + den - 1) // (num + den)
             hit = 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1 >= need
             a, b = i[hit], j[hit]
-            far = np.bitwise_count(p0[a] ^ p0[b]).astype(np.int64) + np.bitwise_count(p1[a] ^ p1[b])
+            far = sum(np.bitwise_count(p[a] ^ p[b]).astype(np.int64) for p in (p0, p1, p2, p3))
             near = far <= total[hit] - 2 * need[hit]
             if near.any():
                 a, b = a[near], b[near]
@@ -319,13 +319,13 @@ def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", u
             start = np.flatnonzero(np.diff(y, prepend=-1))
             size = np.diff(np.append(start, len(y)))
             rank = np.arange(len(y)) - np.repeat(start, size)
-            more = np.repeat(size > NEAREST, size)
-            k = rank < NEAREST
+            more = np.repeat(size > FEW, size)
+            k = ~more | (rank < NEAREST)
             x, y, far, more = x[k], y[k], far[k], more[k]
         rows = np.unique(np.column_stack((d[x], line[x].astype(np.int64), d[y], line[y].astype(np.int64), far, more.astype(np.int64))), axis=0)
         yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(5)), pa.array(rows[:, 5] > 0)], names=["xd", "xl", "yd", "yl", "far", "more"])
 
-    packed = _rows(docs, text).mapInArrow(tidy(run), packed_schema(8))
+    packed = _rows(docs, text).mapInArrow(tidy(run), packed_schema(10))
     return by_bucket(packed, POSTING, process, "xd bigint, xl bigint, yd bigint, yl bigint, far bigint, more boolean")
 
 
