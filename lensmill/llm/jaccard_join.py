@@ -512,6 +512,8 @@ def block_pairs(members: DataFrame, classes: DataFrame, num: int, den: int) -> D
 
 def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, class (c1), n_links of its class, component_id."""
+    if num * 100 < den * 80:
+        raise ValueError("the similarity must be 0.8 or more: below, small sets have too few tokens for the pigeonhole")
     spark: SparkSession = docs.sparkSession
     wider: dict[int, int] = {}
     seed = 0
