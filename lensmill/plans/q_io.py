@@ -135,7 +135,7 @@ def scan_polymorphic_scores(spark, d):
 
 
 portable("scan_cohorts_first", "SELECT k, min(id) AS id FROM (SELECT id % 600 AS k, id FROM {articles} WHERE content <> '') t GROUP BY k")
-query("scan_capped_pool")(lambda spark, d: A.permissive_jsonl(spark, _jsonl(spark, d)).filter("_corrupt_record IS NULL").limit(200).select("id"))
+query("scan_capped_pool")(lambda spark, d: A.usable_jsonl(spark, _jsonl(spark, d)).limit(200).select("id"))
 query("limit_n")(lambda spark, d: articles(spark, d).select("id").limit(25))
 
 

@@ -22,6 +22,11 @@ def permissive_jsonl(spark: SparkSession, path: str, schema: T.StructType = ARTI
     return spark.read.schema(extended).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
 
 
+def usable_jsonl(spark: SparkSession, path: str, schema: T.StructType = ARTICLE) -> DataFrame:
+    """Lines that parse; others are skipped."""
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+
+
 def counters(rows: DataFrame) -> DataFrame:
     """Lines read, malformed, and usable."""
     return rows.cache().agg(F.count("*").alias("read"), F.count_if(F.col("_corrupt_record").isNotNull()).alias("malformed"), F.count_if(F.col("_corrupt_record").isNull()).alias("usable"))
