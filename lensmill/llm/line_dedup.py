@@ -1,7 +1,7 @@
 """Operator 5: line deduplication by an exact set-similarity join.
 
-A line's set holds its distinct words. A line is removed if an earlier line of the corpus, by (doc_id, line number), has
-a Jaccard similarity of at least ``num`` / ``den`` with it, whether or not that line itself is removed; the first of any
+A line's set holds its distinct words. A line is removed if an earlier line of the corpus, by (doc_id, tie, line
+number), has a Jaccard similarity of at least ``num`` / ``den`` with it, whether or not that line itself is removed; the first of any
 group always stays.
 
 Order of tokens: by rarity, counted over all lines in ``BUCKETS`` hashed counters (a fixed size; any order gives right
@@ -22,8 +22,9 @@ Recovery: all stages are plain jobs with results in the shared folder.
 
 Defined results: lines are split at \\n; lines without words always stay; null texts stay null; a line repeated within
 a document keeps its first occurrence; repeated rows (same doc_id and text) are one document and keep the same lines;
-rows that share a doc_id but not the text are told apart by the lines' contents; null doc_ids come last; an empty table
-gives an empty result; other columns are kept by ``dedup``.
+rows that share a doc_id but not the text are documents of their own, in the order of a 64-bit hash of the text (the
+tie; 0 where no doc_id is used twice); so are rows without a doc_id, which come last; an empty table gives an empty
+result; other columns are kept by ``dedup``.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,17 +55,19 @@ TOKEN_BITS = 44
 TOKEN = U((1 << TOKEN_BITS) - 1)
 RARE_BITS = 36
 COUNTS = 1_000_000
+GONE = "class bigint, doc bigint, tie bigint, line bigint"
+X, Y = ["xd", "xt", "xl"], ["yd", "yt", "yl"]
 
 
 class Lines:
-    """The sets of all lines with words of some pieces of documents (doc, number of the first line, bytes), as flat arrays.
+    """The sets of all lines with words of some pieces of documents (doc, tie, number of the first line, bytes), as flat arrays.
 
     ``token`` and ``of`` (index of the line here) hold the distinct tokens of each line in order, ``first`` the start of
-    each line's tokens, ``size`` their number; ``doc`` and ``number`` say where the line stands.
+    each line's tokens, ``size`` their number; ``doc``, ``tie`` and ``number`` say where the line stands.
     """
 
-    def __init__(self, pieces: list[tuple[int, int, bytes]]):
-        buf = np.frombuffer(b"\n".join(p[2] for p in pieces), dtype=np.uint8)
+    def __init__(self, pieces: list[tuple[int, int, int, bytes]]):
+        buf = np.frombuffer(b"\n".join(p[3] for p in pieces), dtype=np.uint8)
         words, start = word_hashes(buf)
         breaks = np.concatenate(([0], np.cumsum(buf == 10)))
         line = breaks[start].astype(np.uint64)
@@ -78,11 +81,12 @@ class Lines:
         self.size = np.diff(np.append(self.first, len(here)))
         self.of = np.repeat(np.arange(len(self.first)), self.size)
         line = here[self.first]
-        offsets = np.concatenate(([0], np.cumsum([len(p[2]) + 1 for p in pieces])))[:-1]
+        offsets = np.concatenate(([0], np.cumsum([len(p[3]) + 1 for p in pieces])))[:-1]
         starts = breaks[np.minimum(offsets, len(buf))]  # the first line of each piece
         self.piece = np.searchsorted(starts, line, side="right") - 1
         self.doc = np.array([p[0] for p in pieces], dtype=np.int64)[self.piece]
-        self.number = np.array([p[1] for p in pieces], dtype=np.int64)[self.piece] + line - starts[self.piece]
+        self.tie = np.array([p[1] for p in pieces], dtype=np.int64)[self.piece]
+        self.number = np.array([p[2] for p in pieces], dtype=np.int64)[self.piece] + line - starts[self.piece]
         with np.errstate(over="ignore"):
             self.mixed = mix(self.token)
             self.cls = mix(np.add.reduceat(self.mixed, self.first) + self.size.astype(np.uint64)) if len(line) else self.mixed
@@ -103,35 +107,57 @@ def classes_of(lines: list[bytes]) -> list[int]:
     """The class of each line; 0 for a line without words."""
     out = np.zeros(len(lines), dtype=np.int64)
     if lines:
-        x = Lines([(0, 0, line) for line in lines])
+        x = Lines([(0, 0, 0, line) for line in lines])
         out[x.piece] = x.cls.astype(np.int64)
     return out.tolist()
 
 
-def _rows(docs: DataFrame, text: str) -> DataFrame:
+def _doc() -> Column:
+    return F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("bigint")
+
+
+def reused(docs: DataFrame) -> bool:
+    """Do rows share a doc_id (or have none)? Only ids are read."""
+    return not docs.groupBy(_doc()).count().filter("count > 1").isEmpty()
+
+
+def _tie(text: str, tied: bool) -> Column:
+    """What tells rows of one doc_id apart: a hash of the text, never 0; 0 for all where doc_ids do."""
+    if not tied:
+        return F.lit(0).cast("bigint")
+    h = F.xxhash64(F.col("doc_id").isNull(), F.col(text).cast("binary"))
+    return F.when(h == 0, 1).otherwise(h)
+
+
+def _rows(docs: DataFrame, text: str, tied: bool) -> DataFrame:
     bounded_batches(docs.sparkSession)
-    return docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("bigint").alias("doc"), text_or_empty(text).cast("binary").alias("data"))
+    return docs.select(_doc().alias("doc"), _tie(text, tied).alias("tie"), text_or_empty(text).cast("binary").alias("data"))
+
+
+def _ties(tie: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The tie as a sort key, where there is one."""
+    return (tie,) if tie.any() else ()
 
 
-def _pieces(doc: int, data: bytes) -> Iterator[tuple[int, int, bytes]]:
+def _pieces(doc: int, tie: int, data: bytes) -> Iterator[tuple[int, int, int, bytes]]:
     """A document, cut between lines if it has very many."""
     if data.count(b"\n") < MAX_LINES:
-        yield doc, 0, data
+        yield doc, tie, 0, data
         return
     lines = data.split(b"\n")
     for i in range(0, len(lines), MAX_LINES):
-        yield doc, i, b"\n".join(lines[i : i + MAX_LINES])
+        yield doc, tie, i, b"\n".join(lines[i : i + MAX_LINES])
 
 
 def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[Lines]:
     """The lines of a few documents at a time."""
     held, size, breaks = [], 0, 0
     for batch in batches:
-        for d, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            for piece in _pieces(d, data.as_py()):
+        for d, t, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            for piece in _pieces(d, t, data.as_py()):
                 held.append(piece)
-                size += len(piece[2]) + 1
-                breaks += piece[2].count(b"\n") + 1
+                size += len(piece[3]) + 1
+                breaks += piece[3].count(b"\n") + 1
                 if size >= SLICE_BYTES or breaks >= MAX_LINES:
                     x = Lines(held)
                     if len(x.size):
@@ -144,10 +170,10 @@ def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[Lines]:
 
 
 #: A row of the first pass: kind 0, a slice of token counts (places that are not zero in c0, counts in c1); kind 1, packed places of sets.
-PLACE = [np.uint64, np.uint64, np.int64, np.uint32, np.uint8]
+PLACE = [np.uint64, np.uint64, np.int64, np.int64, np.uint32, np.uint8]
 
 
-def first_pass(docs: DataFrame, text: str = "text") -> DataFrame:
+def first_pass(docs: DataFrame, text: str = "text", tied: bool = False) -> DataFrame:
     """Token counts and the places of all sets, from one reading of the texts; written, as both are used."""
     buckets, width = bucket_count(docs.sparkSession), BUCKETS // SLICES
 
@@ -170,14 +196,14 @@ def first_pass(docs: DataFrame, text: str = "text") -> DataFrame:
             if n_held >= COUNTS:
                 count()
             # within a slice only the first place of a set goes to the set's bucket; the others are copies already
-            order = np.lexsort((x.number, x.doc, x.cls))
-            c, d, n, check = x.cls[order], x.doc[order], x.number[order], x.check()[order]
+            order = np.lexsort((x.number, *_ties(x.tie), x.doc, x.cls))
+            c, d, t, n, check = x.cls[order], x.doc[order], x.tie[order], x.number[order], x.check()[order]
             lead = np.append(True, c[1:] != c[:-1])
             start = np.flatnonzero(lead)[np.cumsum(lead) - 1]
-            take = lead | (d != d[start]) | (n != n[start])  # a repeated row of one document is the same place, not a copy
+            take = lead | (d != d[start]) | (t != t[start]) | (n != n[start])  # a repeated row of one document is the same place, not a copy
             with np.errstate(over="ignore"):
-                key = np.where(lead, c, mix(d.astype(np.uint64) + n.astype(np.uint64)))
-            packer.add(key[take], np.where(lead, check, c)[take], d[take], n[take].astype(np.uint32), (~lead).astype(np.uint8)[take])
+                key = np.where(lead, c, mix(d.astype(np.uint64) + t.astype(np.uint64) + n.astype(np.uint64)))
+            packer.add(key[take], np.where(lead, check, c)[take], d[take], t[take], n[take].astype(np.uint32), (~lead).astype(np.uint8)[take])
             if packer.full():
                 yield from packed()
         yield from packed()
@@ -189,10 +215,10 @@ def first_pass(docs: DataFrame, text: str = "text") -> DataFrame:
                 rows.append((k, at.astype(np.uint16).tobytes(), part[at].tobytes()))
         if rows:
             k, at, n = zip(*rows, strict=True)
-            columns = [pa.array(np.zeros(len(k), np.int32)), pa.array(k, pa.int32()), pa.array(at, pa.binary()), pa.array(n, pa.binary()), *[pa.nulls(len(k), pa.binary())] * 3]
-            yield pa.RecordBatch.from_arrays(columns, names=["kind", "bucket", *(f"c{i}" for i in range(5))])
+            columns = [pa.array(np.zeros(len(k), np.int32)), pa.array(k, pa.int32()), pa.array(at, pa.binary()), pa.array(n, pa.binary()), *[pa.nulls(len(k), pa.binary())] * 4]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "bucket", *(f"c{i}" for i in range(6))])
 
-    return materialize(_rows(docs, text).mapInArrow(tidy(run), "kind int, " + packed_schema(5)), "lines")
+    return materialize(_rows(docs, text, tied).mapInArrow(tidy(run), "kind int, " + packed_schema(6)), "lines")
 
 
 def rarity(first: DataFrame) -> np.ndarray:
@@ -226,28 +252,29 @@ def rarity(first: DataFrame) -> np.ndarray:
 
 
 def copies(first: DataFrame) -> DataFrame:
-    """(class, doc, line) of lines whose set stood in the corpus before."""
+    """(class, doc, tie, line) of lines whose set stood in the corpus before."""
 
-    def process(key, check, d, n, known) -> Iterator[pa.RecordBatch]:
+    def process(key, check, d, t, n, known) -> Iterator[pa.RecordBatch]:
         known, n = known.astype(bool), n.astype(np.int64)
-        k, c, dd, nn = key[~known], check[~known], d[~known], n[~known]
-        order = np.lexsort((nn, dd, c, k))
-        k, c, dd, nn = k[order], c[order], dd[order], nn[order]
+        k, c, dd, tt, nn = key[~known], check[~known], d[~known], t[~known], n[~known]
+        order = np.lexsort((nn, *_ties(tt), dd, c, k))
+        k, c, dd, tt, nn = k[order], c[order], dd[order], tt[order], nn[order]
         lead = np.ones(len(k), dtype=bool)
         lead[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
         start = np.flatnonzero(lead)[np.cumsum(lead) - 1] if len(k) else np.zeros(0, np.int64)
-        late = ~lead & ~((dd == dd[start]) & (nn == nn[start]))
+        late = ~lead & ~((dd == dd[start]) & (tt == tt[start]) & (nn == nn[start]))
         cls = np.concatenate((check[known], k[late])).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(np.concatenate((d[known], dd[late]))), pa.array(np.concatenate((n[known], nn[late])))], names=["class", "doc", "line"])
+        places = [pa.array(np.concatenate((x[known], y[late]))) for x, y in ((d, dd), (t, tt), (n, nn))]
+        yield pa.RecordBatch.from_arrays([pa.array(cls), *places], names=["class", "doc", "tie", "line"])
 
-    return materialize(by_bucket(first.filter("kind = 1").drop("kind"), PLACE, process, "class bigint, doc bigint, line bigint"), "copies")
+    return materialize(by_bucket(first.filter("kind = 1").drop("kind"), PLACE, process, GONE), "copies")
 
 
-POSTING = [np.uint32, *[np.uint64] * 4, np.uint32, np.uint32, np.uint16, np.int64, np.uint32]
+POSTING = [np.uint32, *[np.uint64] * 4, np.uint32, np.uint32, np.uint16, np.int64, np.int64, np.uint32]
 
 
-def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", undecided: np.ndarray | None = None) -> DataFrame:
-    """(xd, xl, yd, yl, far, more): an earlier line x that may match a later line y, and how far their sketches are apart.
+def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", undecided: np.ndarray | None = None, tied: bool = False) -> DataFrame:
+    """(xd, xt, xl, yd, yt, yl, far, more): an earlier line x that may match a later line y, and how far their sketches are apart.
 
     ``more``: y has further partners in this run. With ``undecided``, a bitmap of places, all partners of those y.
     """
@@ -257,7 +284,7 @@ def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", u
         packer, table = KeyPacker(buckets), codes.value
         for x in _parts(batches):
             # each set once, with its first place of the slice
-            order = np.lexsort((x.number, x.doc, x.cls))
+            order = np.lexsort((x.number, *_ties(x.tie), x.doc, x.cls))
             lead = np.append(True, x.cls[order][1:] != x.cls[order][:-1])
             chosen = np.zeros(len(x.size), dtype=bool)
             chosen[order[lead]] = True
@@ -269,21 +296,21 @@ def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", u
             keep = (at < prefix) & ((flat & TOKEN) >> U(RARE_BITS) > 0)
             of = x.of[keep]
             token = mix(flat[keep] & TOKEN)
-            packer.add(token, *(z[of] for z in x.parity()), (x.cls[of] >> U(32)).astype(np.uint32), x.size[of].astype(np.uint32), np.minimum(at[keep], 65535).astype(np.uint16), x.doc[of], x.number[of].astype(np.uint32))
+            packer.add(token, *(z[of] for z in x.parity()), (x.cls[of] >> U(32)).astype(np.uint32), x.size[of].astype(np.uint32), np.minimum(at[keep], 65535).astype(np.uint16), x.doc[of], x.tie[of], x.number[of].astype(np.uint32))
             if packer.full():
                 yield from packer.flush()
         yield from packer.flush()
 
-    def process(key, p0, p1, p2, p3, cls, n, at, d, line) -> Iterator[pa.RecordBatch]:
+    def process(key, p0, p1, p2, p3, cls, n, at, d, t, line) -> Iterator[pa.RecordBatch]:
         # one entry for each set of a run, with its earliest place
-        order = np.lexsort((line, d, cls, p0, n, key))
-        key, p0, p1, p2, p3, cls, n, at, d, line = (c[order] for c in (key, p0, p1, p2, p3, cls, n, at, d, line))
+        order = np.lexsort((line, *_ties(t), d, cls, p0, n, key))
+        key, p0, p1, p2, p3, cls, n, at, d, t, line = (c[order] for c in (key, p0, p1, p2, p3, cls, n, at, d, t, line))
         lead = np.ones(len(key), dtype=bool)
         lead[1:] = (key[1:] != key[:-1]) | (n[1:] != n[:-1]) | (p0[1:] != p0[:-1]) | (cls[1:] != cls[:-1])
-        key, p0, p1, p2, p3, cls, n, at, d, line = (c[lead] for c in (key, p0, p1, p2, p3, cls, n, at, d, line))
+        key, p0, p1, p2, p3, cls, n, at, d, t, line = (c[lead] for c in (key, p0, p1, p2, p3, cls, n, at, d, t, line))
         n, at = n.astype(np.int64), at.astype(np.int64)
         if undecided is not None:
-            ask = in_bitmap(undecided, place(d, line))
+            ask = in_bitmap(undecided, place(d, t, line))
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         i = np.arange(len(key) - 1)
         step = 1
@@ -297,9 +324,10 @@ def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", u
             a, b = i[hit], j[hit]
             far = sum(np.bitwise_count(p[a] ^ p[b]).astype(np.int64) for p in (p0, p1, p2, p3))
             near = far <= total[hit] - 2 * need[hit]
+            near &= (d[a] != d[b]) | (t[a] != t[b]) | (line[a] != line[b])
             if near.any():
                 a, b = a[near], b[near]
-                later = (d[a] > d[b]) | ((d[a] == d[b]) & (line[a] > line[b]))
+                later = (d[a] > d[b]) | ((d[a] == d[b]) & ((t[a] > t[b]) | ((t[a] == t[b]) & (line[a] > line[b]))))
                 x, y = np.where(later, b, a), np.where(later, a, b)
                 if undecided is not None:
                     s = ask[y]
@@ -314,7 +342,7 @@ def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", u
         x, y, far = (np.concatenate(c) for c in zip(*found, strict=True))
         more = np.zeros(len(x), dtype=bool)
         if undecided is None:
-            order = np.lexsort((line[x], d[x], far, y))
+            order = np.lexsort((line[x], t[x], d[x], far, y))
             x, y, far = x[order], y[order], far[order]
             start = np.flatnonzero(np.diff(y, prepend=-1))
             size = np.diff(np.append(start, len(y)))
@@ -322,119 +350,121 @@ def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", u
             more = np.repeat(size > FEW, size)
             k = ~more | (rank < NEAREST)
             x, y, far, more = x[k], y[k], far[k], more[k]
-        rows = np.unique(np.column_stack((d[x], line[x].astype(np.int64), d[y], line[y].astype(np.int64), far, more.astype(np.int64))), axis=0)
-        yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(5)), pa.array(rows[:, 5] > 0)], names=["xd", "xl", "yd", "yl", "far", "more"])
+        rows = np.unique(np.column_stack((d[x], t[x], line[x].astype(np.int64), d[y], t[y], line[y].astype(np.int64), far, more.astype(np.int64))), axis=0)
+        yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(7)), pa.array(rows[:, 7] > 0)], names=[*X, *Y, "far", "more"])
 
-    packed = _rows(docs, text).mapInArrow(tidy(run), packed_schema(10))
-    return by_bucket(packed, POSTING, process, "xd bigint, xl bigint, yd bigint, yl bigint, far bigint, more boolean")
+    packed = _rows(docs, text, tied).mapInArrow(tidy(run), packed_schema(11))
+    return by_bucket(packed, POSTING, process, "xd bigint, xt bigint, xl bigint, yd bigint, yt bigint, yl bigint, far bigint, more boolean")
 
 
-def place(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """Where (doc, line) stands in the bitmap of undecided lines."""
+def place(doc: np.ndarray, tie: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Where (doc, tie, line) stands in the bitmap of undecided lines."""
     from lensmill.llm.packing import BITMAP_BITS
 
     with np.errstate(over="ignore"):
-        return (mix(doc.astype(np.uint64) * U(0x9FB21C651E98DF25) + line.astype(np.uint64)) & U(BITMAP_BITS - 1)).astype(np.int64)
+        return (mix((doc.astype(np.uint64) + tie.astype(np.uint64)) * U(0x9FB21C651E98DF25) + line.astype(np.uint64)) & U(BITMAP_BITS - 1)).astype(np.int64)
 
 
 def places_bitmap(lines: DataFrame) -> np.ndarray:
-    """A bitmap of (doc, line): each task's is or-ed into at most its fixed size."""
+    """A bitmap of (doc, tie, line): each task's is or-ed into at most its fixed size."""
     from lensmill.llm.packing import BITMAP_BITS
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(BITMAP_BITS, dtype=bool)
         for b in batches:
-            bits[place(b.column(0).to_numpy(), b.column(1).to_numpy())] = True
+            bits[place(*(b.column(k).to_numpy() for k in range(3)))] = True
         words = np.packbits(bits, bitorder="little").view("<u4")
         w = np.flatnonzero(words)
         if len(w):
             yield pa.RecordBatch.from_arrays([pa.array(w.astype(np.int32)), pa.array(words[w].astype(np.int64))], names=["w", "bits"])
 
-    rows = lines.select("doc", "line").mapInArrow(tidy(run), "w int, bits bigint").groupBy("w").agg(F.bit_or("bits").alias("bits")).toArrow()
+    rows = lines.select("doc", "tie", "line").mapInArrow(tidy(run), "w int, bits bigint").groupBy("w").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(BITMAP_BITS // 32, dtype=np.uint32)
     out[rows.column("w").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
     return out
 
 
-def lines_of(docs: DataFrame, pairs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc, line, data) of all lines of ``pairs``: documents sieved by a bitmap, then joined exactly."""
-    ends = pairs.select(F.col("xd").alias("doc"), F.col("xl").alias("line")).union(pairs.select("yd", "yl"))
-    wanted = materialize(ends.groupBy("doc").agg(F.collect_set("line").alias("lines")), "wanted")
+def lines_of(docs: DataFrame, pairs: DataFrame, text: str = "text", tied: bool = False) -> DataFrame:
+    """(doc, tie, line, data) of all lines of ``pairs``: documents sieved by a bitmap, then joined exactly."""
+    ends = pairs.select(*X).toDF("doc", "tie", "line").union(pairs.select(*Y))
+    wanted = materialize(ends.groupBy("doc", "tie").agg(F.collect_set("line").alias("lines")), "wanted")
     bits = bitmap(wanted, "doc")
 
     def sieve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            part = b.filter(pa.array(in_bitmap(bits, b.column(2).to_numpy())))
+            part = b.filter(pa.array(in_bitmap(bits, b.column(3).to_numpy())))
             if part.num_rows:
-                yield pa.RecordBatch.from_arrays(part.columns[:2], names=["doc", "data"])
+                yield pa.RecordBatch.from_arrays(part.columns[:3], names=["doc", "tie", "data"])
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for d, data, lines in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+            for d, t, data, lines in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
                 all_lines = data.as_py().split(b"\n")
-                out += [(d, n, all_lines[n]) for n in lines if n < len(all_lines)]
+                out += [(d, t, n, all_lines[n]) for n in lines if n < len(all_lines)]
             if out:
-                d, n, t = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(n, pa.int64()), pa.array(t, pa.binary())], names=["doc", "line", "data"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc", "tie", "line", "data"])
 
-    rows = _rows(docs, text)
-    some = rows.withColumn("spot", spot("doc")).mapInArrow(tidy(sieve), "doc bigint, data binary")
-    lines = some.join(wanted, "doc").mapInArrow(tidy(cut), "doc bigint, line bigint, data binary").distinct()
+    rows = _rows(docs, text, tied)
+    some = rows.withColumn("spot", spot("doc")).mapInArrow(tidy(sieve), "doc bigint, tie bigint, data binary")
+    lines = some.join(wanted, ["doc", "tie"]).mapInArrow(tidy(cut), "doc bigint, tie bigint, line bigint, data binary").distinct()
     return materialize(lines, "texts")
 
 
 def verify(lines: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """(class, doc, line) of the lines y of ``pairs`` that have a similar x, checked on their words."""
-    x = lines.toDF("xd", "xl", "x")
-    y = lines.toDF("yd", "yl", "y")
-    both = pairs.select("xd", "xl", "yd", "yl").join(x, ["xd", "xl"]).join(y, ["yd", "yl"]).select("yd", "yl", "x", "y")
+    """(class, doc, tie, line) of the lines y of ``pairs`` that have a similar x, checked on their words."""
+    x = lines.toDF(*X, "x")
+    y = lines.toDF(*Y, "y")
+    both = pairs.select(*X, *Y).join(x, X).join(y, Y).select(*Y, "x", "y")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for d, n, p, q in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+            for d, t, n, p, q in zip(*(b.column(k).to_pylist() for k in range(3)), b.column(3), b.column(4), strict=True):
                 y = q.as_py()
-                s, t = set(p.as_py().split()), set(y.split())
-                same = len(s & t)
-                if same and den * same >= num * (len(s) + len(t) - same):
-                    out.append((y, d, n))
+                own, other = set(p.as_py().split()), set(y.split())
+                same = len(own & other)
+                if same and den * same >= num * (len(own) + len(other) - same):
+                    out.append((y, d, t, n))
             if out:
-                y, d, n = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (classes_of(list(y)), d, n)], names=["class", "doc", "line"])
+                y, *at = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (classes_of(list(y)), *at)], names=["class", "doc", "tie", "line"])
 
-    return materialize(both.mapInArrow(tidy(check), "class bigint, doc bigint, line bigint").distinct(), "similar")
+    return materialize(both.mapInArrow(tidy(check), GONE).distinct(), "similar")
 
 
 def removed(docs: DataFrame, num: int = NUM, den: int = DEN, text: str = "text") -> DataFrame:
-    """(class, doc, line) of every line to remove."""
-    first = first_pass(docs, text)
+    """(class, doc, tie, line) of every line to remove."""
+    tied = reused(docs)
+    first = first_pass(docs, text, tied)
     gone = copies(first)
     codes = docs.sparkSession.sparkContext.broadcast(rarity(first))
-    keys = ["xd", "xl", "yd", "yl"]
-    found = candidates(docs, codes, num, den, text).groupBy(*keys).agg(F.min("far").alias("far"), F.bool_or("more").alias("more"))
-    nearest = F.row_number().over(Window.partitionBy("yd", "yl").orderBy("far", "xd", "xl"))
+    keys = [*X, *Y]
+    found = candidates(docs, codes, num, den, text, tied=tied).groupBy(*keys).agg(F.min("far").alias("far"), F.bool_or("more").alias("more"))
+    nearest = F.row_number().over(Window.partitionBy(*Y).orderBy("far", *X))
     found = materialize(found.withColumn("rank", nearest), "candidates")
-    lines = lines_of(docs, found, text)
+    lines = lines_of(docs, found, text, tied)
     similar = verify(lines, found.filter(F.col("rank") <= FIRST), num, den)
-    decided = similar.select(F.col("doc").alias("yd"), F.col("line").alias("yl"))
-    rest = found.filter(F.col("rank") > FIRST).join(decided, ["yd", "yl"], "left_anti")
+    decided = similar.select("doc", "tie", "line").toDF(*Y)
+    rest = found.filter(F.col("rank") > FIRST).join(decided, Y, "left_anti")
     similar = similar.unionByName(verify(lines, rest, num, den))
-    decided = similar.select("doc", "line")
-    open_ = found.filter("more").select(F.col("yd").alias("doc"), F.col("yl").alias("line")).distinct().join(decided, ["doc", "line"], "left_anti")
+    decided = similar.select("doc", "tie", "line")
+    open_ = found.filter("more").select(*Y).toDF(*decided.columns).distinct().join(decided, decided.columns, "left_anti")
     open_ = materialize(open_, "undecided")
     if not open_.isEmpty():
-        rest = candidates(docs, codes, num, den, text, places_bitmap(open_)).select(*keys).distinct().join(found.select(*keys), keys, "left_anti")
+        rest = candidates(docs, codes, num, den, text, places_bitmap(open_), tied).select(*keys).distinct().join(found.select(*keys), keys, "left_anti")
         rest = materialize(rest, "candidates")
-        similar = similar.unionByName(verify(lines_of(docs, rest, text), rest, num, den))
+        similar = similar.unionByName(verify(lines_of(docs, rest, text, tied), rest, num, den))
     return gone.unionByName(similar)
 
 
 def strip(docs: DataFrame, gone: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the lines ``gone`` (class, doc, line), plus ``_n_lines`` and ``_n_removed`` (lines with words)."""
-    per_doc = gone.groupBy("doc").agg(F.collect_set(F.struct("line", "class")).alias("_gone"))
-    keyed = docs.withColumn("_doc", F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("bigint"))
-    joined = keyed.join(per_doc.withColumnRenamed("doc", "_doc"), "_doc", "left").select(*docs.columns, "_gone")
+    """``docs`` without the lines ``gone`` (class, doc, tie, line), plus ``_n_lines`` and ``_n_removed`` (lines with words)."""
+    per_doc = gone.groupBy(F.col("doc").alias("_doc"), F.col("tie").alias("_tie")).agg(F.collect_set(F.struct("line", "class")).alias("_gone"))
+    tied = not gone.filter("tie <> 0").isEmpty()
+    keyed = docs.withColumns({"_doc": _doc(), "_tie": _tie(text, tied)})
+    joined = keyed.join(per_doc, ["_doc", "_tie"], "left").select(*docs.columns, "_gone")
     at = docs.columns.index(text)
     names = [*docs.columns, "_n_lines", "_n_removed"]
     schema = T.StructType([*docs.schema.fields, T.StructField("_n_lines", T.LongType()), T.StructField("_n_removed", T.LongType())])

@@ -206,6 +206,22 @@ def test_lines_repeated_rows(spark):
     assert line_dedup.dedup(df.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("shared", [None, 7])
+def test_lines_of_rows_that_share_an_id(spark, shared):
+    """Rows without a doc_id, and rows of one doc_id, are documents of their own."""
+    near = [" ".join(f"w{i}" for i in range(20)), " ".join(f"w{i}" for i in range(19)) + " other"]
+    texts = [f"{near[0]}\nonly here", f"{near[1]}\nsame line again", "a clean first line\nsame line again", near[0], "nothing like the others"]
+    df = docs(spark, [(shared, t, "a") for t in texts])
+    rows = {r.text: r for r in line_dedup.strip(df, line_dedup.removed(df)).collect()}
+    left = Counter(x for t in rows for x in t.split("\n") if x)
+    assert sum(left[x] for x in near) == 1 and left["same line again"] == 1
+    assert left["only here"] == left["a clean first line"] == left["nothing like the others"] == 1
+    order = [r.text for r in df.orderBy(F.xxhash64(F.col("doc_id").isNull(), F.col("text").cast("binary"))).collect()]
+    want = {order[d].split("\n")[i] for d, i in brute_lines(list(enumerate(order)))}
+    gone = Counter(x for t in texts for x in t.split("\n")) - left
+    assert set(gone) == want and sum(gone.values()) == len(brute_lines(list(enumerate(order))))
+
+
 # -- 6
 
 def brute_url(url):
