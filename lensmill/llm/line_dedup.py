@@ -106,9 +106,13 @@ class Lines:
 def classes_of(lines: list[bytes]) -> list[int]:
     """The class of each line; 0 for a line without words."""
     out = np.zeros(len(lines), dtype=np.int64)
-    if lines:
-        x = Lines([(0, 0, 0, line) for line in lines])
-        out[x.piece] = x.cls.astype(np.int64)
+    start, size = 0, 0
+    for end, line in enumerate(lines, 1):
+        size += len(line) + 1
+        if size >= SLICE_BYTES or end - start >= MAX_LINES or end == len(lines):
+            x = Lines([(0, 0, 0, piece) for piece in lines[start:end]])
+            out[start + x.piece] = x.cls.astype(np.int64)
+            start, size = end, 0
     return out.tolist()
 
 

@@ -222,6 +222,13 @@ def test_lines_of_rows_that_share_an_id(spark, shared):
     assert set(gone) == want and sum(gone.values()) == len(brute_lines(list(enumerate(order))))
 
 
+def test_classes_of_more_lines_than_fit_a_slice():
+    n = (1 << 20) + 9
+    got = line_dedup.classes_of([b"a"] * n + [b"b", b" ", b"a"])
+    assert got[n:] == line_dedup.classes_of([b"b", b" ", b"a"]) and got[n + 1] == 0 and set(got[:n]) == {got[-1]}
+    assert line_dedup.classes_of([]) == []
+
+
 # -- 6
 
 def brute_url(url):
