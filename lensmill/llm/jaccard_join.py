@@ -21,7 +21,9 @@ of a star once for each chunk of partners. A sketch of parities bounds the diffe
 
 Hot groups. Copies fall into one class before anything is paired. In a run of many classes with one key only the pairs
 with its first member are taken first; links and components follow, and only members of a run that are still in
-different components are compared with each other, in blocks, by size and sketch. So near copies in a group of k cost k pairs, and no link is lost.
+different components are compared with each other, in blocks, by size and sketch. So near copies in a group of k cost k pairs,
+and components are exact; links inside a component are not all looked for. Where ``similar`` is asked for ``links``, all
+members of a run are compared in those blocks and every link is found and counted.
 Classes are known by 64-bit hashes; two sets with the same one are detected, and everything starts again with another
 seed.
 
@@ -510,8 +512,8 @@ def block_pairs(members: DataFrame, classes: DataFrame, num: int, den: int) -> D
     return met.repartition("run", "lo", "hi").sortWithinPartitions("run", "lo", "hi").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
-def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, class (c1), n_links of its class, component_id."""
+def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, text: str = "text", links: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_shingles, class (c1), component_id; with ``links`` n_links, the number of other classes its class is linked with."""
     if num * 100 < den * 80:
         raise ValueError("the similarity must be 0.8 or more: below, small sets have too few tokens for the pigeonhole")
     spark: SparkSession = docs.sparkSession
@@ -536,9 +538,13 @@ def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, t
     members = runs.filter("kind = 1").select(F.col("a").alias("run"), F.col("b").alias("class")).distinct()
     named = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(members.select("class")).distinct()
     texts = texts_of(docs, named.join(classes, "class").select("class", "rep"), n, text, seed)
-    links = verify(pairs, texts, n, num, den)
-    labels = components(links)
-    while True:
+    edges = verify(pairs, texts, n, num, den)
+    if links:
+        # every two members of a run are compared: each stands for itself
+        rest = block_pairs(members.withColumn("root", F.col("class")), classes, num, den).distinct().join(pairs, ["a", "b"], "left_anti")
+        edges = edges.unionByName(verify(materialize(rest, "pairs"), texts, n, num, den))
+    labels = components(edges)
+    while not links:
         # members of one run in different components may still be linked: pair those that were not paired yet
         placed = members.join(labels.withColumnRenamed("node", "class"), "class", "left").select("run", "class", F.coalesce("root", "class").alias("root"))
         split = placed.groupBy("run").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("run")
@@ -550,19 +556,22 @@ def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, t
         if rest.isEmpty():
             break
         pairs = pairs.unionByName(rest)
-        links = links.unionByName(verify(rest, texts, n, num, den))
-        labels = components(links)
-    ends = links.select(F.col("a").alias("class")).unionByName(links.select(F.col("b").alias("class")))
-    counts = ends.groupBy("class").agg(F.count("*").alias("n_links"))
+        edges = edges.unionByName(verify(rest, texts, n, num, den))
+        labels = components(edges)
     rooted = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("class", "rep", F.coalesce("root", "class").alias("root"))
     rooted = materialize(rooted, "rooted")
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component"))
-    of_class = rooted.join(smallest, "root").join(counts, "class", "left").select(F.col("class").alias("c1"), "component", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    of_class = rooted.join(smallest, "root").select(F.col("class").alias("c1"), "component")
     out = found.join(of_class, "c1", "left")
     alone = F.col("n_shingles") == 0
+    counted = []
+    if links:
+        ends = edges.select(F.col("a").alias("c1")).unionByName(edges.select(F.col("b").alias("c1")))
+        out = out.join(ends.groupBy("c1").agg(F.count("*").alias("n_links")), "c1", "left")
+        counted = [F.when(alone, F.lit(0)).otherwise(F.coalesce("n_links", F.lit(0))).cast("bigint").alias("n_links")]
     return out.select(
         "doc_id", "n_shingles", F.when(~alone, F.col("c1")).alias("class"),
-        F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("bigint").alias("n_links"),
+        *counted,
         F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     )
 

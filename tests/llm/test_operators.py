@@ -418,6 +418,23 @@ def test_jaccard_long_runs(spark, monkeypatch):
     assert {x.doc_id: x.component_id for x in jaccard_join.similar(docs(spark, [(i, t, "a") for i, t in rows]), 4, 85, 100).collect()} == comp
 
 
+def test_jaccard_counts_all_links(spark):
+    """A group of near copies that is longer than a short run: each is linked with nearly every other."""
+    r = random.Random(6)
+    rows = []
+    for i in range(30):
+        w = [f"w{k}" for k in range(80)]
+        for _ in range(i % 3):
+            w[r.randrange(80)] = f"x{i}_{r.random()}"
+        rows.append((i, " ".join(w)))
+    sets = {i: jaccard_join.shingles(t.encode(), 4) for i, t in rows}
+    want = {i: len({y for y in sets.values() if y != x and 100 * len(x & y) >= 85 * len(x | y)}) for i, x in sets.items()}
+    assert max(want.values()) > jaccard_join.SMALL_RUN
+    out = jaccard_join.similar(docs(spark, [(i, t, "a") for i, t in rows]), 4, 85, 100, links=True).collect()
+    assert {x.doc_id: x.n_links for x in out} == want and {x.doc_id: x.component_id for x in out} == brute_components(rows, 4, 85, 100)[0]
+    assert "n_links" not in jaccard_join.similar(docs(spark, [(1, "a", "a")]), 4, 85, 100).columns
+
+
 def test_jaccard_edges(spark):
     df = docs(spark, [(None, "a b c d e", "x"), (3, "A b C d e", "x"), (3, "a b c d e", "x"), (4, None, "x"), (5, "  ", "x"), (6, "a", "x"), (7, "A", "x")])
     got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard_join.similar(df, 4, 85, 100).collect())
