@@ -1,7 +1,8 @@
 """Operator 7: media columns of interleaved documents.
 
 HTML is parsed into one ordered sequence of items per document: text, or a reference to media by digest
-(``urn:sha256:...``) with its caption. Media live once, in a content-addressed table (digest, stored bytes); a join on
+(``urn:sha256:...``) with its caption. A figure's caption, before or after its media, goes to all of them; without media,
+or outside a figure, it is text; one that is never closed ends with its figure or the document. Media live once, in a content-addressed table (digest, stored bytes); a join on
 the digest resolves references, and every item keeps its position and caption whether or not its media are found.
 
 The stored form is a grey PNG of 64 columns: a payload padded with zero bytes to a positive multiple of 64 is its
@@ -48,6 +49,13 @@ SILENT = frozenset(("script", "style", "template", "noscript", "title"))
 ITEM = "struct<position:int,kind:string,text:string,src:string,digest:string,caption:string>"
 
 
+class _Figure:
+    """An open figure: where its items begin, where its caption stands, and the caption's text so far."""
+
+    def __init__(self, start: int) -> None:
+        self.start, self.at, self.caption, self.open = start, start, [], False
+
+
 class _Sequence(HTMLParser):
     """Text between block elements, and media references, in document order."""
 
@@ -56,62 +64,90 @@ class _Sequence(HTMLParser):
         self.items: list[dict] = []
         self.buffer: list[str] = []
         self.silent = 0
-        self.caption: list[str] | None = None
-        self.figure: int | None = None
+        self.figures: list[_Figure] = []
+        self.captioned: set[int] = set()
 
     def _flush(self) -> None:
         text = " ".join("".join(self.buffer).split(" ")).strip()
         self.buffer = []
         if text:
-            self._add(kind="text", text=text)
+            self.items.append(self._item(kind="text", text=text))
 
-    def _add(self, **item) -> None:
-        self.items.append({"position": len(self.items), "kind": None, "text": None, "src": None, "digest": None, "caption": None} | item)
+    def _item(self, **item) -> dict:
+        return {"position": 0, "kind": None, "text": None, "src": None, "digest": None, "caption": None} | item
+
+    def _in_caption(self) -> bool:
+        return bool(self.figures) and self.figures[-1].open
+
+    def _block(self) -> None:
+        self._flush()
+        if self._in_caption() and self.figures[-1].caption[-1:] != [" "]:
+            self.figures[-1].caption.append(" ")
+
+    def _end_figure(self) -> None:
+        """The caption goes to all media of the figure that a figure within has not captioned; without any it is text."""
+        figure = self.figures.pop()
+        text = "".join(figure.caption).strip()
+        if not text:
+            return
+        media = [i for i in self.items[figure.start :] if i["kind"] != "text" and id(i) not in self.captioned]
+        for item in media:
+            item["caption"] = text
+            self.captioned.add(id(item))
+        if not media:
+            self.items.insert(figure.at, self._item(kind="text", text=text))
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag in SILENT:
             self.silent += 1
         if tag in BLOCKS:
-            self._flush()
+            self._block()
         if tag == "figure":
-            self.figure = len(self.items)
-        if tag == "figcaption":
-            self.caption = []
+            self.figures.append(_Figure(len(self.items)))
+        if tag == "figcaption" and self.figures:
+            figure = self.figures[-1]
+            if not figure.caption:
+                figure.at = len(self.items)
+            figure.caption.append(" ")
+            figure.open = True
         if tag in ("img", "video", "audio", "source"):
             self._flush()
             a = dict(attrs)
             src = a.get("src")
             if src:
                 digest = src[len(URN) :].lower() if src.lower().startswith(URN) else None
-                self._add(kind={"img": "image"}.get(tag, tag), src=src, digest=digest, caption=a.get("alt"))
+                self.items.append(self._item(kind={"img": "image"}.get(tag, tag), src=src, digest=digest, caption=a.get("alt")))
 
     def handle_endtag(self, tag: str) -> None:
         if tag in SILENT:
             self.silent = max(0, self.silent - 1)
-        if tag == "figcaption" and self.caption is not None:
-            text = "".join(self.caption).strip()
-            for item in self.items[self.figure or 0 :] if text else ():
-                if item["kind"] != "text":
-                    item["caption"] = text
-            self.caption = None
-        if tag == "figure":
-            self.figure = None
         if tag in BLOCKS:
-            self._flush()
+            self._block()
+        if tag == "figcaption" and self.figures:
+            self.figures[-1].open = False
+        if tag == "figure" and self.figures:
+            self._end_figure()
 
     def handle_data(self, data: str) -> None:
         if self.silent:
             return
-        (self.buffer if self.caption is None else self.caption).append(data)
+        (self.figures[-1].caption if self._in_caption() else self.buffer).append(data)
+
+    def finish(self) -> list[dict]:
+        self.close()
+        self._flush()
+        while self.figures:
+            self._end_figure()
+        for k, item in enumerate(self.items):
+            item["position"] = k
+        return self.items
 
 
 def parse(page: str | None) -> list[dict]:
     """The items of one document."""
     p = _Sequence()
     p.feed(page or "")
-    p.close()
-    p._flush()
-    return p.items
+    return p.finish()
 
 
 def pad(data: bytes) -> bytes:

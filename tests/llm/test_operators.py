@@ -285,6 +285,21 @@ def test_interleave(spark):
     assert sorted((r.k, r.position, r.width) for r in media_columns.resolve(items, media).collect()) == [(1, 3, 7), (1, 5, None), (2, 0, None)]
 
 
+def test_captions_of_figures():
+    def seen(page):
+        items = media_columns.parse(page)
+        assert [i["position"] for i in items] == list(range(len(items)))
+        return [i["text"] or (i["src"], i["caption"]) for i in items]
+
+    assert seen('<figure><figcaption>Cap</figcaption><img src="a"><img src="b" alt="x"></figure><img src="c" alt="y">') == [("a", "Cap"), ("b", "Cap"), ("c", "y")]
+    assert seen("<p>one</p><figure><figcaption>Cap</figcaption><pre>code</pre></figure>two") == ["one", "Cap", "code", "two"]
+    assert seen('<figure><img src="a"><figcaption>Cap</figure><p>later</p>') == [("a", "Cap"), "later"]
+    assert seen('<p>one</p><figure><img src="a"><figcaption>never closed') == ["one", ("a", "never closed")]
+    assert seen('<img src="a" alt="x"><figcaption>loose</figcaption><p>later') == [("a", "x"), "loose", "later"]
+    assert seen('<figure><figcaption>out<p>er</p></figcaption><figure><img src="a"><figcaption>in</figcaption></figure><img src="b"></figure>') == [("a", "in"), ("b", "out er")]
+    assert seen('</figcaption></figure><figure><img src="a" alt="x"></figure>') == [("a", "x")]
+
+
 # -- 8
 
 def brute_targets(sizes, weights=(5, 2, 1)):
