@@ -171,7 +171,12 @@ STRONG_JUNK = (r"\benable javascript\b", r"\baccept (?:all )?cookies\b", r"\bver
 WEAK_JUNK = (r"\bcookies?\b", r"\blog ?in\b", r"\bsubscribe\b", r"\bprivacy policy\b", r"\bplease wait\b", r"\bnewsletter\b", r"\banmelden\b", r"\bse connecter\b")
 OBIT_SIGNAL = (*OBITUARY, r"\bdied\b", r"\bsurvived by\b", r"\bgestorben\b", r"\bdécès\b", r"\bcondolences\b", r"\bin loving memory\b")
 OBIT_SIGNAL_ASCII = tuple(p for p in OBIT_SIGNAL if p.isascii())
-DEATH_ADJACENT = r"(?iu)(?:^|[^\p{L}])(?:dead|death|died|tod|gestorb|mort|décès|décéd|muert|fallec)"
+#: A wide net in six languages, most stems at the beginning of a word; boundaries know all letters.
+_START, _END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+DEATH_ADJACENT = (
+    rf"(?iu)passed away|laid to rest|in memoriam|{_START}(?:di(?:ed|es){_END}|obituar|death|funeral|memorial|remembrance|tribute|mourn|eulog|condolen"
+    r"|overled|overlijden|gestorven|uitvaart|verstorben|gestorben|nachruf|trauer|falleci|deceso|óbito|esquela|décès|obsèques|disparition|hommage)"
+)
 COMMERCE = (r"\bbuy now\b", r"\bdiscount\b", r"\bfree shipping\b", r"\bpromo code\b", r"\bbest deals?\b", r"\blimited offer\b", r"\bprime day\b", r"\bblack friday\b", r"\bunder \$\d+", r"\bon sale\b")
 
 #: Sentences that queries put before the invented prose of the stand-in table, so that rules have something to find.

@@ -105,7 +105,8 @@ ROUTE = [
     R.Rule(R.Raw("true"), "other"),
 ]
 column("pred_route_bucket", lambda: R.reason(ROUTE), R.reason_sql(ROUTE))
-column("pred_death_adjacent", lambda: C("t").rlike(P.DEATH_ADJACENT), "")
+#: The whole text with its accents, which ``t`` has not.
+column("pred_death_adjacent", lambda: F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("content", F.lit(""))).rlike(P.DEATH_ADJACENT), "")
 SIGNALS = (P.DISCOVERY, P.NATURE, P.BELONG, P.ADVERSITY, (r"\bthe\b", r"\bder\b", r"\bla\b"))
 _sig = " + ".join(f"CAST({R.Any(g).sql()} AS INTEGER)" for g in SIGNALS)
 

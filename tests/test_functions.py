@@ -98,3 +98,14 @@ def test_ask_retries(spark):
     got = {r["p"]: (r["answer"], r["attempts"]) for r in M.ask(df, "p", client, sleep=lambda s: None).collect()}
     assert got == {"auth": (None, 1), "slow": ("ok", 3), "good": ("ok", 1)}
     assert M.backoff("rate_limit", 1) == 4.0
+
+
+def test_death_adjacent_reads_accents_and_the_whole_text(spark, sf, monkeypatch):
+    from lensmill.plans import q_rules, registry
+
+    yes = ["Avis de décès", "ses obsèques", "Nachruf auf", "Óbito", "nota de ÓBITO", "overleden in mei", "Verstorbene", "he died.", "passed away", "x " * 2000 + "funeral"]
+    no = ["distributed", "studied", "today", "édeath", "diedrich", "a clean text"]
+    rows = spark.createDataFrame([(i, "u", "s", "en", None if i % 2 else t, t if i % 2 else None) for i, t in enumerate([*yes, *no])], "id bigint, url string, source string, language string, title string, content string")
+    monkeypatch.setattr(q_rules, "topical", lambda spark, d: rows.withColumns({"t": F.regexp_replace(F.lower(F.concat_ws(" ", "title", F.substring("content", 1, 2000))), r"[^\x00-\x7F]", "x")}))
+    out = {r.id: r.out for r in registry.load()["pred_death_adjacent"].run(spark, sf).collect()}
+    assert [out[i] for i in range(len(out))] == [True] * len(yes) + [False] * len(no)
