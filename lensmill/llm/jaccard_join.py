@@ -41,7 +41,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lensmill.llm.common import bounded_batches, materialize, text_or_empty, tidy
@@ -253,20 +253,20 @@ def _slices(batch: pa.RecordBatch, size: int = 512) -> Iterator[pa.RecordBatch]:
 
 
 def describe(docs: DataFrame, n: int, text: str = "text", seed: int = 0) -> DataFrame:
-    """doc_id, n_shingles, the class hashes c1, c2 and the sketch."""
-    names = ["doc_id", "n_shingles", "c1", "c2", "sketch"]
+    """doc_id, n_shingles, the class hashes c1, c2, the sketch and the bytes of text."""
+    names = ["doc_id", "n_shingles", "c1", "c2", "sketch", "bytes"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Sets(n, seed)
         for batch in batches:
-            rows = []
-            for u in sets.of_all([b.as_py() for b in batch.column(1)]):
-                rows.append((len(u), *sets.class_of(u), sketch(u)))
+            rows, data = [], [b.as_py() for b in batch.column(1)]
+            for u, text in zip(sets.of_all(data), data, strict=True):
+                rows.append((len(u), *sets.class_of(u), sketch(u), len(text)))
             if rows:
-                columns = zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)
+                columns = zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in columns)], names=names)
 
-    return _documents(docs, text).mapInArrow(tidy(run), "doc_id bigint, n_shingles bigint, c1 bigint, c2 bigint, sketch binary")
+    return _documents(docs, text).mapInArrow(tidy(run), "doc_id bigint, n_shingles bigint, c1 bigint, c2 bigint, sketch binary, bytes bigint")
 
 
 #: In a posting's last field: this group has a set with too few segments. As a key: the same, later.
@@ -274,12 +274,11 @@ SHORT, SHORT_KEY = 0xFFFFFFFF, (1 << 64) - 1
 POSTING = [np.uint32, np.int64, np.uint32]
 
 
-def postings(docs: DataFrame, n: int, plan: Plan, text: str = "text", seed: int = 0) -> DataFrame:
+def postings(docs: DataFrame, n: int, plan: Plan, buckets: int, text: str = "text", seed: int = 0) -> DataFrame:
     """Packed (key, class, group and spare segments): every class of a task once.
 
     Spare: how many of a set's non-empty segments it could do without, N - H - 1; 0 in groups with one-deletion keys.
     """
-    buckets = bucket_count(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, packer, seen = Sets(n, seed), KeyPacker(buckets), set()
@@ -329,7 +328,7 @@ def shared_keys(packed: DataFrame, buckets: int) -> DataFrame:
         whole = (np.uint64(bucket) << U(32)) | key[many].astype(np.uint64)
         out.add(cls[many].astype(np.uint64), whole, often[many].astype(np.uint32), tag[many])
 
-    return by_bucket(packed, POSTING, process, packed_schema(4), repack=buckets)
+    return by_bucket(packed, POSTING, buckets, process, packed_schema(4), repack=buckets)
 
 
 def rarest_keys(shared: DataFrame, buckets: int) -> DataFrame:
@@ -355,15 +354,20 @@ def rarest_keys(shared: DataFrame, buckets: int) -> DataFrame:
         keep = rank < np.repeat(size, size) - spare
         out.add(key[keep], cls[keep].astype(np.int64))
 
-    return by_bucket(shared, [np.uint64, np.uint64, np.uint32, np.uint32], process, packed_schema(2), repack=buckets)
+    return by_bucket(shared, [np.uint64, np.uint64, np.uint32, np.uint32], buckets, process, packed_schema(2), repack=buckets)
 
 
 def _runs(keys: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """kind 0: candidate pairs (a, b); 1: members (run a, class b) of runs that are too long to pair; 2: groups (a) cut too coarsely."""
+    """kind 0: candidate pairs (a, b); 1: members (run a, class b) of runs that are too long to pair; 2: groups (a) cut too coarsely.
+
+    A long run is cut into ``blocks`` of ``BLOCK`` members, and ``own`` is a member's block, so no run meets in one task.
+    """
+    names = ["kind", "a", "b", "own", "blocks"]
+    out = lambda kind, a, b, *at: pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), *(pa.array(x, pa.int64()) for x in at or [np.zeros(len(a), np.int64)] * 2)], names=names)
     short = keys == SHORT_KEY
     if short.any():
         g = np.unique(ids[short])
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), 2, np.int32)), pa.array(g), pa.array(g)], names=["kind", "a", "b"])
+        yield out(2, g, g)
         keys, ids = keys[~short], ids[~short]
     order = np.lexsort((ids, keys))
     k, i = keys[order], ids[order]
@@ -389,13 +393,15 @@ def _runs(keys: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
         f, s, sums = f[once], s[once], sums[once]
         at = np.concatenate([np.arange(x, x + y) for x, y in zip(f, s, strict=True)])
         head, run = np.repeat(i[f], s), np.repeat(sums.astype(np.int64), s)
+        own, blocks = (np.arange(len(at)) - np.repeat(np.cumsum(s) - s, s)) // BLOCK, np.repeat(-(-s // BLOCK), s)
         a.append(head)
         b.append(i[at])
     pairs = np.unique(np.column_stack((np.concatenate(a), np.concatenate(b))), axis=0) if a else np.zeros((0, 2), np.int64)
     pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    for kind, x, y in ((0, pairs[:, 0], pairs[:, 1]), *(((1, run, i[at]),) if len(f) else ())):
-        if len(x):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y)], names=["kind", "a", "b"])
+    if len(pairs):
+        yield out(0, pairs[:, 0], pairs[:, 1])
+    if len(f):
+        yield out(1, run, i[at], own, blocks)
 
 
 def shingles(data: bytes, n: int) -> frozenset:
@@ -456,16 +462,14 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> Da
 
 
 def block_pairs(members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of members (run, class, root) of one run with different roots that may be linked.
+    """Pairs (a, b) of members (run, class, own, blocks, root) of one run with different roots that may be linked.
 
-    A run is cut into blocks of about ``BLOCK`` members and every two blocks meet in one task, which compares sizes and
-    sketches and gives out only pairs that these do not rule out.
+    Every two blocks of a run meet in one task, which compares sizes and sketches and gives out only pairs that these do
+    not rule out.
     """
-    blocks = members.groupBy("run").agg(F.ceil(F.count("*") / BLOCK).cast("bigint").alias("blocks"))
     # a pair that shares several runs is given out in the first one only, as far as the lowest runs of both tell
     lowest = members.groupBy("class").agg(F.slice(F.sort_array(F.collect_set("run")), 1, LOWEST).alias("low"))
-    rows = members.join(blocks, "run").join(classes.select("class", "n", "sketch"), "class").join(lowest, "class")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    rows = members.join(classes.select("class", "n", "sketch"), "class").join(lowest, "class")
     met = rows.select("run", "class", "root", "n", "sketch", "low", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     met = met.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
 
@@ -519,7 +523,6 @@ def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, t
     spark: SparkSession = docs.sparkSession
     wider: dict[int, int] = {}
     seed = 0
-    buckets = bucket_count(spark)
     while True:
         found = materialize(describe(docs, n, text, seed), "sets")
         classes = found.filter("n_shingles > 0").groupBy(F.col("c1").alias("class")).agg(F.min("doc_id").alias("rep"), F.min("c2").alias("x"), F.max("c2").alias("y"), F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch"))
@@ -527,15 +530,17 @@ def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, t
         if classes.filter("x <> y").isEmpty():
             break
         seed += 1
+    buckets = bucket_count(spark, found.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"])
     while True:
-        packed = rarest_keys(shared_keys(postings(docs, n, Plan(num, den, wider), text, seed), buckets), buckets)
-        runs = materialize(by_bucket(packed, [np.uint64, np.int64], _runs, "kind int, a bigint, b bigint"), "runs")
+        packed = rarest_keys(shared_keys(postings(docs, n, Plan(num, den, wider), buckets, text, seed), buckets), buckets)
+        runs = materialize(by_bucket(packed, [np.uint64, np.int64], buckets, _runs, "kind int, a bigint, b bigint, own bigint, blocks bigint"), "runs")
         short = [r["a"] for r in runs.filter("kind = 2").select("a").distinct().collect()]  # at most one for each band
         if not short:
             break
         wider = wider | {g: wider.get(g, 0) + 1 for g in short}
     pairs = materialize(runs.filter("kind = 0").select("a", "b").distinct(), "pairs")
-    members = runs.filter("kind = 1").select(F.col("a").alias("run"), F.col("b").alias("class")).distinct()
+    # runs with the same members have one name, whichever bucket finds them, and the same blocks
+    members = runs.filter("kind = 1").select(F.col("a").alias("run"), F.col("b").alias("class"), "own", "blocks").distinct()
     named = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(members.select("class")).distinct()
     texts = texts_of(docs, named.join(classes, "class").select("class", "rep"), n, text, seed)
     edges = verify(pairs, texts, n, num, den)
@@ -546,12 +551,15 @@ def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, t
     labels = components(edges)
     while not links:
         # members of one run in different components may still be linked: pair those that were not paired yet
-        placed = members.join(labels.withColumnRenamed("node", "class"), "class", "left").select("run", "class", F.coalesce("root", "class").alias("root"))
-        split = placed.groupBy("run").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("run")
-        placed = materialize(placed.join(split, "run"), "split")
+        placed = members.join(labels.withColumnRenamed("node", "class"), "class", "left").select("run", "class", "own", "blocks", F.coalesce("root", "class").alias("root"))
+        # joined by block, not by run, so that no task gets a long run
+        by_block = placed.groupBy("run", "own").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        whole = Window.partitionBy("run")
+        split = by_block.withColumns({"lo": F.min("lo").over(whole), "hi": F.max("hi").over(whole)}).filter("lo <> hi").select("run", "own")
+        placed = materialize(placed.join(split, ["run", "own"]), "split")
         if placed.isEmpty():
             break
-        rest = block_pairs(placed.select("run", "class", "root"), classes, num, den).distinct().join(pairs, ["a", "b"], "left_anti")
+        rest = block_pairs(placed, classes, num, den).distinct().join(pairs, ["a", "b"], "left_anti")
         rest = materialize(rest, "pairs")
         if rest.isEmpty():
             break

@@ -14,6 +14,8 @@ Verification is exact, on the lines' words.
 
 Equal sets first: a task posts each of its sets once, with its first place; the tasks' places meet in the run of any of
 its tokens, and an exact stage finds the copies, so a line that a third of all documents share is one posting a task.
+The sets of a run that agree in size, 64 bits of hash and the whole sketch are one. A run of more than ``LONG`` sets is
+cut into blocks by size, and every two blocks that the length filter lets meet are compared in a task of their own.
 Near copies: a later line takes its earlier partners of a run, of more than ``FEW`` the ``NEAREST`` likeliest. The ``FIRST`` of them are
 verified first, the others for lines that these do not decide. Lines that had still more and are not
 decided by those are looked at again with all of their partners, until nothing is left: no partner is dropped.
@@ -39,8 +41,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lensmill.llm.common import bounded_batches, materialize, text_or_empty, tidy
-from lensmill.llm.packing import KeyPacker, Packer, U, bitmap, bucket_count, by_bucket, in_bitmap, mix, packed_schema, spot, word_hashes
+from lensmill.llm.common import bounded_batches, fresh, materialize, text_or_empty, tidy
+from lensmill.llm.packing import GOLD, KeyPacker, Packer, U, bitmap, bucket_count, by_bucket, by_group, in_bitmap, mix, packed_schema, spot, word_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -48,6 +50,8 @@ NUM, DEN = 80, 100
 BUCKETS = 1 << 22
 SLICES = 64
 FEW, NEAREST, FIRST = 256, 24, 3
+LONG = 2048
+HOT = 50_000
 LAST = (1 << 63) - 1
 SLICE_BYTES, MAX_LINES = 1 << 20, 1 << 18
 #: A flat array holds (line << TOKEN_BITS | token) of the lines of a slice; so it has fewer than 2 ** 20 lines.
@@ -120,9 +124,11 @@ def _doc() -> Column:
     return F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("bigint")
 
 
-def reused(docs: DataFrame) -> bool:
-    """Do rows share a doc_id (or have none)? Only ids are read."""
-    return not docs.groupBy(_doc()).count().filter("count > 1").isEmpty()
+def survey(docs: DataFrame, text: str = "text") -> tuple[bool, int]:
+    """Do rows share a doc_id (or have none)? And how many bytes of text are there?"""
+    per_id = docs.groupBy(_doc().alias("d")).agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("b"))
+    found = per_id.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    return found["n"] > 1, found["b"]
 
 
 def _tie(text: str, tied: bool) -> Column:
@@ -138,6 +144,28 @@ def _rows(docs: DataFrame, text: str, tied: bool) -> DataFrame:
     return docs.select(_doc().alias("doc"), _tie(text, tied).alias("tie"), text_or_empty(text).cast("binary").alias("data"))
 
 
+class Hot:
+    """The smallest place of classes that a task has posted and that came twice in a slice: they are posted once a task."""
+
+    def __init__(self) -> None:
+        self.seen: dict[int, tuple[int, int, int]] = {}
+
+    def known(self, x: Lines, leads: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Of the lines ``leads``, the first of their classes here, those that stand after a place posted before."""
+        out = np.zeros(len(leads), dtype=bool)
+        for k in np.flatnonzero(sizes > 1):
+            i = leads[k]
+            cls, at = int(x.cls[i]), (int(x.doc[i]), int(x.tie[i]), int(x.number[i]))
+            first = self.seen.get(cls)
+            if first is not None and first < at:
+                out[k] = True
+                continue
+            if len(self.seen) >= HOT:
+                self.seen.clear()
+            self.seen[cls] = at
+        return out
+
+
 def _ties(tie: np.ndarray) -> tuple[np.ndarray, ...]:
     """The tie as a sort key, where there is one."""
     return (tie,) if tie.any() else ()
@@ -177,12 +205,12 @@ def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[Lines]:
 PLACE = [np.uint64, np.uint64, np.int64, np.int64, np.uint32, np.uint8]
 
 
-def first_pass(docs: DataFrame, text: str = "text", tied: bool = False) -> DataFrame:
+def first_pass(docs: DataFrame, buckets: int, text: str = "text", tied: bool = False) -> DataFrame:
     """Token counts and the places of all sets, from one reading of the texts; written, as both are used."""
-    buckets, width = bucket_count(docs.sparkSession), BUCKETS // SLICES
+    width = BUCKETS // SLICES
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, counts, held, n_held = Packer(buckets), np.zeros(BUCKETS, dtype=np.uint32), [], 0
+        packer, counts, held, n_held, hot = Packer(buckets), np.zeros(BUCKETS, dtype=np.uint32), [], 0, Hot()
 
         def packed() -> Iterator[pa.RecordBatch]:
             for b in packer.flush():
@@ -203,9 +231,13 @@ def first_pass(docs: DataFrame, text: str = "text", tied: bool = False) -> DataF
             order = np.lexsort((x.number, *_ties(x.tie), x.doc, x.cls))
             c, d, t, n, check = x.cls[order], x.doc[order], x.tie[order], x.number[order], x.check()[order]
             lead = np.append(True, c[1:] != c[:-1])
-            start = np.flatnonzero(lead)[np.cumsum(lead) - 1]
+            first = np.flatnonzero(lead)
+            start = first[np.cumsum(lead) - 1]
+            late = np.zeros(len(c), dtype=bool)
+            late[first[hot.known(x, order[first], np.diff(np.append(first, len(c))))]] = True
             take = lead | (d != d[start]) | (t != t[start]) | (n != n[start])  # a repeated row of one document is the same place, not a copy
             with np.errstate(over="ignore"):
+                lead = lead & ~late  # one that stands after a place posted before is a copy
                 key = np.where(lead, c, mix(d.astype(np.uint64) + t.astype(np.uint64) + n.astype(np.uint64)))
             packer.add(key[take], np.where(lead, check, c)[take], d[take], t[take], n[take].astype(np.uint32), (~lead).astype(np.uint8)[take])
             if packer.full():
@@ -255,7 +287,7 @@ def rarity(first: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def copies(first: DataFrame) -> DataFrame:
+def copies(first: DataFrame, buckets: int) -> DataFrame:
     """(class, doc, tie, line) of lines whose set stood in the corpus before."""
 
     def process(key, check, d, t, n, known) -> Iterator[pa.RecordBatch]:
@@ -271,27 +303,46 @@ def copies(first: DataFrame) -> DataFrame:
         places = [pa.array(np.concatenate((x[known], y[late]))) for x, y in ((d, dd), (t, tt), (n, nn))]
         yield pa.RecordBatch.from_arrays([pa.array(cls), *places], names=["class", "doc", "tie", "line"])
 
-    return materialize(by_bucket(first.filter("kind = 1").drop("kind"), PLACE, process, GONE), "copies")
+    return materialize(by_bucket(first.filter("kind = 1").drop("kind"), PLACE, buckets, process, GONE), "copies")
 
 
-POSTING = [np.uint32, *[np.uint64] * 4, np.uint32, np.uint32, np.uint16, np.int64, np.int64, np.uint32]
+#: The key, four words of the sketch, the class, the size, the position of the key, and the place of a set.
+POSTING = [np.uint32, *[np.uint64] * 4, np.uint64, np.uint32, np.uint16, np.int64, np.int64, np.uint32]
+PAIRS = "xd bigint, xt bigint, xl bigint, yd bigint, yt bigint, yl bigint, far bigint, more boolean"
 
 
-def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", undecided: np.ndarray | None = None, tied: bool = False) -> DataFrame:
+def _blocks(run: list[np.ndarray], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Every two blocks of a long run (sorted by size) that may hold similar sets, packed in one row of ``candidates``."""
+    n = run[6]
+    starts = range(0, len(n), LONG)
+    for i, a in enumerate(starts):
+        own = slice(a, a + LONG)
+        for j in range(i, len(starts)):
+            other = slice(starts[j], starts[j] + LONG)
+            if int(n[other][0]) * num > int(n[own][-1]) * den:
+                break
+            with np.errstate(over="ignore"):
+                where = mix(run[0][:1].astype(np.uint64) * GOLD + U(i << 24) + U(j))[0] >> U(33)
+            data = [(np.concatenate((c[own], c[other])) if j > i else c[own]).tobytes() for c in run]
+            columns = [*[pa.nulls(1, pa.int64())] * 7, pa.nulls(1, pa.bool_()), pa.array([int(where)], pa.int32()), *(pa.array([c], pa.binary()) for c in data)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*X, *Y, "far", "more", "bucket", *(f"c{k}" for k in range(len(run)))])
+
+
+def candidates(docs: DataFrame, codes, num: int, den: int, buckets: int, text: str = "text", undecided: np.ndarray | None = None, tied: bool = False) -> DataFrame:
     """(xd, xt, xl, yd, yt, yl, far, more): an earlier line x that may match a later line y, and how far their sketches are apart.
 
     ``more``: y has further partners in this run. With ``undecided``, a bitmap of places, all partners of those y.
     """
-    buckets = bucket_count(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, table = KeyPacker(buckets), codes.value
+        packer, table, hot = KeyPacker(buckets), codes.value, Hot()
         for x in _parts(batches):
             # each set once, with its first place of the slice
             order = np.lexsort((x.number, *_ties(x.tie), x.doc, x.cls))
-            lead = np.append(True, x.cls[order][1:] != x.cls[order][:-1])
+            first = np.flatnonzero(np.append(True, x.cls[order][1:] != x.cls[order][:-1]))
+            leads = order[first]
             chosen = np.zeros(len(x.size), dtype=bool)
-            chosen[order[lead]] = True
+            chosen[leads[~hot.known(x, leads, np.diff(np.append(first, len(order))))]] = True
             code = table[(x.token & U(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
             # in each line by rarity, then hash: the same order everywhere
             flat = np.sort((x.flat & ~TOKEN) | code << U(RARE_BITS) | (x.token & U((1 << RARE_BITS) - 1)))
@@ -300,18 +351,30 @@ def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", u
             keep = (at < prefix) & ((flat & TOKEN) >> U(RARE_BITS) > 0)
             of = x.of[keep]
             token = mix(flat[keep] & TOKEN)
-            packer.add(token, *(z[of] for z in x.parity()), (x.cls[of] >> U(32)).astype(np.uint32), x.size[of].astype(np.uint32), np.minimum(at[keep], 65535).astype(np.uint16), x.doc[of], x.tie[of], x.number[of].astype(np.uint32))
+            packer.add(token, *(z[of] for z in x.parity()), x.cls[of], x.size[of].astype(np.uint32), np.minimum(at[keep], 65535).astype(np.uint16), x.doc[of], x.tie[of], x.number[of].astype(np.uint32))
             if packer.full():
                 yield from packer.flush()
         yield from packer.flush()
 
-    def process(key, p0, p1, p2, p3, cls, n, at, d, t, line) -> Iterator[pa.RecordBatch]:
+    def process(*postings, whole: bool = False) -> Iterator[pa.RecordBatch]:
         # one entry for each set of a run, with its earliest place
-        order = np.lexsort((line, *_ties(t), d, cls, p0, n, key))
-        key, p0, p1, p2, p3, cls, n, at, d, t, line = (c[order] for c in (key, p0, p1, p2, p3, cls, n, at, d, t, line))
-        lead = np.ones(len(key), dtype=bool)
-        lead[1:] = (key[1:] != key[:-1]) | (n[1:] != n[:-1]) | (p0[1:] != p0[:-1]) | (cls[1:] != cls[:-1])
-        key, p0, p1, p2, p3, cls, n, at, d, t, line = (c[lead] for c in (key, p0, p1, p2, p3, cls, n, at, d, t, line))
+        key, _, _, _, _, cls, n, _, d, t, line = postings
+        order = np.lexsort((line, *_ties(t), d, cls, n, key))
+        run = [c[order] for c in postings]
+        lead = np.ones(len(order), dtype=bool)
+        lead[1:] = np.logical_or.reduce([run[k][1:] != run[k][:-1] for k in range(7)])
+        run = [c[lead] for c in run]
+        if not whole:
+            first = np.flatnonzero(np.append(True, run[0][1:] != run[0][:-1])) if len(run[0]) else np.zeros(0, np.int64)
+            size = np.diff(np.append(first, len(run[0])))
+            if (size > LONG).any():
+                for s, k in zip(first[size > LONG], size[size > LONG], strict=True):
+                    yield from _blocks([c[s : s + k] for c in run], num, den)
+                short = np.repeat(size <= LONG, size)
+                run = [c[short] for c in run]
+        yield from pairs(*run)
+
+    def pairs(key, p0, p1, p2, p3, cls, n, at, d, t, line) -> Iterator[pa.RecordBatch]:
         n, at = n.astype(np.int64), at.astype(np.int64)
         if undecided is not None:
             ask = in_bitmap(undecided, place(d, t, line))
@@ -355,10 +418,19 @@ def candidates(docs: DataFrame, codes, num: int, den: int, text: str = "text", u
             k = ~more | (rank < NEAREST)
             x, y, far, more = x[k], y[k], far[k], more[k]
         rows = np.unique(np.column_stack((d[x], t[x], line[x].astype(np.int64), d[y], t[y], line[y].astype(np.int64), far, more.astype(np.int64))), axis=0)
-        yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(7)), pa.array(rows[:, 7] > 0)], names=[*X, *Y, "far", "more"])
+        none = [pa.nulls(len(rows), pa.int32()), *[pa.nulls(len(rows), pa.binary())] * len(POSTING)]
+        names = [*X, *Y, "far", "more", "bucket", *(f"c{k}" for k in range(len(POSTING)))]
+        yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(7)), pa.array(rows[:, 7] > 0), *none], names=names)
 
-    packed = _rows(docs, text, tied).mapInArrow(tidy(run), packed_schema(11))
-    return by_bucket(packed, POSTING, process, "xd bigint, xt bigint, xl bigint, yd bigint, yt bigint, yl bigint, far bigint, more boolean")
+    packed = _rows(docs, text, tied).mapInArrow(tidy(run), packed_schema(len(POSTING)))
+    found = materialize(by_bucket(packed, POSTING, buckets, process, f"{PAIRS}, {packed_schema(len(POSTING))}"), "partners")
+    near = found.filter("bucket IS NULL").select(*X, *Y, "far", "more")
+    blocks = found.filter("bucket IS NOT NULL")
+    if blocks.isEmpty():
+        return near
+    long = blocks.drop(*near.columns).repartition("bucket")
+    rest = by_group(long, POSTING, lambda *c: process(*c, whole=True), f"{PAIRS}, {packed_schema(len(POSTING))}")
+    return near.unionByName(rest.select(*near.columns))
 
 
 def place(doc: np.ndarray, tie: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -440,12 +512,13 @@ def verify(lines: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
 
 def removed(docs: DataFrame, num: int = NUM, den: int = DEN, text: str = "text") -> DataFrame:
     """(class, doc, tie, line) of every line to remove."""
-    tied = reused(docs)
-    first = first_pass(docs, text, tied)
-    gone = copies(first)
+    tied, size = survey(docs, text)
+    buckets = bucket_count(docs.sparkSession, size)
+    first = first_pass(docs, buckets, text, tied)
+    gone = copies(first, buckets)
     codes = docs.sparkSession.sparkContext.broadcast(rarity(first))
     keys = [*X, *Y]
-    found = candidates(docs, codes, num, den, text, tied=tied).groupBy(*keys).agg(F.min("far").alias("far"), F.bool_or("more").alias("more"))
+    found = candidates(docs, codes, num, den, buckets, text, tied=tied).groupBy(*keys).agg(F.min("far").alias("far"), F.bool_or("more").alias("more"))
     nearest = F.row_number().over(Window.partitionBy(*Y).orderBy("far", *X))
     found = materialize(found.withColumn("rank", nearest), "candidates")
     lines = lines_of(docs, found, text, tied)
@@ -457,21 +530,25 @@ def removed(docs: DataFrame, num: int = NUM, den: int = DEN, text: str = "text")
     open_ = found.filter("more").select(*Y).toDF(*decided.columns).distinct().join(decided, decided.columns, "left_anti")
     open_ = materialize(open_, "undecided")
     if not open_.isEmpty():
-        rest = candidates(docs, codes, num, den, text, places_bitmap(open_), tied).select(*keys).distinct().join(found.select(*keys), keys, "left_anti")
+        rest = candidates(docs, codes, num, den, buckets, text, places_bitmap(open_), tied).select(*keys).distinct().join(found.select(*keys), keys, "left_anti")
         rest = materialize(rest, "candidates")
         similar = similar.unionByName(verify(lines_of(docs, rest, text, tied), rest, num, den))
     return gone.unionByName(similar)
 
 
 def strip(docs: DataFrame, gone: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the lines ``gone`` (class, doc, tie, line), plus ``_n_lines`` and ``_n_removed`` (lines with words)."""
-    per_doc = gone.groupBy(F.col("doc").alias("_doc"), F.col("tie").alias("_tie")).agg(F.collect_set(F.struct("line", "class")).alias("_gone"))
+    """``docs`` without the lines ``gone`` (class, doc, tie, line), plus ``n_lines`` and ``n_removed`` (lines with words).
+
+    Where ``docs`` has columns of these names, lines are appended to the new ones' until they differ.
+    """
+    doc, tie, lost, n_all, n_gone = (fresh(docs.columns, n) for n in ("doc", "tie", "lost", "n_lines", "n_removed"))
+    per_doc = gone.groupBy(F.col("doc").alias(doc), F.col("tie").alias(tie)).agg(F.collect_set(F.struct("line", "class")).alias(lost))
     tied = not gone.filter("tie <> 0").isEmpty()
-    keyed = docs.withColumns({"_doc": _doc(), "_tie": _tie(text, tied)})
-    joined = keyed.join(per_doc, ["_doc", "_tie"], "left").select(*docs.columns, "_gone")
+    keyed = docs.withColumns({doc: _doc(), tie: _tie(text, tied)})
+    joined = keyed.join(per_doc, [doc, tie], "left").select(*docs.columns, lost)
     at = docs.columns.index(text)
-    names = [*docs.columns, "_n_lines", "_n_removed"]
-    schema = T.StructType([*docs.schema.fields, T.StructField("_n_lines", T.LongType()), T.StructField("_n_removed", T.LongType())])
+    names = [*docs.columns, n_all, n_gone]
+    schema = T.StructType([*docs.schema.fields, T.StructField(n_all, T.LongType()), T.StructField(n_gone, T.LongType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -495,7 +572,8 @@ def strip(docs: DataFrame, gone: DataFrame, text: str = "text") -> DataFrame:
 
 def dedup(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """Pipeline form: the documents with their remaining lines and new ``n_chars``; those that lost all lines go."""
-    out = strip(docs, removed(docs, num, den)).filter("_n_removed = 0 OR _n_removed < _n_lines").drop("_n_lines", "_n_removed")
+    n_all, n_gone = (fresh(docs.columns, n) for n in ("n_lines", "n_removed"))
+    out = strip(docs, removed(docs, num, den)).filter((F.col(n_gone) == 0) | (F.col(n_gone) < F.col(n_all))).drop(n_all, n_gone)
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
@@ -506,4 +584,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lensmill.llm.common import table
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return strip(docs, removed(docs)).select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "text")
+    return strip(docs, removed(docs)).select("doc_id", "n_lines", "n_removed", "text")

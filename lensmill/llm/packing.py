@@ -1,8 +1,10 @@
 """Token hashing and packed postings for the similarity joins.
 
 Postings are dealt by a bucket of their key as packed arrays (one row for each bucket and flush) instead of one row for
-each posting: the shuffle then carries 14 to 30 bytes a posting, and a task sorts plain arrays of one bucket at a time.
-The number of buckets follows ``spark.sql.shuffle.partitions``, which is set to suit the input.
+each posting: the shuffle then carries 14 to 70 bytes a posting, and a task sorts plain arrays of one bucket at a time.
+The number of buckets follows the bytes of text, as counted: a bucket stands for ``BUCKET_BYTES`` of them, at any size of
+the input. A task that dealt to very many buckets would pack only a few postings a row, so beyond ``FAN`` buckets postings
+are dealt twice: first by ranges of buckets, then each range by its buckets.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from lensmill.llm.common import bounded_batches, tidy
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FLUSH = 300_000
+#: Text that a bucket stands for, and the most buckets or ranges of them that a task deals to.
+BUCKET_BYTES, FAN = 16 << 20, 4096
 #: Size of a membership bitmap (``bitmap``): fixed, whatever the input.
 BITMAP_BITS = 1 << 23
 
@@ -67,15 +71,20 @@ def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, start
 
 
-def bucket_count(spark: SparkSession) -> int:
-    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(spark: SparkSession, text_bytes: int) -> int:
+    """One for each ``BUCKET_BYTES`` of text; of a small input enough to keep the session's partitions busy."""
+    return max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes // BUCKET_BYTES))
 
 
 class Packer:
-    """Gathers arrays of equal length, the first being the keys, and deals them by bucket of the key."""
+    """Gathers arrays of equal length, the first being the keys, and deals them by bucket of the key.
 
-    def __init__(self, buckets: int):
+    With more than ``FAN`` buckets and unless ``fine``, by ranges of buckets.
+    """
+
+    def __init__(self, buckets: int, fine: bool = False):
         self.buckets, self.parts, self.held = U(buckets), [], 0
+        self.width = 1 if fine else -(-buckets // FAN)
 
     def add(self, *arrays: np.ndarray) -> None:
         if len(arrays[0]):
@@ -90,7 +99,7 @@ class Packer:
             return
         columns = [np.concatenate(c) for c in zip(*self.parts, strict=True)]
         self.parts, self.held = [], 0
-        b = ((columns[0] >> U(32)) % self.buckets).astype(np.int64)
+        b = ((columns[0] >> U(32)) % self.buckets).astype(np.int64) // self.width
         order = np.argsort(b, kind="stable")
         b, columns = b[order], [c[order] for c in columns]
         cuts = np.flatnonzero(np.diff(b, prepend=-1))
@@ -105,20 +114,50 @@ def packed_schema(n: int) -> str:
 
 
 class KeyPacker(Packer):
-    """Keeps 32 bits of the key: the bucket stands for others, and equal keys stay equal."""
+    """Keeps 32 bits of the key: the bucket stands for others, and equal keys stay equal. A range needs all bits."""
 
     def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.width > 1:
+            yield from super().flush()
+            return
         for batch in super().flush():
             keys = [(np.frombuffer(k, dtype=np.uint64) & U(0xFFFFFFFF)).astype(np.uint32).tobytes() for k in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), *batch.columns[2:]], names=batch.schema.names)
 
 
-def by_bucket(packed: DataFrame, dtypes: list, process: Callable[..., Iterable[pa.RecordBatch]], schema: str, repack: int = 0) -> DataFrame:
+def _spread(packed: DataFrame, dtypes: list, buckets: int) -> DataFrame:
+    """Deal ranges of buckets by bucket: a task holds one flush, whatever the size of a range."""
+    n = len(dtypes)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = (KeyPacker if dtypes[0] is np.uint32 else Packer)(buckets, fine=True)
+        full = [np.uint64, *dtypes[1:]]
+        for batch in batches:
+            for i in range(batch.num_rows):
+                packer.add(*(np.frombuffer(batch.column(k + 1)[i].as_py(), dtype=full[k]) for k in range(n)))
+                if packer.full():
+                    yield from packer.flush()
+        yield from packer.flush()
+
+    ranges = -(-buckets // -(-buckets // FAN))
+    return packed.repartition(ranges, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(run), packed_schema(n))
+
+
+def by_bucket(packed: DataFrame, dtypes: list, buckets: int, process: Callable[..., Iterable[pa.RecordBatch]], schema: str, repack: int = 0) -> DataFrame:
     """Deal packed rows by bucket and run ``process(*arrays)`` on each bucket's arrays.
 
-    With ``repack``, a number of buckets, ``process(packer, bucket, *arrays)`` adds its postings to a packer that the
-    buckets of a task share, so that a task gives out a row for each of those buckets and flush.
+    A first type of 32 bits says that a ``KeyPacker`` made the rows. With ``repack``, a number of buckets,
+    ``process(packer, bucket, *arrays)`` adds its postings to a packer that the buckets of a task share, so that a task
+    gives out a row for each of those buckets and flush.
     """
+    if buckets > FAN:
+        packed = _spread(packed, dtypes, buckets)
+    return by_group(packed.repartition(-(-buckets // 2), "bucket"), dtypes, process, schema, repack)
+
+
+def by_group(dealt: DataFrame, dtypes: list, process: Callable[..., Iterable[pa.RecordBatch]], schema: str, repack: int = 0) -> DataFrame:
+    """``by_bucket`` of rows that are dealt already, by any integer in place of the bucket."""
+    packed = dealt
     bounded_batches(packed.sparkSession)
     n = len(dtypes)
 
@@ -151,7 +190,7 @@ def by_bucket(packed: DataFrame, dtypes: list, process: Callable[..., Iterable[p
         if packer is not None:
             yield from packer.flush()
 
-    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(run), schema)
+    return packed.sortWithinPartitions("bucket").mapInArrow(tidy(run), schema)
 
 
 def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:

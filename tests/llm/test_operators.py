@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from lensmill.llm import byte_bpe, curriculum, jaccard_join, line_dedup, media_columns, preference, quality_ledger, surrogates, url_cascade, warc_dict
+from lensmill.llm import byte_bpe, curriculum, jaccard_join, line_dedup, media_columns, packing, preference, quality_ledger, surrogates, url_cascade, warc_dict
 from lensmill.llm.components import components
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -311,6 +311,38 @@ def test_lines_more_partners_than_kept(spark, monkeypatch):
     assert {(r.doc, r.line) for r in line_dedup.removed(df).collect()} == brute_lines(rows)
 
 
+def small_deals(monkeypatch):
+    """Many buckets, so that postings are dealt twice."""
+    monkeypatch.setattr(packing, "BUCKET_BYTES", 512)
+    monkeypatch.setattr(packing, "FAN", 3)
+
+
+def test_lines_in_long_runs(spark, monkeypatch):
+    """Hundreds of near copies of a line: runs in blocks, and postings dealt twice."""
+    small_deals(monkeypatch)
+    monkeypatch.setattr(line_dedup, "LONG", 8)
+    r = random.Random(4)
+    base = [f"w{i}" for i in range(20)]
+    rows = []
+    for i in range(150):
+        near = [" ".join(w if r.random() > 0.06 else f"x{r.randint(0, 40)}" for w in base[: r.randint(15, 20)]) for _ in range(3)]
+        rows.append((i, "\n".join([*near, r.choice(["one line for all", f"own line {i} of mine"])])))
+    df = docs(spark, [(i, t, "a") for i, t in rows])
+    assert {(x.doc, x.line) for x in line_dedup.removed(df).collect()} == brute_lines(rows)
+
+
+def test_hot_classes_are_posted_once(monkeypatch):
+    hot, posted = line_dedup.Hot(), []
+    for pieces in ([(5, 0, 0, b"a b\na b\nc")], [(7, 0, 0, b"a b\na b")], [(3, 0, 0, b"b a\na b")], [(4, 0, 0, b"a b\na b\nd\nd")]):
+        x = line_dedup.Lines(pieces)
+        order = line_dedup.np.lexsort((x.number, x.doc, x.cls))
+        first = line_dedup.np.flatnonzero(line_dedup.np.append(True, x.cls[order][1:] != x.cls[order][:-1]))
+        leads = order[first]
+        late = hot.known(x, leads, line_dedup.np.diff(line_dedup.np.append(first, len(order))))
+        posted += sorted((int(x.doc[i]), int(x.number[i])) for i in leads[~late])
+    assert posted == [(5, 0), (5, 2), (3, 0), (4, 2)]
+
+
 def test_lines_repeated_rows(spark):
     df = docs(spark, [(1, "a b c\nd e f", "a"), (1, "a b c\nd e f", "a"), (2, "a b c", "a"), (None, "d e f\nown line", "a")])
     assert sorted((r.text for r in line_dedup.strip(df, line_dedup.removed(df)).collect()), key=str) == ["", "a b c\nd e f", "a b c\nd e f", "own line"]
@@ -529,7 +561,8 @@ def test_jaccard(spark, seed, n, num):
 
 
 def test_jaccard_long_runs(spark, monkeypatch):
-    """Runs that are never paired outright: stars, then blocks."""
+    """Runs that are never paired outright: stars, then blocks; postings dealt twice."""
+    small_deals(monkeypatch)
     monkeypatch.setattr(jaccard_join, "SMALL_RUN", 2)
     monkeypatch.setattr(jaccard_join, "BLOCK", 8)
     r = random.Random(4)
