@@ -308,7 +308,8 @@ def copies(first: DataFrame, buckets: int) -> DataFrame:
 
 #: The key, four words of the sketch, the class, the size, the position of the key, and the place of a set.
 POSTING = [np.uint32, *[np.uint64] * 4, np.uint64, np.uint32, np.uint16, np.int64, np.int64, np.uint32]
-PAIRS = "xd bigint, xt bigint, xl bigint, yd bigint, yt bigint, yl bigint, far bigint, more boolean"
+#: A pair, or a block of a long run.
+PAIRS = "xd bigint, xt bigint, xl bigint, yd bigint, yt bigint, yl bigint, far bigint, more boolean, bucket int, block array<binary>"
 
 
 def _blocks(run: list[np.ndarray], num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -324,8 +325,8 @@ def _blocks(run: list[np.ndarray], num: int, den: int) -> Iterator[pa.RecordBatc
             with np.errstate(over="ignore"):
                 where = mix(run[0][:1].astype(np.uint64) * GOLD + U(i << 24) + U(j))[0] >> U(33)
             data = [(np.concatenate((c[own], c[other])) if j > i else c[own]).tobytes() for c in run]
-            columns = [*[pa.nulls(1, pa.int64())] * 7, pa.nulls(1, pa.bool_()), pa.array([int(where)], pa.int32()), *(pa.array([c], pa.binary()) for c in data)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*X, *Y, "far", "more", "bucket", *(f"c{k}" for k in range(len(run)))])
+            columns = [*[pa.nulls(1, pa.int64())] * 7, pa.nulls(1, pa.bool_()), pa.array([int(where)], pa.int32()), pa.array([data], pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*X, *Y, "far", "more", "bucket", "block"])
 
 
 def candidates(docs: DataFrame, codes, num: int, den: int, buckets: int, text: str = "text", undecided: np.ndarray | None = None, tied: bool = False) -> DataFrame:
@@ -418,18 +419,16 @@ def candidates(docs: DataFrame, codes, num: int, den: int, buckets: int, text: s
             k = ~more | (rank < NEAREST)
             x, y, far, more = x[k], y[k], far[k], more[k]
         rows = np.unique(np.column_stack((d[x], t[x], line[x].astype(np.int64), d[y], t[y], line[y].astype(np.int64), far, more.astype(np.int64))), axis=0)
-        none = [pa.nulls(len(rows), pa.int32()), *[pa.nulls(len(rows), pa.binary())] * len(POSTING)]
-        names = [*X, *Y, "far", "more", "bucket", *(f"c{k}" for k in range(len(POSTING)))]
-        yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(7)), pa.array(rows[:, 7] > 0), *none], names=names)
+        none = [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.list_(pa.binary()))]
+        yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, c]) for c in range(7)), pa.array(rows[:, 7] > 0), *none], names=[*X, *Y, "far", "more", "bucket", "block"])
 
     packed = _rows(docs, text, tied).mapInArrow(tidy(run), packed_schema(len(POSTING)))
-    found = materialize(by_bucket(packed, POSTING, buckets, process, f"{PAIRS}, {packed_schema(len(POSTING))}"), "partners")
+    found = materialize(by_bucket(packed, POSTING, buckets, process, PAIRS), "partners")
     near = found.filter("bucket IS NULL").select(*X, *Y, "far", "more")
-    blocks = found.filter("bucket IS NOT NULL")
-    if blocks.isEmpty():
+    blocks = found.filter("bucket IS NOT NULL").select("bucket", *(F.col("block")[k].alias(f"c{k}") for k in range(len(POSTING))))
+    if found.filter("bucket IS NOT NULL").select("bucket").isEmpty():
         return near
-    long = blocks.drop(*near.columns).repartition("bucket")
-    rest = by_group(long, POSTING, lambda *c: process(*c, whole=True), f"{PAIRS}, {packed_schema(len(POSTING))}")
+    rest = by_group(blocks.repartition("bucket"), POSTING, lambda *c: process(*c, whole=True), PAIRS)
     return near.unionByName(rest.select(*near.columns))
 
 

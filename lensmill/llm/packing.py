@@ -140,7 +140,7 @@ def _spread(packed: DataFrame, dtypes: list, buckets: int) -> DataFrame:
         yield from packer.flush()
 
     ranges = -(-buckets // -(-buckets // FAN))
-    return packed.repartition(ranges, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(run), packed_schema(n))
+    return packed.repartitionById(ranges, "bucket").mapInArrow(tidy(run), packed_schema(n))
 
 
 def by_bucket(packed: DataFrame, dtypes: list, buckets: int, process: Callable[..., Iterable[pa.RecordBatch]], schema: str, repack: int = 0) -> DataFrame:
@@ -152,7 +152,9 @@ def by_bucket(packed: DataFrame, dtypes: list, buckets: int, process: Callable[.
     """
     if buckets > FAN:
         packed = _spread(packed, dtypes, buckets)
-    return by_group(packed.repartition(-(-buckets // 2), "bucket"), dtypes, process, schema, repack)
+    # two buckets a task, exactly: by hash some tasks would get several times as many as others
+    tasks = -(-buckets // 2)
+    return by_group(packed.repartitionById(tasks, F.col("bucket") % tasks), dtypes, process, schema, repack)
 
 
 def by_group(dealt: DataFrame, dtypes: list, process: Callable[..., Iterable[pa.RecordBatch]], schema: str, repack: int = 0) -> DataFrame:
