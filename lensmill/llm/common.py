@@ -33,9 +33,31 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Paths of this process that ``release`` has not deleted yet.
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def made() -> list[str]:
+    """The scratch paths so far."""
+    return list(_made)
+
+
+def release(spark: SparkSession, keep: Iterable[str] = ()) -> None:
+    """Delete the tables that operators of this folder have written, but for ``keep``.
+
+    To be called when the results that were read from them are written elsewhere or no longer needed.
+    """
+    kept = set(keep)
+    for path in [p for p in _made if p not in kept]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _made.remove(path)
 
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
