@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lensmill.llm.common import WORD, let, materialize, text_or_empty
+from lensmill.llm.common import WORD, fresh, let, materialize, text_or_empty
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
@@ -39,7 +39,8 @@ SCHEDULES = (
     ((0.0, 1.0), (0.25, 1.0), (1.0, 3.0)),
     ((0.0, 1.0), (1.0, 1.0)),
 )
-ROWS_PER_BUCKET = 50_000
+#: Buckets of a source: enough of them that a hot source spreads over all tasks, more as the rows grow.
+MIN_BUCKETS, ROWS_PER_BUCKET = 256, 8_192
 
 
 def word_count(text: str | Column) -> Column:
@@ -99,22 +100,23 @@ def position(share: Column, rank: Column, schedules: Sequence[Sequence[tuple[flo
     return out
 
 
-def order_key(doc_id: str) -> Column:
-    """Where a document stands in its source: the same on every run."""
-    return F.md5(F.concat_ws("|", F.lit("mix-1"), F.col(doc_id).cast("string")))
+def order_key(doc_id: str, text: str) -> Column:
+    """Where a document stands in its source: the same on every run. Without a doc_id, by the hash of its text."""
+    own = F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text|"), F.xxhash64(F.col(text)).cast("string")))
+    return F.md5(F.concat(F.lit("mix-1|"), own))
 
 
 def sized(docs: DataFrame, text: str = "text") -> DataFrame:
     """Narrow rows (doc_id, source, size, order key) of a corpus, written once: texts are read and counted once."""
-    rows = docs.select("doc_id", "source", word_count(text).alias("size"), order_key("doc_id").alias("_key"), F.xxhash64(F.col(text)).alias("twin"))
+    rows = docs.select("doc_id", "source", word_count(text).alias("size"), order_key("doc_id", text).alias("_key"), F.xxhash64(F.col(text)).alias("twin"))
     return materialize(rows, "curriculum")
 
 
 def mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, schedules=SCHEDULES, budget: float = 1.0, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """``rows`` of ``sized`` with source_size, target, passes, taken and ``positions`` (one for each pass taken)."""
-    n = rows.count()
-    buckets = max(16, 1 << max(0, (n // ROWS_PER_BUCKET).bit_length() + 2))
-    digits = max(1, (buckets.bit_length() + 2) // 4)
+    buckets = max(MIN_BUCKETS, rows.count() // ROWS_PER_BUCKET)
+    digits = (buckets.bit_length() + 2) // 4  # of the key, in hex: so many buckets or up to 16 times as many
+    extra = [c for c in rows.columns if c not in ("doc_id", "source", "size", "_key", "twin")]
     rows = rows.withColumn("bucket", F.conv(F.substring("_key", 1, digits), 16, 10).cast("bigint"))
     totals = rows.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
     sources = targets(totals.groupBy("source").agg(F.sum("in_bucket").alias("source_size")), weights, budget, max_repeats)
@@ -124,13 +126,13 @@ def mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, schedules=SCHEDULES
         F.col("b.source").alias("b_source"), F.col("b.bucket").alias("b_bucket"), "start", "rank", "source_size", "target"
     )
     joined = rows.join(starts, rows.source.eqNullSafe(starts.b_source) & (rows.bucket == starts.b_bucket)).drop("b_source", "b_bucket")
-    before = Window.partitionBy("source", "bucket").orderBy("_key", "doc_id", "size", "twin").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("source", "bucket").orderBy("_key", "doc_id", "size", "twin", *extra).rowsBetween(Window.unboundedPreceding, -1)
     placed = joined.withColumn("offset", F.col("start") + F.coalesce(F.sum("size").over(before), F.lit(0)))
     middle = lambda p: F.col("offset") + p * F.col("source_size") + F.col("size") / F.lit(2.0)
     passes = F.when(F.col("size") > 0, F.filter(F.array(*[F.lit(p).cast("bigint") for p in range(max_repeats)]), lambda p: middle(p) <= F.col("target"))).otherwise(F.array().cast("array<bigint>"))
     spots = F.transform(passes, lambda p: position((F.col("offset") + p * F.col("source_size")) / F.col("target"), F.col("rank"), schedules))
     return placed.withColumn("positions", let(spots, lambda x: x)).select(
-        "doc_id", "source", "_key", "twin", "size", "source_size", "target", (F.size("positions") * F.col("size")).cast("bigint").alias("taken"), "positions"
+        "doc_id", "source", "_key", "twin", *extra, "size", "source_size", "target", (F.size("positions") * F.col("size")).cast("bigint").alias("taken"), "positions"
     )
 
 
@@ -142,15 +144,17 @@ def schedule(mixed: DataFrame) -> DataFrame:
 def take(docs: DataFrame) -> DataFrame:
     """Pipeline form: the documents in training order, a document as often as the mix takes it; not taken ones go.
 
-    Repeated rows (same doc_id and text) share out the passes of their kind one by one.
+    The rows are written once with a number of their own, so each row, repeated or not, gets the passes that were
+    counted for it, and columns of any name are kept. Rows that are alike but for other columns are told apart by the
+    hash of all of them.
     """
-    mixed = mix(sized(docs))
-    due = mixed.groupBy("_key", "twin").agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("_positions"), F.count("*").alias("_copies"))
-    due = due.filter(F.size("_positions") > 0).withColumnRenamed("twin", "_twin")
-    hits = docs.withColumns({"_key": order_key("doc_id"), "_twin": F.xxhash64("text")}).join(due, ["_key", "_twin"])
-    turn = F.row_number().over(Window.partitionBy("_key", "_twin").orderBy("_key"))
-    own = F.filter("_positions", lambda _, i: i % F.col("_copies") == F.col("_turn") - 1)
-    return hits.withColumn("_turn", turn).select(*docs.columns, F.explode(own).alias("_position")).orderBy("_position", "doc_id").drop("_position")
+    row, whole, spots, at = (fresh(docs.columns, n) for n in ("row", "whole", "positions", "position"))
+    numbered = docs.withColumns({row: F.monotonically_increasing_id(), whole: F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))})
+    stored = materialize(numbered, "rows")
+    rows = stored.select("doc_id", "source", word_count("text").alias("size"), order_key("doc_id", "text").alias("_key"), F.xxhash64("text").alias("twin"), F.col(whole).alias("whole"), F.col(row).alias("row"))
+    due = mix(materialize(rows, "curriculum")).filter(F.size("positions") > 0).select(F.col("row").alias(row), F.col("positions").alias(spots))
+    taken = stored.join(due, row).select(*(f"`{c}`" for c in docs.columns), F.explode(spots).alias(at))
+    return taken.orderBy(at, "doc_id").drop(at)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
