@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import struct
 import sys
 import uuid
@@ -37,7 +38,8 @@ from lensmill.llm.common import bounded_batches, scratch, text_or_empty, tidy
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SKIPPABLE = 0x184D2A5D
-FILE_BYTES = 12 << 20
+#: Raw bytes of a file, of what is held to train its dictionary, and of what is read at a time.
+FILE_BYTES, HELD_BYTES, CHUNK_BYTES = 1 << 30, 12 << 20, 4 << 20
 SAMPLE_BYTES = 2 << 20
 DICT_BYTES = 112 << 10
 LEVEL = 3
@@ -109,47 +111,94 @@ def train(records: list[bytes]):
         return None
 
 
+class Writer:
+    """Writes one .warc.zst file to a stream: its first records are held to train the dictionary, the others pass through."""
+
+    def __init__(self, out) -> None:
+        self.out, self.held, self.packer, self.raw, self.size, self.records = out, [], None, 0, 0, 0
+
+    def add(self, record: bytes) -> None:
+        self.raw += len(record)
+        self.records += 1
+        if self.packer is None:
+            self.held.append(record)
+            if self.raw >= HELD_BYTES:
+                self._begin()
+        else:
+            self._write(self.packer.compress(record))
+
+    def _write(self, data: bytes) -> None:
+        self.out.write(data)
+        self.size += len(data)
+
+    def _begin(self) -> None:
+        import zstandard as z
+
+        dictionary = train(self.held)
+        packed = z.ZstdCompressor(level=9).compress(dictionary.as_bytes()) if dictionary else b""
+        own = {"dict_data": dictionary} if dictionary else {}
+        self.packer = z.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True, **own)
+        self._write(struct.pack("<II", SKIPPABLE, len(packed)) + packed)
+        for r in self.held:
+            self._write(self.packer.compress(r))
+        self.held = []
+
+    def finish(self) -> None:
+        if self.packer is None:
+            self._begin()
+
+
 def archive(records: list[bytes]) -> bytes:
     """The bytes of one .warc.zst file."""
-    import zstandard as z
+    out = io.BytesIO()
+    w = Writer(out)
+    for r in records:
+        w.add(r)
+    w.finish()
+    return out.getvalue()
 
-    dictionary = train(records)
-    data = dictionary.as_bytes() if dictionary else b""
-    packed = z.ZstdCompressor(level=9).compress(data) if data else b""
-    c = z.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_checksum=True, write_content_size=True) if dictionary else z.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
-    return b"".join([struct.pack("<II", SKIPPABLE, len(packed)), packed, *map(c.compress, records)])
 
-
-def read_archive(data: bytes) -> Iterator[bytes]:
-    """The records of one file, frame by frame."""
+def read_archive(stream) -> Iterator[bytes]:
+    """The records of one file (a binary stream, or its bytes), frame by frame: a frame and a chunk are in memory."""
     import zstandard as z
 
-    magic, n = struct.unpack_from("<II", data)
+    f = io.BytesIO(stream) if isinstance(stream, bytes) else stream
+    magic, n = struct.unpack("<II", f.read(8))
     if magic != SKIPPABLE:
         raise ValueError("no dictionary frame")
-    packed = data[8 : 8 + n]
+    packed = f.read(n)
     d = z.ZstdDecompressor(dict_data=z.ZstdCompressionDict(z.ZstdDecompressor().decompress(packed))) if n else z.ZstdDecompressor()
-    at, whole = 8 + n, memoryview(data)
-    while at < len(data):
+    data, at = b"", 0
+    while True:
         end = frame_end(data, at)
-        yield d.decompress(whole[at:end])
-        at = end
-
-
-def frame_end(data: bytes, at: int) -> int:
-    """Where the Zstandard frame that begins at ``at`` ends: its block headers say how long they are."""
+        if end is not None:
+            yield d.decompress(memoryview(data)[at:end])
+            at = end
+            continue
+        more = f.read(CHUNK_BYTES)
+        if not more:
+            if at < len(data):
+                raise ValueError("frame is cut")
+            return
+        data, at = data[at:] + more, 0
+
+
+def frame_end(data: bytes, at: int) -> int | None:
+    """Where the Zstandard frame that begins at ``at`` ends: its block headers say how long they are. None: not in ``data``."""
     import zstandard as z
 
     head = data[at : at + 18]
+    if len(head) < 18 and len(head) < (z.frame_header_size(head) if len(head) > 5 else 6):
+        return None
     checksum = z.get_frame_parameters(head).has_checksum
     at += z.frame_header_size(head)
-    while True:
+    while at + 3 <= len(data):
         block = int.from_bytes(data[at : at + 3], "little")
         at += 3 + (1 if block >> 1 & 3 == 1 else block >> 3)
-        if at + 4 * checksum > len(data):
-            raise ValueError("frame is cut")
         if block & 1:
-            return at + 4 * checksum
+            end = at + 4 * checksum
+            return end if end <= len(data) else None
+    return None
 
 
 def _open(path: str):
@@ -167,43 +216,46 @@ def plan(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     narrow = keyed.filter(F.octet_length("payload") >= min_revisit_bytes).groupBy("one", "sha1", "page_id").agg(F.count("*").alias("n"))
     first = narrow.groupBy("sha1").agg(F.min("page_id").alias("first"), F.sum("n").alias("n")).filter("n > 1").select("sha1", "first")
     again = narrow.join(first, "sha1").select("one", "first")
-    roles = keyed.join(again, "one", "left")
+    # rows without a page_id are never the response of others, so each is a group of its own
+    alone = F.when(F.col("page_id").isNull(), F.monotonically_increasing_id()).alias("alone")
+    roles = keyed.join(again, "one", "left").select("*", alone)
     # of rows that repeat the response's own page_id the first is the response; the rows are equal, so any will do
-    turn = F.row_number().over(Window.partitionBy("one").orderBy("one"))
+    turn = F.row_number().over(Window.partitionBy("one", "alone").orderBy("one"))
     revisit = F.col("first").isNotNull() & ~((turn == 1) & F.col("page_id").eqNullSafe(F.col("first")))
     return roles.select("page_id", "url", "payload", "sha1", "first", revisit.alias("revisit")).select(
         "page_id", "url", "payload", "sha1", F.when(F.col("revisit"), F.col("first")).alias("refers_to"), "revisit"
     )
 
 
-def write(pages: DataFrame, to: str, min_revisit_bytes: int = 0) -> DataFrame:
-    """Write the archives under ``to`` and return their manifest (path, records, bytes), itself kept in ``to``/manifest."""
+def write(pages: DataFrame, to: str, min_revisit_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Write the archives under ``to`` and return their manifest (path, records, bytes), itself kept in ``to``/manifest.
+
+    A file ends after ``file_bytes`` raw bytes or with its task; a task holds ``HELD_BYTES`` of records.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _open(to)
         fs.create_dir(base, recursive=True)
-        attempt, count, held, size = uuid.uuid4().hex, 0, [], 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal count, held, size
-            name = f"{attempt}-{count:05d}.warc.zst"
-            data = archive(held)
-            with fs.open_output_stream(f"{base}/{name}", compression=None) as f:
-                f.write(data)
-            row = pa.RecordBatch.from_pydict({"path": [f"{to}/{name}"], "records": [len(held)], "bytes": [len(data)], "raw_bytes": [size]})
-            count, held, size = count + 1, [], 0
-            return row
+        attempt, count, f, w = uuid.uuid4().hex, 0, None, None
+
+        def done() -> pa.RecordBatch:
+            w.finish()
+            f.close()
+            return pa.RecordBatch.from_pydict({"path": [f"{to}/{attempt}-{count:05d}.warc.zst"], "records": [w.records], "bytes": [w.size], "raw_bytes": [w.raw]})
 
         for batch in batches:
             columns = batch.columns
             for i in range(batch.num_rows):
                 page, url, payload, sha1, refers, revisit = (c[i].as_py() for c in columns)
-                held.append(record(page, url, payload, digest_base32(bytes.fromhex(sha1)), refers, revisit))
-                size += len(held[-1])
-                if size >= FILE_BYTES:
-                    yield flush()
-        if held:
-            yield flush()
+                if w is None:
+                    f = fs.open_output_stream(f"{base}/{attempt}-{count:05d}.warc.zst", compression=None)
+                    w = Writer(f)
+                w.add(record(page, url, payload, digest_base32(bytes.fromhex(sha1)), refers, revisit))
+                if w.raw >= file_bytes:
+                    yield done()
+                    count, w = count + 1, None
+        if w is not None:
+            yield done()
 
     bounded_batches(pages.sparkSession)
     manifest = f"{to}/manifest"
@@ -221,10 +273,8 @@ def read(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 fs, name = _open(path)
-                with fs.open_input_file(name) as f:
-                    data = f.read()
                 rows, size = [], 0
-                for r in read_archive(data):
+                for r in read_archive(fs.open_input_stream(name, compression=None)):
                     x = parse(r)
                     h, payload = x["headers"], x["payload"]
                     revisit = h["WARC-Type"] == "revisit"
