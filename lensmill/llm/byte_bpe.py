@@ -34,12 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lensmill.llm.common import bounded_batches, text_or_empty, tidy
+from lensmill.llm.common import bounded_batches, fresh, text_or_empty, tidy
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE_BYTES = 1 << 20
-PIECES = 60_000
+#: Pieces that a process remembers, and the characters of the longest of them: so its memory is bounded in bytes.
+PIECES, REMEMBERED = 60_000, 64
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -117,13 +118,16 @@ class ByteBPE:
         if len(self.known) > PIECES:
             self.known.clear()
         known = self.known
-        fresh = {p for pieces in cut for p in pieces if p not in known}
+        new = {p for pieces in cut for p in pieces if p not in known}
         tokens = self.tokenizer.model.tokenize
-        for p in fresh:
+        for p in new:
             spelled = p.encode().decode("latin-1").translate(self.spelling)
             known[p] = np.array([t.id for t in tokens(spelled)], dtype=np.uint32).tobytes()
-        for pieces in cut:
-            yield np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype=np.uint32)
+        out = [np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype=np.uint32) for pieces in cut]
+        for p in new:
+            if len(p) > REMEMBERED:
+                del known[p]
+        yield from out
 
     def offsets(self, ids: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(byte starts, first character, end character, whether a character is split) of each token of ``data``."""
@@ -168,10 +172,14 @@ OFFSETS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Stru
 
 
 def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """``docs`` with ``ids`` and ``offsets`` (characters start to end, and whether the token splits a character)."""
+    """``docs`` with ``ids`` and ``offsets`` (characters start to end, and whether the token splits a character).
+
+    Where ``docs`` has columns of these names, lines are appended to the new ones' until they differ; so in ``decode``.
+    """
     path, pattern = _setting(docs, path, pattern)
-    schema = T.StructType([*docs.schema.fields, T.StructField("ids", TOKENS), T.StructField("offsets", OFFSETS)])
-    data = docs.withColumn("_data", text_or_empty(text).cast("binary"))
+    new = [fresh(docs.columns, n) for n in ("ids", "offsets")]
+    schema = T.StructType([*docs.schema.fields, T.StructField(new[0], TOKENS), T.StructField(new[1], OFFSETS)])
+    data = docs.withColumn(fresh(docs.columns, "data"), text_or_empty(text).cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBPE.from_file(path, pattern)
@@ -189,7 +197,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
             flat = lambda x, t: pa.array(np.concatenate(x) if x else np.array([]), type=t)
             spans = pa.StructArray.from_arrays([flat(starts, pa.int64()), flat(ends, pa.int64()), flat(splits, pa.bool_())], ["start", "end", "split"])
             columns = [*batch.columns[:at], pa.ListArray.from_arrays(cuts, flat(ids, pa.int64())), pa.ListArray.from_arrays(cuts, spans)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:at], "ids", "offsets"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:at], *new])
 
     return data.mapInArrow(tidy(run), schema)
 
@@ -197,6 +205,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
 def decode(tokens: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``tokens`` with the binary column ``out``: the bytes of the ids; null ids give no bytes."""
     path, pattern = _setting(tokens, path, pattern)
+    out = fresh(tokens.columns, out)
     schema = T.StructType([*tokens.schema.fields, T.StructField(out, T.BinaryType())])
     at = tokens.columns.index(ids)
 

@@ -10,7 +10,7 @@ distinct window hashes with the count of windows, and only documents with a repe
 
 Defined results: a null or blank text has no words, all measurements 0, and fails ``few_words``. Repeated doc_ids are
 independent rows. Other columns of the input are not touched by ``ledger`` and may have any name, as measurements live
-in the struct column ``_ledger`` until they are selected.
+in one struct column until they are selected: ``_ledger``, with lines appended while that name is used.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lensmill.llm.common import let, text_or_empty, words_of
+from lensmill.llm.common import fresh, let, text_or_empty, words_of
 
 WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]"
@@ -144,7 +144,7 @@ def ledger(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
         measurements(F.col(text)),
         lambda m: F.struct(*(m[n].alias(n) for n in MEASURES), fail_bits(m, rules).alias("fail_bits")),
     )
-    return docs.withColumn("_ledger", filled)
+    return docs.withColumn(fresh(docs.columns, "_ledger"), filled)
 
 
 def passes(bits: Column, policy: Policy, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -187,7 +187,8 @@ def judge(docs: DataFrame, policy: Policy = CURRENT) -> DataFrame:
 
 def keep(docs: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     """Pipeline form: the documents that the policy keeps, with their columns as they were."""
-    return ledger(docs).filter(passes(F.col("_ledger.fail_bits"), policy)).drop("_ledger")
+    own = fresh(docs.columns, "_ledger")
+    return ledger(docs).filter(passes(F.col(own)["fail_bits"], policy)).drop(own)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
