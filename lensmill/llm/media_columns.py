@@ -2,7 +2,9 @@
 
 HTML is parsed into one ordered sequence of items per document: text, or a reference to media by digest
 (``urn:sha256:...``) with its caption. A figure's caption, before or after its media, goes to all of them; without media,
-or outside a figure, it is text; one that is never closed ends with its figure or the document. Media live once, in a content-addressed table (digest, stored bytes); a join on
+or outside a figure, it is text; one that is never closed ends with its figure or the document. Runs of HTML white
+space are one space. Scripts and styles are no content, nor what a title, noscript or template holds, if it is closed.
+Media live once, in a content-addressed table (digest, stored bytes); a join on
 the digest resolves references, and every item keeps its position and caption whether or not its media are found.
 
 The stored form is a grey PNG of 64 columns: a payload padded with zero bytes to a positive multiple of 64 is its
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import html as htmllib
+import re
 import struct
 import sys
 import zlib
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lensmill.llm.common import bounded_batches, materialize, text_or_empty, tidy
+from lensmill.llm.common import bounded_batches, fresh, materialize, text_or_empty, tidy
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -44,7 +47,10 @@ MAGIC = b"\x89PNG\r\n\x1a\n"
 URN = "urn:sha256:"
 SEEN = 100_000
 BLOCKS = frozenset("p div article section h1 h2 h3 h4 h5 h6 li ul ol table tr blockquote figure figcaption br pre header footer main nav aside body".split())
-SILENT = frozenset(("script", "style", "template", "noscript", "title"))
+#: What these hold is no content once they are closed; one that is never closed hides nothing.
+SILENT = frozenset(("template", "noscript", "title"))
+RAW = frozenset(("script", "style"))
+HTML_SPACE = re.compile(r"[ \t\n\r\f]+")
 
 ITEM = "struct<position:int,kind:string,text:string,src:string,digest:string,caption:string>"
 
@@ -63,12 +69,13 @@ class _Sequence(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.items: list[dict] = []
         self.buffer: list[str] = []
-        self.silent = 0
+        self.raw = False
+        self.hidden: list[tuple] = []
         self.figures: list[_Figure] = []
         self.captioned: set[int] = set()
 
     def _flush(self) -> None:
-        text = " ".join("".join(self.buffer).split(" ")).strip()
+        text = HTML_SPACE.sub(" ", "".join(self.buffer)).strip(" ")
         self.buffer = []
         if text:
             self.items.append(self._item(kind="text", text=text))
@@ -87,7 +94,7 @@ class _Sequence(HTMLParser):
     def _end_figure(self) -> None:
         """The caption goes to all media of the figure that a figure within has not captioned; without any it is text."""
         figure = self.figures.pop()
-        text = "".join(figure.caption).strip()
+        text = HTML_SPACE.sub(" ", "".join(figure.caption)).strip(" ")
         if not text:
             return
         media = [i for i in self.items[figure.start :] if i["kind"] != "text" and id(i) not in self.captioned]
@@ -97,9 +104,26 @@ class _Sequence(HTMLParser):
         if not media:
             self.items.insert(figure.at, self._item(kind="text", text=text))
 
+    def _hide(self, tag: str) -> None:
+        """What comes from here on goes if ``tag`` is closed."""
+        captions = [len(f.caption) for f in self.figures]
+        self.hidden.append((tag, len(self.items), list(self.buffer), captions))
+
+    def _unhide(self, tag: str) -> None:
+        """Back to where the innermost open ``tag`` began; what was opened within it goes too."""
+        while self.hidden:
+            name, n, buffer, captions = self.hidden.pop()
+            if name == tag:
+                del self.items[n:], self.figures[len(captions) :]
+                self.buffer = buffer
+                for f, size in zip(self.figures, captions, strict=False):
+                    del f.caption[size:]
+                return
+
     def handle_starttag(self, tag: str, attrs) -> None:
+        self.raw = tag in RAW
         if tag in SILENT:
-            self.silent += 1
+            self._hide(tag)
         if tag in BLOCKS:
             self._block()
         if tag == "figure":
@@ -119,8 +143,10 @@ class _Sequence(HTMLParser):
                 self.items.append(self._item(kind={"img": "image"}.get(tag, tag), src=src, digest=digest, caption=a.get("alt")))
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in SILENT:
-            self.silent = max(0, self.silent - 1)
+        if tag in RAW:
+            self.raw = False
+        if any(h[0] == tag for h in self.hidden):
+            self._unhide(tag)
         if tag in BLOCKS:
             self._block()
         if tag == "figcaption" and self.figures:
@@ -129,7 +155,7 @@ class _Sequence(HTMLParser):
             self._end_figure()
 
     def handle_data(self, data: str) -> None:
-        if self.silent:
+        if self.raw:
             return
         (self.figures[-1].caption if self._in_caption() else self.buffer).append(data)
 
@@ -198,15 +224,17 @@ def features(payload: bytes) -> str:
 
 
 def interleave(docs: DataFrame, html: str = "html") -> DataFrame:
-    """``docs`` with ``items``: the ordered text and media references of the HTML."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("items", T._parse_datatype_string(f"array<{ITEM}>"))])
+    """``docs`` with ``items``: the ordered text and media references of the HTML; ``items_`` if there are ``items``, and so on."""
+    bounded_batches(docs.sparkSession)
+    out = fresh(docs.columns, "items")
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T._parse_datatype_string(f"array<{ITEM}>"))])
     at = docs.columns.index(html)
     kind = pa.list_(pa.struct([("position", pa.int32()), *[(n, pa.string()) for n in ("kind", "text", "src", "digest", "caption")]]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = pa.array([parse(x) for x in b.column(at).to_pylist()], type=kind)
-            yield pa.RecordBatch.from_arrays([*b.columns, found], names=[*b.schema.names, "items"])
+            yield pa.RecordBatch.from_arrays([*b.columns, found], names=[*b.schema.names, out])
 
     return docs.mapInArrow(tidy(run), schema)
 
@@ -278,12 +306,20 @@ def read_back(media: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as media beside its text; and of the page of the same id, read by ``interleave``, what it holds."""
     from lensmill.llm.common import table
 
     stored = store(table(spark, sf_dir, "documents"))
-    sequence = F.array_join(F.transform("items", lambda i: F.concat(i["kind"], F.lit("@"), i["position"].cast("string"), F.lit(":"), i["chars"].cast("string"), F.lit(":"), F.coalesce(i["caption"], F.lit("")))), ",")
+    described = lambda i: F.concat(i["kind"], F.lit("@"), i["position"].cast("string"), F.lit(":"), i["chars"].cast("string"), F.lit(":"), F.coalesce(i["caption"], F.lit("")))
+    sequence = F.array_join(F.transform("items", described), ",")
     refs = stored.select("doc_id", "n_bytes", F.explode(F.filter("items", lambda i: i["digest"].isNotNull())).alias("ref"), sequence.alias("sequence"))
     refs = refs.select("doc_id", "n_bytes", F.col("ref.digest").alias("digest"), "sequence")
-    out = resolve(refs, read_back(stored))
+    pages = interleave(table(spark, sf_dir, "pages").select("page_id", "html"))
+    of_kind = lambda kind: F.size(F.filter("items", lambda i: (i["kind"] == "text") == F.lit(kind == "text"))).cast("bigint")
+    whole = F.sha2(F.array_join(F.transform("items", lambda i: F.concat_ws("|", i["kind"], i["position"].cast("string"), i["text"], i["src"], i["caption"])), "\n"), 256)
+    # a page_id that occurs more than once has the smallest reading
+    pages = pages.select("page_id", F.struct(of_kind("text").alias("page_texts"), of_kind("media").alias("page_media"), whole.alias("page_sha256")).alias("p"))
+    pages = pages.groupBy(F.col("page_id").alias("doc_id")).agg(F.min("p").alias("p"))
+    out = resolve(refs, read_back(stored)).join(pages, "doc_id", "left")
     feature = F.concat_ws("; ", "samples", "sequence").alias("feature")
-    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature)
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature, "p.*")

@@ -21,9 +21,21 @@ def docs(spark, rows):
     return spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], DOCS)
 
 
+OWN = (
+    "_key _twin _turn _copies _position _gone _n_lines _n_removed _doc _tie _ledger _k _l _new _n_entities _data ids offsets decoded items n_lines n_removed lost doc tie found row "
+    "whole positions n_entities new data"
+).split()
+
+
+def kept(df, got):
+    """The caller's columns and values are as they were."""
+    assert got.columns[: len(df.columns)] == df.columns and len({c.lower() for c in got.columns}) == len(got.columns)
+    assert got.select(*OWN).distinct().collect() == [tuple(["own"] * len(OWN))]
+
+
 def clashing(df):
     """Extra columns with names that operators might use themselves."""
-    for c in ("ids", "class", "line", "bucket", "key", "run", "root", "size", "target", "position", "rank", "digest", "media", "a", "b", "n"):
+    for c in (*OWN, "ids", "class", "line", "bucket", "key", "run", "root", "size", "target", "position", "rank", "digest", "media", "a", "b", "n"):
         df = df.withColumn(c, F.lit("own"))
     return df
 
@@ -68,6 +80,17 @@ def test_preference(spark):
     assert out[1].n_common_turns == 2 and out[1].chosen == out[1].rejected == out[1].chosen_trained == ""
     assert out[2].rejected is None and out[2].n_common_turns == 0 and "unknown" in out[2].chosen
     assert preference.format_pairs(t.filter("false"), F.col("conv_id"), F.lit(True)).count() == 0
+    odd = t.withColumn("conv_id", F.when(F.col("conv_id") != 4, F.col("conv_id")))
+    assert {r.pair_id for r in preference.format_pairs(odd, F.floor(F.col("conv_id") / 2), F.col("conv_id") % 2 == 0).collect()} == {0, 1}
+
+
+def test_preference_query_shares_turns(spark):
+    pairs = preference.query(spark, "/root/testdata/sf0.01").collect()
+    assert len({r.pair_id for r in pairs}) == len(pairs) > 40
+    shared = [r for r in pairs if r.n_common_turns > 0]
+    assert 2 * len(shared) > len(pairs) and any(r.n_common_turns == 0 and r.rejected for r in pairs)
+    assert any(r.chosen == r.rejected == "" for r in pairs) and any(r.rejected is None and r.chosen for r in pairs)
+    assert all(r.prompt.count("<|im_start|>") == r.n_common_turns for r in pairs) and any(r.chosen and r.rejected for r in shared)
 
 
 # -- 2
@@ -109,6 +132,19 @@ def replaced(spark, *texts):
     return [r.text for r in surrogates.pseudonymize(df, "key").orderBy("doc_id").collect()]
 
 
+def test_columns_of_any_name_are_kept(spark):
+    df = clashing(docs(spark, [(i, f"words of document {i} mail a{i}@b.example.org\nline {i}", s) for i, s in enumerate("ababab")]))
+    kept(df, surrogates.pseudonymize(df, "key"))
+    kept(df, byte_bpe.encode(df))
+    kept(df, byte_bpe.decode(byte_bpe.encode(df.drop("ids", "offsets")).withColumns({"offsets": F.lit("own")}).withColumnRenamed("ids", "i").withColumn("ids", F.lit("own")).select(*df.columns, "i"), ids="i"))
+    kept(df, line_dedup.strip(df, line_dedup.removed(df)))
+    kept(df, line_dedup.dedup(df))
+    kept(df, jaccard_join.keep_one(df))
+    kept(df, curriculum.take(df))
+    kept(df, quality_ledger.keep(df, quality_ledger.Policy("all", 1, ())))
+    kept(df, media_columns.interleave(df, "text"))
+
+
 def test_surrogates_of_variants(spark):
     """One person or number under many spellings, marks of the operator's own in a text, secrets without a digit."""
     a, b, c, d, e, f = replaced(
@@ -234,6 +270,19 @@ def test_warc(spark, tmp_path):
     assert warc_dict.read(warc_dict.write(pages.filter("false"), str(tmp_path / "e"))).count() == 0
 
 
+def test_warc_streams(spark, tmp_path, monkeypatch):
+    """Small files and chunks; rows without a page_id are responses unless another page has the payload."""
+    monkeypatch.setattr(warc_dict, "CHUNK_BYTES", 100)
+    monkeypatch.setattr(warc_dict, "HELD_BYTES", 4000)
+    pages = [(i, f"u{i}", f"<p>page {i % 70} " + "common words " * 20) for i in range(200)] + [(None, "n", "<p>page 1 " + "common words " * 20)] * 5 + [(None, "m", "alone")] * 3
+    m = warc_dict.write(spark.createDataFrame(pages, "page_id bigint, url string, html string"), str(tmp_path / "w"), file_bytes=9000)
+    assert m.count() > 5
+    got = [(r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in warc_dict.read(m).collect()]
+    want = [(i, "response" if i < 70 else "revisit", None if i < 70 else i % 70, len(pages[i][2])) for i in range(200)]
+    want += [(None, "revisit", 1, len(pages[1][2]))] * 5 + [(None, "response", None, 5)] * 3
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_warc_frames():
     r = [warc_dict.record(i, f"http://x/{i}", f"<p>page {i} common words of every page</p>".encode() * 9, "D") for i in range(400)]
     data = warc_dict.archive(r)
@@ -402,6 +451,42 @@ def test_cascade_in_shards(spark, monkeypatch):
 
 # -- 7
 
+def test_malformed_pages():
+    def seen(page):
+        return [i["text"] or i["src"] for i in media_columns.parse(page)]
+
+    assert seen("<p>a</p><noscript>b<p>c</p><img src='d'>") == ["a", "b", "c", "d"]
+    assert seen("<p>a</p><noscript><img src='t'>b</noscript><p>c</p>") == ["a", "c"]
+    assert seen("<title>T</title><p>a\n\t  b\u00a0</p><template><figure>x</template>y") == ["a b\u00a0", "y"]
+    assert seen("a<script>if (1<2) b</script>c<style>p{}</style>d") == ["acd"]
+    assert seen("</noscript></title><p>a") == ["a"] and seen("<figure><noscript>x</figure>y") == ["x", "y"]
+    assert seen("<figure><figcaption>c<noscript>n</noscript></figcaption><img src='m'></figure>") == ["m"]
+
+
+def test_media_query(spark, tmp_path):
+    """The registered query against a plain computation of every column, on a small folder of tables."""
+    r = random.Random(8)
+    texts = [None, "", "x" * 64, "é<b>", "x" * 64] + [" ".join(r.choice(WORDS) for _ in range(r.randint(1, 90))) for _ in range(40)]
+    docs(spark, [(i, t, "a") for i, t in enumerate(texts)]).write.parquet(str(tmp_path / "documents.parquet"))
+    pages = [(i, f"u{i}", f"<h1>{i}</h1><p>one<img src='m{i}'>two</p>" if i % 3 else None) for i in range(0, 40, 2)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = media_columns.query(spark, str(tmp_path)).collect()
+    assert sorted(x.doc_id for x in got) == list(range(len(texts)))
+    for x in got:
+        data = (texts[x.doc_id] or "").encode()
+        payload = data + bytes(-len(data) % 64 or (0 if data else 64))
+        bands = Counter(b >> 4 for b in payload)
+        assert (x.n_bytes, x.payload_bytes, x.payload_sha256, x.tail_crc32) == (len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert x.feature.startswith(f"gray 64x{len(payload) // 64} sum {sum(payload)} bands {'.'.join(str(bands[k]) for k in range(16))}; ")
+        raw = b"".join(b"\0" + payload[i : i + 64] for i in range(0, len(payload), 64))
+        chunk = lambda kind, body: len(body).to_bytes(4, "big") + kind + body + zlib.crc32(kind + body).to_bytes(4, "big")
+        size = (64).to_bytes(4, "big") + (len(payload) // 64).to_bytes(4, "big")
+        png = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", size + bytes([8, 0, 0, 0, 0])) + chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b"")
+        assert (x.media_bytes, x.media_sha256) == (len(png), hashlib.sha256(png).hexdigest())
+        there = x.doc_id < 40 and x.doc_id % 2 == 0
+        assert (x.page_texts, x.page_media) == ((3, 1) if there and x.doc_id % 3 else (0, 0) if there else (None, None))
+
+
 def test_media(spark):
     texts = [None, "", "x" * 64, "é<b>&amp;", "x" * 64, "\n".join(WORDS) * 900]
     store = media_columns.store(clashing(docs(spark, [(i, t, "a") for i, t in enumerate(texts)])))
@@ -445,6 +530,22 @@ def test_captions_of_figures():
 
 # -- 8
 
+def test_take_of_odd_rows(spark):
+    """Equal texts under one doc_id in two sources, repeated rows and rows without a doc_id: each gets its own passes."""
+    rows = [(1, "a b c", "x"), (1, "a b c", "y"), (1, "a b c", "y")] + [(None, "n n", "z")] * 6 + [(i, "w " * (i % 7), s) for i, s in enumerate("xyz" * 20)]
+    df = docs(spark, rows)
+    mixed = curriculum.mix(curriculum.sized(df)).collect()
+    taken = Counter()
+    for r in curriculum.take(df).collect():
+        taken[r.source] += len(bag(r.text))
+    want = Counter()
+    for r in mixed:
+        want[r.source] += r.taken
+    assert taken == want and all(abs(taken[r.source] - r.target) <= 7 for r in mixed)
+    once, again = ([tuple(r) for r in curriculum.take(d).collect()] for d in (df, df.repartition(3)))
+    assert sorted(once, key=str) == sorted(again, key=str)
+
+
 def brute_targets(sizes, weights=(5, 2, 1)):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
