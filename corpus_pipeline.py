@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lensmill.llm import byte_bpe, curriculum, jaccard_join, line_dedup, quality_ledger
-from lensmill.llm.common import materialize, table
+from lensmill.llm.common import made, release, scratch, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. Each stage's scratch tables and its predecessor's rows are deleted once its own are written."""
+    docs, others = table(spark, sf_dir, "documents"), made()
     for k, (_, stage) in enumerate(STAGES):
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{k}")
+        out, path = stage(spark, docs, sf_dir), scratch(spark, f"stage-{k}")
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        release(spark, keep=[*others, path])
     return docs
