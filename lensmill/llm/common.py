@@ -109,7 +109,8 @@ def tidy(run):
 
         import pyarrow
 
-        gc.collect(1)  # young objects only: arrays are freed by their counts, and a whole round takes 40 ms a task
+        gc.collect()
+        gc.freeze()  # what a worker keeps (modules, tables) is not looked at again: 40 ms a task otherwise
         pyarrow.default_memory_pool().release_unused()
         try:
             ctypes.CDLL(None).malloc_trim(0)

@@ -361,14 +361,16 @@ def candidates(docs: DataFrame, codes, num: int, den: int, buckets: int, text: s
         # one entry for each set of a run, with its earliest place
         key, _, _, _, _, cls, n, _, d, t, line = postings
         order = np.lexsort((line, *_ties(t), d, cls, n, key))
-        run = [c[order] for c in postings]
         lead = np.ones(len(order), dtype=bool)
-        lead[1:] = np.logical_or.reduce([run[k][1:] != run[k][:-1] for k in range(7)])
-        run = [c[lead] for c in run]
+        for k in (0, 1, 2, 3, 4, 5, 6):
+            c = postings[k][order]
+            lead[1:] = (c[1:] != c[:-1]) if k == 0 else lead[1:] | (c[1:] != c[:-1])
+        order = order[lead]
+        run = [c[order] for c in postings]
         if not whole:
             first = np.flatnonzero(np.append(True, run[0][1:] != run[0][:-1])) if len(run[0]) else np.zeros(0, np.int64)
             size = np.diff(np.append(first, len(run[0])))
-            if (size > LONG).any():
+            if len(size) and size.max() > LONG:
                 for s, k in zip(first[size > LONG], size[size > LONG], strict=True):
                     yield from _blocks([c[s : s + k] for c in run], num, den)
                 short = np.repeat(size <= LONG, size)
