@@ -16,6 +16,29 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+#: A letter or digit beyond ASCII. The SQL engine's \\b, \\w and \\s know ASCII only.
+_BEYOND = r"[^\x00-\x7F\p{P}\p{S}\p{Z}\p{C}\p{M}]"
+
+
+def spark_pattern(p: str) -> str:
+    """Boundaries and classes know all letters, whatever the Java version."""
+    return f"(?U){p}"
+
+
+def sql_text(on: str) -> str:
+    """``on`` with an underline on either side of each letter beyond ASCII: to \\b of ASCII such a letter is in a word."""
+    return f"regexp_replace({on}, '({_BEYOND})', '_\\1_', 'g')"
+
+
+def sql_pattern(p: str) -> str:
+    """A pattern for ``sql_text``; classes that name letters beyond ASCII become alternatives."""
+    import re
+
+    own = lambda c: c if c.isascii() or not c.isalnum() else f"(?:_{c}_)"
+    out = re.sub(r"\[([^\]\\^-]*)\]", lambda m: m[0] if m[1].isascii() else "(?:" + "|".join(map(own, m[1])) + ")", p)
+    return re.sub(r"(?<!_)[^\x00-\x7F](?!_)", lambda m: own(m[0]), out)
+
+
 class Cond:
     def col(self) -> Column:
         raise NotImplementedError
@@ -64,10 +87,10 @@ class Any(Cond):
     on: str = "t"
 
     def col(self) -> Column:
-        return F.col(self.on).rlike("|".join(f"(?:{p})" for p in self.patterns))
+        return F.col(self.on).rlike(spark_pattern("|".join(f"(?:{p})" for p in self.patterns)))
 
     def sql(self) -> str:
-        return f"regexp_matches({self.on}, {_q('|'.join(f'(?:{p})' for p in self.patterns))})"
+        return f"regexp_matches({sql_text(self.on)}, {_q('|'.join(f'(?:{sql_pattern(p)})' for p in self.patterns))})"
 
 
 @dataclass(frozen=True)
@@ -80,10 +103,10 @@ class Count(Cond):
     on: str = "t"
 
     def number(self) -> Column:
-        return reduce(lambda a, b: a + b, (F.regexp_count(F.col(self.on), F.lit(p)) for p in self.patterns))
+        return reduce(lambda a, b: a + b, (F.regexp_count(F.col(self.on), F.lit(spark_pattern(p))) for p in self.patterns))
 
     def number_sql(self) -> str:
-        return "(" + " + ".join(f"len(regexp_extract_all({self.on}, {_q(p)}))" for p in self.patterns) + ")"
+        return "(" + " + ".join(f"len(regexp_extract_all({sql_text(self.on)}, {_q(sql_pattern(p))}))" for p in self.patterns) + ")"
 
     def col(self) -> Column:
         n = self.number()
@@ -109,20 +132,24 @@ class Groups(Cond):
         return "(" + " + ".join(f"CAST({Any(g, self.on).sql()} AS INTEGER)" for g in self.groups) + f") >= {self.least}"
 
 
+#: Columns that hold lower-case text by agreement.
+LOWER = ("t", "title_lower")
+
+
 @dataclass(frozen=True)
 class Keyword(Cond):
-    """Some substring occurs in ``on`` (lower-cased unless ``case``)."""
+    """Some substring occurs in ``on``, which is lower-cased unless ``case`` or lower-cased already (``LOWER``)."""
 
     words: tuple[str, ...]
     on: str = "t"
     case: bool = False
 
     def col(self) -> Column:
-        c = F.col(self.on) if self.case else F.lower(F.col(self.on))
+        c = F.col(self.on) if self.case or self.on in LOWER else F.lower(F.col(self.on))
         return reduce(lambda a, b: a | b, (F.contains(c, F.lit(w)) for w in self.words))
 
     def sql(self) -> str:
-        c = self.on if self.case else f"lower({self.on})"
+        c = self.on if self.case or self.on in LOWER else f"lower({self.on})"
         return "(" + " OR ".join(f"contains({c}, {_q(w)})" for w in self.words) + ")"
 
 
@@ -226,6 +253,26 @@ def package_sql(p: Package) -> str:
     return reason_sql(p.ordered())
 
 
+def scrape_junk(title: Column, content: Column, strong: tuple[str, ...], weak: tuple[str, ...], max_words: int = 120, stub_words: int = 8) -> Column:
+    """Why a scraped page is no article, or null. Judged on the whole of it.
+
+    Under 25 characters of content: empty. Over ``max_words`` words: never junk. Else any strong sign, two weak ones, or
+    one weak sign in a stub.
+    """
+    body = F.coalesce(content, F.lit(""))
+    words = F.size(F.filter(F.split(body, r"(?U)\s+"), lambda w: w != ""))
+    text = F.lower(F.concat_ws(" ", title, body))
+    first = lambda ps: F.get(F.filter(F.array(*(F.when(text.rlike(spark_pattern(p)), F.lit(p)) for p in ps)), lambda p: p.isNotNull()), F.lit(0))
+    hits = reduce(lambda a, b: a + b, (text.rlike(spark_pattern(p)).cast("int") for p in weak))
+    return (
+        F.when(F.length(F.regexp_replace(body, r"(?U)^\s+|\s+$", "")) < 25, "empty_or_stub_content")
+        .when(words > max_words, F.lit(None).cast("string"))
+        .when(first(strong).isNotNull(), F.concat(F.lit("scrape_junk_strong:"), first(strong)))
+        .when(hits >= 2, F.concat(F.lit("scrape_junk_weak:"), hits.cast("string"), F.lit(":"), first(weak)))
+        .when((hits == 1) & (words <= stub_words), F.concat(F.lit("scrape_junk_stub:"), first(weak)))
+    )
+
+
 def statistics(p: Package) -> dict[str, int]:
     """How many patterns and exceptions a package has."""
     return {"categories": len(p.categories), "patterns": sum(len(c.patterns) for c in p.categories), "exceptions": sum(len(c.exceptions) for c in p.categories), "positive": len(p.positive)}

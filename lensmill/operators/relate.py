@@ -54,21 +54,43 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-#: A reference set up to this many vectors is sent to every executor; beyond, the two sides meet in blocks.
-BROADCAST_VECTORS = 50_000
+#: Vectors of a block: two blocks meet in one matrix product.
+BLOCK_VECTORS = 2048
 
 
-def max_cosine(rows: DataFrame, reference: DataFrame, key: str, vec: str, blocks: int = 16) -> DataFrame:
-    """For each row the largest cosine to any reference vector (both of unit norm).
+def _blocks(df: DataFrame, key: str, vec: str, block: str, n: int) -> DataFrame:
+    packed = df.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(block), F.struct(F.col(key).alias("k"), F.col(vec).cast("array<double>").alias("v")).alias("x"))
+    return packed.groupBy(block).agg(F.collect_list("x").alias("xs"))
 
-    A stated reference set against all rows. Small references are one packed broadcast row; larger ones are cut into
-    blocks, each block meets all rows, and maxima are reduced before the shuffle.
+
+def max_cosine(rows: DataFrame, reference: DataFrame, key: str, vec: str, block_vectors: int = BLOCK_VECTORS) -> DataFrame:
+    """For each row the largest cosine to any other reference vector (all of unit norm); null without one.
+
+    Every pair is looked at, as the operator asks for. Both sides are cut into blocks by hash, a block of rows meets a
+    block of references in one task, as one matrix product, and maxima are reduced before the shuffle: a task holds two
+    blocks, whatever the sizes of the sides.
     """
-    n = reference.count()
-    parts = max(1, -(-n // BROADCAST_VECTORS)) if n > BROADCAST_VECTORS else 1
-    packed = reference.select((F.pmod(F.xxhash64(key), F.lit(parts))).alias("part"), F.col(vec).alias("r"), F.col(key).alias("rk"))
-    packed = packed.groupBy("part").agg(F.collect_list(F.struct("r", "rk")).alias("refs"))
-    best = F.array_max(F.transform("refs", lambda x: F.when(x["rk"] != F.col(key), dot(F.col(vec), x["r"]))))
-    met = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))) if parts > 1 else rows.withColumn("part", F.lit(0))
-    scored = met.join(F.broadcast(packed) if parts == 1 else packed, "part").select(key, best.alias("sim"))
-    return scored.groupBy(key).agg(F.max("sim").alias("sim")) if parts > 1 else scored
+    n_rows, n_refs = (max(1, -(-df.count() // block_vectors)) for df in (rows, reference))
+    a = _blocks(rows, key, vec, "i", n_rows).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n_refs - 1)))).withColumnRenamed("xs", "a")
+    b = _blocks(reference, key, vec, "j", n_refs).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1)))).withColumnRenamed("xs", "b")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def unpack(cell):
+            values = cell.values
+            return values.field("k").to_numpy(zero_copy_only=False), np.stack(values.field("v").to_numpy(zero_copy_only=False))
+
+        for batch in batches:
+            for x, y in zip(batch.column(0), batch.column(1), strict=True):
+                k, v = unpack(x)
+                rk, r = unpack(y)
+                sims = v @ r.T
+                sims[k[:, None] == rk[None, :]] = -np.inf
+                best = sims.max(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(best, mask=~np.isfinite(best))], names=[key, "sim"])
+
+    cells = a.join(b, ["i", "j"]).select("a", "b")
+    found = cells.mapInArrow(run, f"{key} {dict(rows.dtypes)[key]}, sim double").groupBy(key).agg(F.max("sim").alias("sim"))
+    return rows.select(key).join(found, key, "left") if reference.isEmpty() else found

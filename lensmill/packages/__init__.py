@@ -166,11 +166,79 @@ POLICY = Package(
     ),
 )
 
-# Fixed values of this repository: screening of scraped pages.
-STRONG_JUNK = (r"\benable javascript\b", r"\baccept (?:all )?cookies\b", r"\bverify you are (?:a )?human\b", r"\b404 not found\b", r"\baccess denied\b", r"\bsubscribe to (?:continue|read)\b", r"\bcookies akzeptieren\b", r"\baccepter les cookies\b", r"\baceptar cookies\b")
-WEAK_JUNK = (r"\bcookies?\b", r"\blog ?in\b", r"\bsubscribe\b", r"\bprivacy policy\b", r"\bplease wait\b", r"\bnewsletter\b", r"\banmelden\b", r"\bse connecter\b")
-OBIT_SIGNAL = (*OBITUARY, r"\bdied\b", r"\bsurvived by\b", r"\bgestorben\b", r"\bdécès\b", r"\bcondolences\b", r"\bin loving memory\b")
-OBIT_SIGNAL_ASCII = tuple(p for p in OBIT_SIGNAL if p.isascii())
+# Signs of scraped pages that are no articles, in seven languages, and of obituaries; results must match.
+STRONG_JUNK = (
+    r"\benable\s+javascript\b",
+    r"\bjavascript\s+is\s+(?:disabled|required|not\s+available|turned\s+off)\b",
+    r"\bchecking\s+your\s+browser\b",
+    r"\b(?:are\s+you\s+a\s+(?:robot|human)|verify\s+you\s+are\s+human)\b",
+    r"\benable\s+cookies\s+and\s+reload\b",
+    r"\bactiv(?:er|ez)\s+(?:le\s+)?javascript\b",
+    r"\bjavascript\s+est\s+d[ée]sactiv[ée]\b",
+    r"\b(?:bitte\s+)?aktivieren\s+sie\s+javascript\b",
+    r"\bjavascript\s+ist\s+deaktiviert\b",
+    r"\bactiv(?:a|e|ar)\s+(?:el\s+)?javascript\b",
+    r"\bjavascript\s+est[áa]\s+desactivad[oa]\b",
+    r"\babilita(?:re)?\s+(?:il\s+)?javascript\b",
+    r"\bjavascript\s+[èe]\s+disabilitato\b",
+    r"\bschakel\s+javascript\s+in\b",
+    r"\bjavascript\s+is\s+uitgeschakeld\b",
+    r"\bative\s+o\s+javascript\b",
+    r"\bjavascript\s+est[áa]\s+desativad[oa]\b",
+    r"\bbefore\s+you\s+continue\s+to\s+google\b",
+    r"\bavant\s+d.?acc[ée]der\s+[àa]\s+google\b",
+    r"\bbevor\s+sie\s+zu\s+google\s+weitergehen\b",
+    r"\bantes\s+de\s+ir\s+a\s+google\b",
+    r"\bprima\s+di\s+continuare\s+su\s+google\b",
+    r"\bvoordat\s+u\s+verdergaat\s+naar\s+google\b",
+    r"\bantes\s+de\s+(?:ir\s+para|continuar\s+no)\s+google\b",
+)
+WEAK_JUNK = (
+    r"\bwe\s+(?:and\s+our\s+partners\s+)?use\s+cookies\b",
+    r"\baccept(?:ing)?\s+(?:all\s+)?cookies\b",
+    r"\bcookie\s+(?:policy|consent|preferences|settings|notice)\b",
+    r"\bconsent\s+to\s+the\s+use\s+of\s+cookies\b",
+    r"\bmanage\s+(?:your\s+)?(?:cookie\s+)?preferences\b",
+    r"\bsubscribe\s+to\s+(?:continue|read)\b",
+    r"\bsign\s+in\s+to\s+(?:continue|read)\b",
+    r"\bregister\s+to\s+(?:continue|read)\b",
+    r"\bthis\s+(?:content|page|article|video)\s+is\s+(?:not\s+available|unavailable)\b",
+    r"\bpage\s+not\s+found\b",
+    r"\b40[34]\b[^.]{0,40}\b(?:not\s+found|forbidden|error)\b",
+    r"\baccess\s+denied\b",
+    r"\b(?:verwenden|utilisons|usamos|utilizamos|utilizziamo|gebruiken)\s+cookies\b",
+    r"\bcookie[- ]?(?:richtlinie|einstellungen|einwilligung)\b",
+    r"\b(?:politique|param[èe]tres|gestion)\s+(?:des\s+)?cookies\b",
+    r"\b(?:pol[íi]tica|configuraci[óo]n|preferencias)\s+de\s+cookies\b",
+    r"\b(?:informativa|impostazioni|preferenze)\s+(?:sui\s+)?cookie\b",
+    r"\bcookie(?:beleid|instellingen|voorkeuren)\b",
+    r"\bacept(?:ar|a|e)\s+(?:todas\s+)?(?:las\s+)?cookies\b",
+    r"\baccepter\s+(?:tous\s+)?les\s+cookies\b",
+    r"\b(?:alle\s+)?cookies\s+akzeptieren\b",
+    r"\baccetta(?:re)?\s+(?:tutti\s+)?i\s+cookie\b",
+    r"\babonn(?:ez[- ]vous|er)\s+pour\s+(?:lire|continuer)\b",
+    r"\bsuscr[íi]b[a-z]*\s+para\s+(?:seguir\s+)?(?:leyendo|continuar)\b",
+    r"\babonnieren\s+sie[,\s]+um\s+weiterzulesen\b",
+    r"\babbonati\s+per\s+(?:continuare|leggere)\b",
+    r"\bseite\s+nicht\s+gefunden\b",
+    r"\bpage\s+(?:introuvable|non\s+trouv[ée]e)\b",
+    r"\bp[áa]gina\s+no\s+encontrada\b",
+    r"\bpagina\s+non\s+trovata\b",
+    r"\bpagina\s+niet\s+gevonden\b",
+    r"\bp[áa]gina\s+n[ãa]o\s+encontrada\b",
+)
+OBIT_SIGNAL = (
+    r"\b(obituary|obituaries|in memoriam)\b",
+    r"\b(funeral|funeral mass|funeral service|memorial service)\b",
+    r"\b(passed away|laid to rest|death notice)\b",
+    r"\b(dies aged|died aged|dies at \d+|died at \d+)\b",
+    r"\b(dies|died) (after|following|in|while)\b",
+    r"\b(survived by|in loving memory|paying tribute|pays tribute)\b",
+    r"\b(mourners?|mourning|condolences)\b",
+    r"\b(procession|candlelight vigil|memorial vigil)\b",
+    r"\b(rest in peace)\b",
+    r"\b(killed|murdered|assassinated) in \d{4}\b",
+)
 #: A wide net in six languages, most stems at the beginning of a word; boundaries know all letters.
 _START, _END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 DEATH_ADJACENT = (
@@ -198,3 +266,17 @@ TOPICS = (
     "Buy now, best deals, free shipping under $20 in this limited offer.",
     "Artificial intelligence policy announced; we demand renewable energy, must act.",
 )
+#: Pages of nothing but signs, for the query of scraped junk.
+JUNK_PAGES = (
+    "Checking your browser before you access the site.",
+    "Avant d’accéder à Google, acceptez.",
+    "JavaScript è disabilitato nel tuo browser oggi.",
+    "JavaScript ist deaktiviert. Bitte laden Sie neu.",
+    "Seite nicht gefunden: gehen Sie zur Startseite.",
+    "Página não encontrada. Política de cookies do site.",
+    "We use cookies on this site; see the cookie policy for more of it.",
+    "A brief of more than eight words that names the cookie policy of one site once.",
+    "Ein kurzer Text ohne jedes Zeichen, der ganz in Ordnung ist.",
+    "Voordat u verdergaat naar Google",
+    "Kort.",
+)

@@ -26,13 +26,13 @@ query("join_enrich", q("SELECT s.id, round(s.ws, 6) AS wa, a.title FROM wa s JOI
     lambda spark, d: with_wa(spark, d).select("id", r6(C("ws")).alias("wa")).join(articles(spark, d).select("id", "title"), "id")
 )
 portable("join_lens_pairs", "WITH tri AS (SELECT id AS url, 'a' AS lens, (s0 + s1) / 2 AS wa FROM {scores} UNION ALL SELECT id, 'b', (s2 + s3) / 2 FROM {scores} UNION ALL SELECT id, 'c', (s4 + s5) / 2 FROM {scores}) SELECT a.lens AS la, b.lens AS lb, CAST(count(*) AS BIGINT) AS n, round(corr(a.wa, b.wa), 6) AS r FROM tri a JOIN tri b ON a.url = b.url AND a.lens < b.lens GROUP BY a.lens, b.lens")
-DOT = "list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: CAST(a.embedding[i] AS DOUBLE) * CAST(b.embedding[i] AS DOUBLE)))"
-COS = f"cos AS (SELECT a.vec_id AS id, max({DOT}) AS sim FROM embeddings a JOIN embeddings b ON b.vec_id % 10 = 0 AND a.vec_id <> b.vec_id GROUP BY a.vec_id)"
+DOT = "list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
+COS = f"cos AS (SELECT a.vec_id AS id, max({DOT}) AS sim FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id GROUP BY a.vec_id)"
 
 
 def cosines(spark, d):
     e = table(spark, d, "embeddings").select(C("vec_id").alias("id"), "embedding")
-    return J.max_cosine(e, e.filter("id % 10 = 0"), "id", "embedding")
+    return J.max_cosine(e, e, "id", "embedding")
 
 
 query("join_cosine_max", q("SELECT id, round(sim, 5) AS sim FROM cos", COS))(lambda spark, d: cosines(spark, d).select("id", F.round("sim", 5).alias("sim")))

@@ -14,8 +14,7 @@ _arr = ", ".join("'" + t.replace("'", "''") + "'" for t in P.TOPICS)
 N = len(P.TOPICS)
 TOPICAL = f"""tp AS (SELECT id, url, source, language, CASE WHEN id % 41 = 0 THEN NULL WHEN id % 43 = 0 THEN '  ' WHEN id % 47 = 0 THEN 'RIP ' || title ELSE title END AS title,
   CASE WHEN id % 53 = 0 THEN NULL WHEN id % 59 = 0 THEN '   ' ELSE list_extract([{_arr}], CAST(id % {N} + 1 AS BIGINT)) || ' ' || content END AS content FROM articles)"""
-#: Letters beyond ASCII become x: the SQL engine's \\b knows ASCII only, Spark's does not.
-TEXT = r"tx AS (SELECT *, regexp_replace(lower(concat_ws(' ', title, substring(content, 1, 2000))), '[^\x00-\x7F]', 'x', 'g') AS t, lower(title) AS title_lower FROM tp)"
+TEXT = "tx AS (SELECT *, lower(concat_ws(' ', title, substring(content, 1, 2000))) AS t, lower(title) AS title_lower FROM tp)"
 
 
 def topical(spark, d):
@@ -24,7 +23,7 @@ def topical(spark, d):
     topic = F.get(F.array(*map(F.lit, P.TOPICS)), (C("id") % N).cast("int"))
     content = F.when(C("id") % 53 == 0, F.lit(None).cast("string")).when(C("id") % 59 == 0, "   ").otherwise(F.concat(topic, F.lit(" "), "content"))
     a = a.select("id", "url", "source", "language", title.alias("title"), content.alias("content"))
-    return a.withColumns({"t": F.regexp_replace(F.lower(F.concat_ws(" ", "title", F.substring("content", 1, 2000))), r"[^\x00-\x7F]", "x"), "title_lower": F.lower("title")})
+    return a.withColumns({"t": F.lower(F.concat_ws(" ", "title", F.substring("content", 1, 2000))), "title_lower": F.lower("title")})
 
 
 def column(name: str, build, sql: str):
@@ -70,29 +69,37 @@ CATEGORY = P.BELONGING.skips(P.BELONGING.categories[1]) | GLOBAL
 column("pred_category_override", lambda: CATEGORY.col(), CATEGORY.sql())
 
 
-@query(
-    "pred_scrape_junk",
-    q(
-        "SELECT id, CASE WHEN length(trim(b)) < 25 THEN 'empty' WHEN n > 120 THEN NULL WHEN " + R.Any(P.STRONG_JUNK, "b").sql() + " THEN 'strong' "
-        "WHEN weak >= 2 THEN 'weak' WHEN weak = 1 AND n <= 8 THEN 'short_weak' END AS out FROM (SELECT *, " + " + ".join(f"CAST(regexp_matches(b, '{p}') AS INTEGER)" for p in P.WEAK_JUNK) + " AS weak FROM j)",
-        ARTICLES,
-        TOPICAL,
-        r"j AS (SELECT id, b, len(string_split_regex(trim(b), '\s+')) AS n FROM (SELECT id, lower(substring(concat_ws(' ', title, content), 1, CAST(20 + (id % 9) * 100 AS BIGINT))) AS b FROM tp))",
-    ),
-)
+def _junk_sql() -> str:
+    def one(p: str) -> str:
+        return f"CASE WHEN regexp_matches({R.sql_text('h')}, {R._q(R.sql_pattern(p))}) THEN {R._q(p)} END"
+
+    weak = "list_filter([" + ", ".join(map(one, P.WEAK_JUNK)) + "], lambda x: x IS NOT NULL)"
+    strong = "coalesce(" + ", ".join(map(one, P.STRONG_JUNK)) + ")"
+    return (
+        "SELECT id, CASE WHEN length(trim(b, e' \\n\\t\\r')) < 25 THEN 'empty_or_stub_content' WHEN n > 120 THEN NULL WHEN strong IS NOT NULL THEN 'scrape_junk_strong:' || strong "
+        "WHEN len(weak) >= 2 THEN 'scrape_junk_weak:' || len(weak) || ':' || weak[1] WHEN len(weak) = 1 AND n <= 8 THEN 'scrape_junk_stub:' || weak[1] END AS out "
+        f"FROM (SELECT id, b, n, CASE WHEN n <= 120 THEN {strong} END AS strong, CASE WHEN n <= 120 THEN {weak} ELSE [] END AS weak FROM j)"
+    )
+
+
+JUNK = r"j AS (SELECT id, content AS b, lower(concat_ws(' ', title, content)) AS h, len(list_filter(string_split_regex(content, '\s+'), lambda w: w <> '')) AS n FROM jp)"
+#: Beside the documents themselves, whole pages that are nothing but the signs.
+JUNK_PAGES = "jp AS (SELECT id, title, coalesce(content, '') AS content FROM tp UNION ALL SELECT -1 - id, title, list_extract([" + ", ".join(R._q(t) for t in P.JUNK_PAGES) + f"], CAST(id % {len(P.JUNK_PAGES)} + 1 AS BIGINT)) FROM tp)"
+
+
+@query("pred_scrape_junk", q(_junk_sql(), ARTICLES, TOPICAL, JUNK_PAGES, JUNK))
 def pred_scrape_junk(spark, d):
-    b = F.lower(F.expr("substring(concat_ws(' ', title, content), 1, cast(20 + (id % 9) * 100 as int))"))
-    weak = sum((R.Any((p,), "b").col().cast("int") for p in P.WEAK_JUNK[1:]), R.Any(P.WEAK_JUNK[:1], "b").col().cast("int"))
-    j = topical(spark, d).withColumn("b", b).withColumns({"n": F.size(F.split(F.trim("b"), r"\s+")), "weak": weak})
-    out = F.when(F.length(F.trim("b")) < 25, "empty").when(C("n") > 120, F.lit(None).cast("string")).when(R.Any(P.STRONG_JUNK, "b").col(), "strong").when(C("weak") >= 2, "weak").when((C("weak") == 1) & (C("n") <= 8), "short_weak")
-    return j.select("id", out.alias("out"))
+    a = topical(spark, d)
+    page = F.get(F.array(*map(F.lit, P.JUNK_PAGES)), (C("id") % len(P.JUNK_PAGES)).cast("int"))
+    both = a.select("id", "title", "content").unionByName(a.select((-1 - C("id")).alias("id"), "title", page.alias("content")))
+    return both.select("id", R.scrape_junk(C("title"), C("content"), P.STRONG_JUNK, P.WEAK_JUNK).alias("out"))
 
 
-OBIT = R.Count(P.OBIT_SIGNAL_ASCII)
+OBIT = R.Count(P.OBIT_SIGNAL)
 column(
     "pred_obit_signal",
-    lambda: big(OBIT.number() + F.when(F.coalesce(C("title").rlike(r"(^|[^A-Za-z])RIP([^A-Za-z]|$)"), F.lit(False)), 1).otherwise(0)),
-    f"CAST({OBIT.number_sql()} + CASE WHEN coalesce(regexp_matches(title, '(^|[^A-Za-z])RIP([^A-Za-z]|$)'), false) THEN 1 ELSE 0 END AS BIGINT)",
+    lambda: big(OBIT.number() + F.coalesce(C("title").rlike(R.spark_pattern(r"\bRIP\b")).cast("int"), F.lit(0))),
+    f"CAST({OBIT.number_sql()} + coalesce(CAST(regexp_matches({R.sql_text('title')}, '\\bRIP\\b') AS INTEGER), 0) AS BIGINT)",
 )
 column("pred_off_lens", lambda: C("source").isin("src3", "src4") | F.contains(F.lower(F.concat("source", "url")), F.lit("src17")), "source IN ('src3', 'src4') OR contains(lower(source || url), 'src17')")
 FIRST = [R.Rule(R.Any((p,)), p[:30]) for p in P.COMMERCE]
