@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lensmill.functions.text import hash_bucket, order_hash
+from lensmill.operators import ranking
 
 
 def in_order(key: str, seed: int = 42) -> Column:
@@ -15,13 +16,17 @@ def in_order(key: str, seed: int = 42) -> Column:
 
 
 def stratified_split(df: DataFrame, stratum: str, key: str, ratios: Sequence[float] = (0.8, 0.1, 0.1), seed: int = 42) -> DataFrame:
-    """Adds ``split``: in each stratum the first int(n * train) rows, up to int(n * (train + val)), and the rest."""
+    """Adds ``split``: in each stratum the first int(n * train) rows in hash order, up to int(n * (train + val)), and the rest.
+
+    No task holds a stratum: its rows are numbered by buckets of the hash.
+    """
     if abs(sum(ratios) - 1) > 0.01:
         raise ValueError("ratios must sum to 1")
-    k = F.row_number().over(Window.partitionBy(stratum).orderBy(in_order(key, seed)))
-    n = F.count("*").over(Window.partitionBy(stratum))
-    train, upto = F.floor(n * F.lit(ratios[0])), F.floor(n * (F.lit(ratios[0]) + F.lit(ratios[1])))
-    return df.withColumns({"_k": k, "_n": n}).withColumn("split", F.when(F.col("_k") <= train, "train").when(F.col("_k") <= upto, "val").otherwise("test")).drop("_k", "_n")
+    k, n, s = (ranking.fresh([*df.columns, "split"], c) for c in ("k", "n", "s"))
+    sizes = df.groupBy(F.col(stratum).alias(s)).agg(F.count("*").alias(n))
+    placed = ranking.by_hash_order(df, in_order(key, seed), [stratum], k).join(F.broadcast(sizes), F.col(stratum).eqNullSafe(F.col(s)))
+    train, upto = F.floor(F.col(n) * F.lit(ratios[0])), F.floor(F.col(n) * (F.lit(ratios[0]) + F.lit(ratios[1])))
+    return placed.withColumn("split", F.when(F.col(k) < train, "train").when(F.col(k) < upto, "val").otherwise("test")).drop(k, n, s)
 
 
 def hash_holdout(key: Column, fraction: float) -> Column:
@@ -41,8 +46,9 @@ def per_group(df: DataFrame, group: Sequence[str], key: str, quota: Column | int
 
 
 def batches(df: DataFrame, key: str, size: int, seed: int = 42) -> DataFrame:
-    """Adds ``batch``, ``size`` rows each in hash order. A global order is asked for, so ranks meet in one window."""
-    return df.withColumn("batch", F.floor((F.row_number().over(Window.orderBy(in_order(key, seed))) - 1) / size))
+    """Adds ``batch``, ``size`` rows each in hash order; rows are numbered by buckets of the hash."""
+    k = ranking.fresh([*df.columns, "batch"], "k")
+    return ranking.by_hash_order(df, in_order(key, seed), [], k).withColumn("batch", F.floor(F.col(k) / size)).drop(k)
 
 
 def round_robin(df: DataFrame, group: str, key: str, n: int, seed: int = 42) -> DataFrame:

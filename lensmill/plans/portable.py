@@ -1,4 +1,5 @@
-"""Queries whose plan is stated as SQL. One text serves Catalyst and the checking engine; views are Spark DataFrames."""
+"""Queries checked by SQL over the views. Their plan is an operator of ``stat_plans`` where there is one, else the same text
+for Catalyst; views are Spark DataFrames."""
 
 from __future__ import annotations
 
@@ -6,9 +7,11 @@ import re
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lensmill.plans import views as V
 from lensmill.plans.registry import query
+from lensmill.plans.stat_plans import PLANS
 
 TABLES = ("documents", "embeddings", "events", "pages", "labels", "benchmark", "conversations", "lineitem", "orders", "customer", "nation", "region", "part", "supplier")
 BUILT = {"articles": V.articles, "scores": V.scores, "wa": V.with_wa, "long": V.long_scores}
@@ -40,5 +43,20 @@ def run(spark: SparkSession, d: str, body: str) -> DataFrame:
     return spark.sql(to_spark(body), **frames)
 
 
+class Frames:
+    """The views and tables of one folder by name."""
+
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d = spark, d
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return BUILT[name](self.spark, self.d) if name in BUILT else V.table(self.spark, self.d, name)
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    return df.select(*(F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+
+
 def portable(name: str, body: str) -> None:
-    query(name, to_sql(body))(lambda spark, d: run(spark, d, body))
+    plan = PLANS.get(name)
+    query(name, to_sql(body))((lambda spark, d: rounded(plan(Frames(spark, d)))) if plan else (lambda spark, d: run(spark, d, body)))

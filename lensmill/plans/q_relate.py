@@ -102,7 +102,15 @@ query("split_hash_holdout", q("SELECT id, CAST('0x' || substr(sha1(CAST(id AS VA
 query("sample_random", q(f"SELECT id FROM articles ORDER BY {H} LIMIT 100", ARTICLES))(lambda spark, d: K.random_sample(articles(spark, d).select("id"), "id", 100))
 
 
-@query("sample_category_mix")
+MIX = (
+    f"c AS (SELECT id, 0 AS o FROM (SELECT id, {RN.format(g='language')} AS k FROM articles) WHERE k <= 18), "
+    "s AS (SELECT id, 1 AS o FROM articles WHERE length(content) < 500 ORDER BY md5(CAST(id AS VARCHAR) || '1') LIMIT 10), "
+    "l AS (SELECT id, 1 AS o FROM articles WHERE length(content) > 5000 ORDER BY md5(CAST(id AS VARCHAR) || '2') LIMIT 10), "
+    "r AS (SELECT id, 2 AS o FROM articles ORDER BY md5(CAST(id AS VARCHAR) || '3') LIMIT 10), u AS (SELECT * FROM c UNION ALL SELECT * FROM s UNION ALL SELECT * FROM l UNION ALL SELECT * FROM r)"
+)
+
+
+@query("sample_category_mix", q("SELECT id, CASE min(o) WHEN 0 THEN 'category' WHEN 1 THEN 'edge' ELSE 'random' END AS why FROM u GROUP BY id", ARTICLES, MIX))
 def sample_category_mix(spark, d):
     """70 % spread over categories, 20 % edge cases (short, long), 10 % at random; each id once."""
     a = articles(spark, d).select("id", "language", "content")
@@ -132,13 +140,13 @@ QUINT = "qn AS (SELECT id, floor((row_number() OVER (ORDER BY ws, id) - 1) * 5 /
 
 @query("sample_quintile", q(f"SELECT id, CAST(qt AS BIGINT) AS quintile FROM (SELECT id, qt, {RN.format(g='qt')} AS k FROM qn) WHERE k <= 20", SCORES, WA, QUINT))
 def sample_quintile(spark, d):
-    from pyspark.sql import Window
+    from lensmill.operators.ranking import slices
 
-    s = with_wa(spark, d).select("id", F.floor((F.row_number().over(Window.orderBy("ws", "id")) - 1) * 5 / F.count("*").over(Window.partitionBy(F.lit(0)))).alias("quintile"))
+    s = slices(with_wa(spark, d).select("id", "ws"), "ws", ["id"], 5, "quintile")
     return K.per_group(s, ["quintile"], "id", 20).select("id", "quintile")
 
 
-@query("sample_plant_dups")
+@query("sample_plant_dups", q(f"SELECT id, false AS planted FROM s UNION ALL SELECT id, true FROM (SELECT id FROM s ORDER BY md5(CAST(id AS VARCHAR) || '7') LIMIT 20)", ARTICLES, f"s AS (SELECT id FROM articles ORDER BY {H} LIMIT 100)"))
 def sample_plant_dups(spark, d):
     s = K.random_sample(articles(spark, d).select("id"), "id", 100)
     return s.withColumn("planted", F.lit(False)).unionByName(K.random_sample(s, "id", 20, 7).withColumn("planted", F.lit(True)))

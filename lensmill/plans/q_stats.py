@@ -44,7 +44,8 @@ ROLL = "roll AS (SELECT id, count_if(vote) AS yes, count(*) AS n FROM votes GROU
 p("agg_majority", f"WITH {VOTES}, {ROLL} SELECT id, CASE WHEN yes >= 3 THEN 'block' WHEN n - yes >= 3 THEN 'keep' ELSE 'split' END AS verdict FROM roll")
 p("agg_median_consensus", "SELECT id, CAST(round(median(label), 6) AS DOUBLE) AS consensus FROM {long} GROUP BY id")
 p("agg_tier_compare", f"SELECT source, tier, {N} AS n FROM (SELECT 'oracle' AS source, {tier('wo')} AS tier FROM {{wa}} UNION ALL SELECT 'student', {tier('ws')} FROM {{wa}}) t GROUP BY source, tier")
-p("agg_run_average", "SELECT dim, round(avg(mean4), 6) AS mean, CAST(count(DISTINCT mean4) AS BIGINT) AS distinct_values FROM (SELECT id, dim, round((pred + label) / 2, 4) AS mean4 FROM {long}) t GROUP BY dim")
+#: Three runs of one score.
+p("agg_run_average", "SELECT lens, round(avg(mean4), 6) AS mean, CAST(count(DISTINCT mean4) AS BIGINT) AS distinct_values FROM (SELECT lens, round((s0 + s1 + s2) / 3, 4) AS mean4 FROM {scores}) t GROUP BY lens")
 p("agg_distinct", "SELECT CAST(count(DISTINCT source) AS BIGINT) AS sources, CAST(count(DISTINCT id) AS BIGINT) AS ids, CAST(count(DISTINCT url) AS BIGINT) AS urls FROM {articles}")
 p("agg_top_n", f"SELECT source, {N} AS n FROM {{articles}} WHERE length(content) > 500 GROUP BY source ORDER BY n DESC, source LIMIT 10")
 p("agg_bucket_stats", f"SELECT lens % 3 AS bucket, {N} AS n, round(avg(ws), 6) AS mean, round(median(ws), 6) AS median, round(min(ws), 6) AS lo, round(max(ws), 6) AS hi FROM {{wa}} WHERE s0 >= 1 GROUP BY lens % 3")
@@ -109,10 +110,14 @@ p("met_error_corr", " UNION ALL ".join(f"SELECT {i} AS a, {j} AS b, round(corr(s
 p("met_slope", "SELECT dim, round(corr(pred, label), 6) AS r, round(covar_pop(pred, label) / var_pop(pred), 6) AS slope FROM {long} GROUP BY dim")
 WILSON = "((k / n + 1.9208 / n) - 1.96 * sqrt((k / n) * (1 - k / n) / n + 0.9604 / (n * n))) / (1 + 3.8416 / n)"
 p("met_wilson", f"SELECT lens, round(CASE WHEN n = 0 THEN 0 ELSE {WILSON} END, 6) AS lower FROM (SELECT lens, CAST(count_if(ws >= 5) AS DOUBLE) AS k, CAST(count(*) AS DOUBLE) AS n FROM {{wa}} GROUP BY lens) t")
+GATE_KINDS = "CASE id % 5 WHEN 0 THEN 'declined' WHEN 1 THEN 'reference' WHEN 2 THEN 'protected' END"
 p(
     "gate_agreement",
-    f"WITH {SPEAR}, g AS (SELECT {ratio('ws < 4.5 AND id % 5 = 0', 'id % 5 = 0')} AS demotion, {ratio('ws < 4 AND id % 5 = 1', 'id % 5 = 1')} AS over_demotion, {ratio('ws >= 4.5 AND id % 5 = 2', 'id % 5 = 2')} AS protection FROM {{wa}}), s AS (SELECT round(coalesce(corr(ra, rb), 0), 6) AS rho FROM k) "
-    "SELECT demotion, over_demotion, protection, rho, demotion >= 0.1 AND over_demotion <= 0.5 AND protection >= 0.5 AND rho >= 0.5 AS passed FROM g CROSS JOIN s",
+    f"WITH x AS (SELECT *, {GATE_KINDS} AS kind FROM {{wa}}), k AS (SELECT CAST({RANK.format('wo')} AS DOUBLE) AS ra, CAST({RANK.format('ws')} AS DOUBLE) AS rb FROM x WHERE kind = 'reference'), "
+    "s AS (SELECT round(coalesce(corr(ra, rb), 0), 6) AS rho FROM k), "
+    f"g AS (SELECT CAST(count_if(kind = 'declined' AND ws < 5) AS DOUBLE) AS k, CAST(count_if(kind = 'declined') AS DOUBLE) AS n, {ratio('kind = ' + chr(39) + 'reference' + chr(39) + ' AND wo >= 5 AND ws < 5', 'kind = ' + chr(39) + 'reference' + chr(39) + ' AND wo >= 5')} AS shift, "
+    f"{ratio('kind = ' + chr(39) + 'protected' + chr(39) + ' AND ws >= 5', 'kind = ' + chr(39) + 'protected' + chr(39))} AS protection FROM x) "
+    f"SELECT round({WILSON}, 6) AS demotion_low, shift, protection, rho, {WILSON} >= 0.9 AND shift <= 0.05 AND protection >= 0.7 AND rho >= 0.6 AS passed FROM g CROSS JOIN s",
 )
 GRID = "(SELECT CAST(3 + g * 0.025 AS DOUBLE) AS th FROM (SELECT a.x * 10 + b.x AS g FROM (VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9)) a(x) CROSS JOIN (VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9)) b(x)) y)"
 p("met_threshold_curve", f"SELECT round(th, 6) AS th, {ratio('wo >= 5 AND ws < th', 'wo >= 5')} AS fn_rate, {ratio('wo >= 5 AND ws >= th', 'wo >= 5')} AS recall, {share('ws >= th')} AS stage2_rate FROM {{wa}} CROSS JOIN {GRID} g GROUP BY th")
@@ -121,8 +126,8 @@ p("met_hybrid_sweep", f"SELECT th, {share('ws < th')} AS stage1_pct, {ratio('wo
 p("met_hybrid_vs_model", f"SELECT th, {share('ws < th')} AS stage1_pct, {ratio('s0 >= 5 AND ws < th', 's0 >= 5')} AS fn_rate FROM {{wa}} CROSS JOIN {TH} t GROUP BY th")
 p("met_pr_sweep", f"SELECT th, {ratio('wo >= 5 AND ws >= th', 'ws >= th')} AS prec, {ratio('wo >= 5 AND ws >= th', 'wo >= 5')} AS recall FROM {{wa}} CROSS JOIN {TH} t GROUP BY th")
 p("met_bias", "SELECT dim, round(avg(pred - label), 6) AS mean, round(median(pred - label), 6) AS median, round(stddev_pop(pred - label), 6) AS sd FROM {long} GROUP BY dim")
-MOM = "m AS (SELECT dim, avg(pred - label) AS mu FROM {long} GROUP BY dim), c AS (SELECT l.dim, l.pred - l.label - m.mu AS e FROM {long} l JOIN m ON l.dim = m.dim)"
-p("met_moments", f"WITH {MOM} SELECT dim, round(avg(e * e * e) / power(avg(e * e), 1.5), 6) AS skewness, round(avg(e * e * e * e) / power(avg(e * e), 2) - 3, 6) AS kurtosis, round(PCT(e, 0.05), 6) AS p5, round(PCT(e, 0.95), 6) AS p95 FROM c GROUP BY dim")
+MOM = "m AS (SELECT dim, avg(pred - label) AS mu FROM {long} GROUP BY dim), c AS (SELECT l.dim, l.pred - l.label - m.mu AS e, l.pred - l.label AS raw FROM {long} l JOIN m ON l.dim = m.dim)"
+p("met_moments", f"WITH {MOM} SELECT dim, round(avg(e * e * e) / power(avg(e * e), 1.5), 6) AS skewness, round(avg(e * e * e * e) / power(avg(e * e), 2) - 3, 6) AS kurtosis, round(PCT(raw, 0.05), 6) AS p5, round(PCT(raw, 0.95), 6) AS p95 FROM c GROUP BY dim")
 p("met_mannwhitney_u", f"WITH k AS (SELECT lens % 2 AS g, CAST({RANK.format('ws')} AS DOUBLE) AS r FROM {{wa}}) SELECT round(sum(CASE WHEN g = 0 THEN r ELSE 0 END) - count_if(g = 0) * (count_if(g = 0) + 1) / 2.0, 6) AS u FROM k")
 p("met_error_by_range", f"SELECT {BAND.format('label')} AS band, {N} AS n, round(avg(pred - label), 6) AS mean_error, round(avg(abs(pred - label)), 6) AS mae, round(stddev_pop(pred - label), 6) AS sd FROM {{long}} GROUP BY 1")
 p("met_tier_confusion", f"SELECT {tier('wo')} AS truth, {tier('ws')} AS pred, {N} AS n FROM {{wa}} GROUP BY 1, 2")
@@ -137,7 +142,9 @@ p(
 )
 p("met_hard_cases", f"WITH {VOTES}, {ROLL} SELECT id FROM roll WHERE yes < 3 AND n - yes < 3")
 p("met_panel_rollup", f"WITH {VOTES}, {ROLL} SELECT {n_if('yes = n')} AS all_block, {n_if('yes = 0')} AS all_keep, {n_if('yes = 2')} AS adjudicate, {ratio('r.yes >= 3 AND s.o0 > 5', 'r.yes >= 3')} AS block_precision FROM roll r JOIN {{scores}} s ON r.id = s.id")
-p("met_consistency", "SELECT round(avg(d), 6) AS mean_diff, round(max(d), 6) AS max_diff, avg(d) <= 1.0 AS acceptable FROM (SELECT abs(a.ws - b.ws) AS d FROM {wa} a JOIN {wa} b ON a.id + 1 = b.id WHERE a.id % 10 = 0) t")
+#: Rows that were scored twice: the documents whose text is another's, as both ids were scored.
+TWICE = "k AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY md5(text)) AS first FROM {documents})"
+p("met_consistency", f"WITH {TWICE} SELECT round(avg(d), 6) AS mean_diff, round(max(d), 6) AS max_diff, avg(d) <= 1.0 AS acceptable FROM (SELECT abs(a.ws - b.ws) AS d FROM k JOIN {{wa}} a ON a.id = k.doc_id JOIN {{wa}} b ON b.id = k.first WHERE k.doc_id <> k.first) t")
 p("met_classifier", "WITH j AS (SELECT l.quality = 1 AS y, length(d.text) - length(translate(d.text, '#*$%&|', '')) < 20 AS p FROM {labels} l JOIN {documents} d ON l.doc_id = d.doc_id) SELECT " + f"{share('y = p')} AS accuracy, {ratio('y AND p', 'p')} AS prec, {ratio('y AND p', 'y')} AS recall, round(2.0 * count_if(y AND p) / (2 * count_if(y AND p) + count_if(y <> p)), 6) AS f1 FROM j")
 p("met_within_threshold", f"SELECT dim, {share('abs(pred - label) <= 0.5')} AS w05, {share('abs(pred - label) <= 1')} AS w10, {share('abs(pred - label) <= 1.5')} AS w15, {share('abs(pred - label) <= 2')} AS w20 FROM {{long}} GROUP BY dim")
 p("met_filter_scenarios", f"SELECT {n_if('ws < 4.5')} AS rejected, {n_if('ws < 4.5 AND wo >= 5')} AS good_rejected, {n_if('ws >= 4.5 AND wo < 4.5')} AS bad_kept FROM {{wa}}")
@@ -150,7 +157,8 @@ p("dq_structure", f"SELECT {n_if('title IS NULL')} AS no_title, {n_if('content I
 p("dq_split_share", f"WITH {TRAIN} SELECT split, n, round(100.0 * n / sum(n) OVER (), 6) AS pct, CASE WHEN split = 'train' THEN abs(100.0 * n / sum(n) OVER () - 80) <= 5 ELSE abs(100.0 * n / sum(n) OVER () - 10) <= 3 END AS ok FROM (SELECT split, {N} AS n FROM t GROUP BY split) x")
 p("dq_labels", f"SELECT {n_if('label < 0 OR label > 10')} AS out_of_range, {n_if('label IS NULL OR isnan(label)')} AS missing, {n_if('label = 0')} AS zero FROM {{long}}")
 p("dq_content", f"SELECT {n_if(chr(116) + chr(114) + 'im(title) = ' + chr(39) * 2)} AS empty_title, {n_if('trim(content) = ' + chr(39) * 2)} AS empty_content FROM {{articles}}")
-p("dq_dimensions", "SELECT CAST(count(DISTINCT names) AS BIGINT) AS distinct_names, count(DISTINCT names) = 1 AS consistent FROM (SELECT lens % 3 AS split, 's0,s1,s2' AS names FROM {scores}) t")
+p("dq_dimensions", "SELECT CAST(count(DISTINCT names) AS BIGINT) AS distinct_names, count(DISTINCT names) = 1 AND bool_and(names = '0,1,2,3,4,5') AS consistent FROM (SELECT id, string_agg(CAST(dim AS STRING), ',' ORDER BY dim) AS names FROM {long} GROUP BY id) t")
 p("dq_report", f"SELECT 'out_of_range' AS check_name, 'issue' AS severity, {n_if('label < 0 OR label > 10')} AS n FROM {{long}} UNION ALL SELECT 'short_content', 'warning', {n_if('length(content) < 300')} FROM {{articles}} UNION ALL SELECT 'empty_title', 'warning', {n_if('trim(title) = ' + chr(39) * 2)} FROM {{articles}}")
 p("dq_complete_scores", f"SELECT {n_if('s0 IS NOT NULL AND s1 IS NOT NULL AND s2 IS NOT NULL')} AS complete, {N} AS n FROM {{scores}}")
-p("dq_hard_verify", f"WITH k AS (SELECT a.* FROM {{articles}} a LEFT JOIN {{benchmark}} b ON a.id = b.item_id WHERE b.item_id IS NULL AND length(a.content) >= 300) SELECT {n_if('length(content) < 300')} AS short, {n_if('trim(content) = ' + chr(39) * 2)} AS empty, {N} AS n FROM k")
+#: Run on rows that are not filtered yet, so that there is something to find.
+p("dq_hard_verify", f"SELECT {n_if('length(content) < 300')} AS short, {n_if('trim(content) = ' + chr(39) * 2)} AS empty, {n_if('b.item_id IS NOT NULL')} AS probes, {N} AS n FROM {{articles}} a LEFT JOIN (SELECT DISTINCT item_id FROM {{benchmark}}) b ON a.id = b.item_id")
