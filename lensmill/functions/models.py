@@ -75,18 +75,26 @@ def backoff(kind: str, attempt: int) -> float:
     return 2.0**attempt * (2 if kind == "rate_limit" else 1)
 
 
-def ask(df: DataFrame, prompt: str, client: Callable[[], Callable[[str], str]], attempts: int = 3, sleep: Callable[[float], None] | None = None) -> DataFrame:
-    """Adds answer, attempts, error. Failures become rows, never failed tasks."""
-    schema = T.StructType([*df.schema.fields, T.StructField("answer", T.StringType()), T.StructField("attempts", T.LongType()), T.StructField("error", T.StringType())])
+def ask(df: DataFrame, prompt: str, client: Callable[[], Callable[[str], str]], attempts: int = 3, sleep: Callable[[float], None] | None = None, between: float = 0.0) -> DataFrame:
+    """Adds answer, attempts, error, and when the call began (``asked_at``, seconds since 1970) and how long it took (``seconds``).
+
+    Failures become rows, never failed tasks. ``between`` is the time before each call of a task: a rate limit of the
+    service is kept by it and the number of tasks.
+    """
+    new = [("answer", T.StringType()), ("attempts", T.LongType()), ("error", T.StringType()), ("asked_at", T.DoubleType()), ("seconds", T.DoubleType())]
+    schema = T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in new)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import time
 
         call, wait = client(), sleep or time.sleep
         for b in batches:
-            answers, tries, errors = [], [], []
+            answers, tries, errors, begun, took = [], [], [], [], []
             for p in b[prompt]:
                 answer = error = None
+                if between:
+                    wait(between)
+                start, clock = time.time(), time.perf_counter()
                 for n in range(attempts):
                     try:
                         answer, error = call(p), None
@@ -101,6 +109,14 @@ def ask(df: DataFrame, prompt: str, client: Callable[[], Callable[[str], str]],
                 answers.append(answer)
                 tries.append(n + 1)
                 errors.append(error)
-            yield b.assign(answer=answers, attempts=tries, error=errors)
+                begun.append(start)
+                took.append(round(time.perf_counter() - clock, 2))
+            yield b.assign(answer=answers, attempts=tries, error=errors, asked_at=begun, seconds=took)
 
     return df.mapInPandas(run, schema)
+
+
+def call_metrics(asked: DataFrame, key: str) -> DataFrame:
+    """One row a call: id, success, attempts, seconds, and the kind of error of those that failed."""
+    failed = F.col("answer").isNull()
+    return asked.select(key, F.col("asked_at").cast("timestamp").alias("at"), (~failed).alias("success"), "attempts", "seconds", F.when(failed, error_type(F.col("error"))).alias("error_type"))

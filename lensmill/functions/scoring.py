@@ -135,3 +135,19 @@ def score(df: DataFrame, dims: Sequence[str], s: Scoring) -> DataFrame:
         out, hit = gated(wa, clamped[s.gate], s.gate_min, s.gate_cap)
     made = df.withColumns({"weighted_average": out, "gatekeeper_applied": hit})
     return made.withColumn("tier", tier(F.col("weighted_average"), s.tiers))
+
+
+#: The result of a row that a prefilter rejects: every field is there, and says nothing.
+EMPTY_RESULT = "struct<scores:array<double>,weighted_average:double,tier:string,gatekeeper_applied:boolean,passed_prefilter:boolean,prefilter_reason:string,scoring_mode:string>"
+
+
+def empty_result(reason: Column) -> Column:
+    """``EMPTY_RESULT`` for a row rejected for ``reason``; null for a row that is not."""
+    null = lambda t: F.lit(None).cast(t)
+    return F.when(
+        reason.isNotNull(),
+        F.struct(
+            null("array<double>").alias("scores"), null("double").alias("weighted_average"), null("string").alias("tier"), F.lit(False).alias("gatekeeper_applied"),
+            F.lit(False).alias("passed_prefilter"), reason.alias("prefilter_reason"), null("string").alias("scoring_mode"),
+        ).cast(EMPTY_RESULT),
+    )

@@ -48,15 +48,6 @@ def _unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda x: html.unescape(x) if x is not None else None)
 
 
-#: The entities that make up nearly all of real text, decoded without leaving the JVM.
-COMMON_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
-
-
-def decode_common_entities(c: Column) -> Column:
-    """Only the common entities; ``&amp;`` last, so that nothing is decoded twice."""
-    return reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), COMMON_ENTITIES.items(), c)
-
-
 def decode_entities(df: DataFrame, column: str, into: str) -> DataFrame:
     """All HTML5 entities. Rows without ``&`` skip Python: the two kinds are split before the UDF and united again."""
     has = F.contains(F.col(column), F.lit("&"))
@@ -65,8 +56,8 @@ def decode_entities(df: DataFrame, column: str, into: str) -> DataFrame:
 
 
 def drop_invalid(c: Column) -> Column:
-    """Bytes that are no UTF-8 go."""
-    return F.translate(F.make_valid_utf8(c), "\ufffd", "")
+    """Bytes that are no UTF-8 go; the replacement character, where a valid text has it, stays."""
+    return F.when(F.is_valid_utf8(c), c).otherwise(F.translate(F.make_valid_utf8(c), "\ufffd", ""))
 
 
 def sanitize_no_entities(c: Column) -> Column:
@@ -80,10 +71,31 @@ def sanitize(df: DataFrame, column: str, into: str) -> DataFrame:
     return made.withColumn(into, sanitize_no_entities(F.col(into)))
 
 
+def clean_nested(df: DataFrame, column: str) -> DataFrame:
+    """The full cleaner on every string of a nested column, all HTML5 entities included.
+
+    Rows without ``&`` skip Python: the two kinds are split before the function and united again.
+    """
+    kind = df.schema[column].dataType
+
+    def walk(v):
+        if isinstance(v, str):
+            return html.unescape(v)
+        if isinstance(v, list):
+            return [walk(x) for x in v]
+        if isinstance(v, dict):
+            return {k: walk(x) for k, x in v.items()}
+        return tuple(walk(x) for x in v) if isinstance(v, tuple) else v
+
+    has = F.coalesce(F.contains(F.to_json(F.struct(column)), F.lit("&")), F.lit(False))
+    decoded = df.filter(~has).unionByName(df.filter(has).withColumn(column, F.udf(walk, kind)(column)))
+    return decoded.withColumn(column, clean_struct(F.col(column), kind))
+
+
 def clean_struct(c: Column, kind: T.DataType) -> Column:
-    """Apply the cleaner to every string of a nested column; the type is walked on the driver."""
+    """Apply the cleaner to every string of a nested column whose entities are decoded; the type is walked on the driver."""
     if isinstance(kind, T.StringType):
-        return sanitize_no_entities(decode_common_entities(c))
+        return sanitize_no_entities(drop_invalid(c))
     if isinstance(kind, T.ArrayType):
         return F.transform(c, lambda x: clean_struct(x, kind.elementType))
     if isinstance(kind, T.MapType):

@@ -56,15 +56,26 @@ def pooled(chunks: Column, strategy: str) -> Column:
     falling = F.transform(F.aggregate(F.transform(chunks, lambda c, i: F.struct(c.alias("c"), (n - i).alias("w"))), zero, lambda a, p: F.zip_with(a, p["c"], lambda s, x: s + x.cast("double") * p["w"])), lambda x: x / weights)
     by_norm = F.slice(F.transform(F.reverse(F.sort_array(F.transform(chunks, lambda c, i: F.struct(norm(c).alias("k"), (-i).alias("i"), c.alias("c"))))), lambda s: s["c"]), 1, 2)
     cast = lambda a: F.transform(a, lambda x: x.cast("double"))
+
+    def percentile(p: float) -> Column:
+        """Of each dimension over the chunks, linear between neighbours."""
+        at = (n - 1) * F.lit(p)
+        lo = F.floor(at).cast("int")
+
+        def one(s: Column) -> Column:
+            return F.get(s, lo) + (F.get(s, F.least(lo + 1, n - 1)) - F.get(s, lo)) * (at - lo)
+
+        return F.transform(first, lambda _, i: F.get(F.transform(F.array(F.array_sort(F.transform(chunks, lambda c: F.get(c, i).cast("double")))), one), F.lit(0)))
+
     forms = {
         "mean": mean, "max": top, "min": low, "mean_max": F.concat(mean, top), "min_max": F.concat(low, top), "first_last": F.concat(cast(first), cast(last)),
         "first_middle_last": F.concat(cast(first), cast(middle), cast(last)), "weighted_position": falling, "mean_std": F.concat(mean, std),
-        "top2_norm": F.concat(cast(F.get(by_norm, F.lit(0))), cast(F.coalesce(F.get(by_norm, F.lit(1)), F.get(by_norm, F.lit(0))))), "all_concat": F.concat(mean, top, low, std),
+        "top2_norm": F.concat(cast(F.get(by_norm, F.lit(0))), cast(F.coalesce(F.get(by_norm, F.lit(1)), F.get(by_norm, F.lit(0))))), "all_concat": F.concat(mean, top, low, std), "percentile_25_75": F.concat(percentile(0.25), percentile(0.75)),
     }
     return forms[strategy]
 
 
-STRATEGIES = ("mean", "max", "min", "mean_max", "min_max", "first_last", "first_middle_last", "weighted_position", "mean_std", "top2_norm", "all_concat")
+STRATEGIES = ("mean", "max", "min", "mean_max", "min_max", "first_last", "first_middle_last", "weighted_position", "mean_std", "top2_norm", "all_concat", "percentile_25_75")
 
 
 def chunk_score(chunk: Column, mean: Column, position: Column, method: str) -> Column:

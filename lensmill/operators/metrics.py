@@ -101,29 +101,34 @@ def within(df: DataFrame, pred: str, label: str, bounds: Mapping[str, float], by
 
 # -- correlation and rank
 
+def corr(a: str | Column, b: str | Column) -> Column:
+    """Pearson's r as an aggregate; null without variance, where the built-in one may fail."""
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def pearson(df: DataFrame, a: str, b: str, by: By = (), least: int = 2) -> DataFrame:
     """r; null with fewer than ``least`` rows or without variance."""
-    r = F.when(F.count("*") >= least, F.corr(a, b))
-    return _agg(_both(df, a, b), by, F.when(~F.isnan(r), r).alias("r"))
+    r = F.when(F.count("*") >= least, corr(a, b))
+    return _agg(_both(df, a, b), by, r.alias("r"))
 
 
 def spearman(df: DataFrame, a: str, b: str, name: str = "rho", buckets: int | None = None) -> DataFrame:
     """Correlation of the ranks, ties sharing theirs; 0 with fewer than two rows or without variance."""
     rows = _both(df, a, b).select(F.col(a).alias("a"), F.col(b).alias("b"))
     ranked = ranking.avg_rank(ranking.avg_rank(rows, "a", "ra", buckets), "b", "rb", buckets)
-    return ranked.agg(F.coalesce(F.nullif(F.corr("ra", "rb"), F.lit(float("nan"))), F.lit(0.0)).alias(name))
+    return ranked.agg(F.coalesce(corr("ra", "rb"), F.lit(0.0)).alias(name))
 
 
 def correlations(df: DataFrame, columns: Mapping[int, Column], redundant: float | None = None) -> DataFrame:
     """r of every two columns, (a, b, r) and whether it is beyond ``redundant``: one pass over the table."""
     pairs = [(i, j) for i in columns for j in columns if i < j]
-    one = F.array(*(F.struct(F.lit(i).alias("a"), F.lit(j).alias("b"), F.corr(columns[i], columns[j]).alias("r")) for i, j in pairs))
+    one = F.array(*(F.struct(F.lit(i).alias("a"), F.lit(j).alias("b"), corr(columns[i], columns[j]).alias("r")) for i, j in pairs))
     out = df.agg(one.alias("p")).select(F.explode("p").alias("p")).select("p.*")
     return out if redundant is None else out.withColumn("redundant", F.abs("r") > redundant)
 
 
 def slope(df: DataFrame, x: str, y: str, by: By = ()) -> DataFrame:
-    return _agg(_both(df, x, y), by, F.corr(x, y).alias("r"), F.try_divide(F.covar_pop(x, y), F.var_pop(x)).alias("slope"))
+    return _agg(_both(df, x, y), by, corr(x, y).alias("r"), F.try_divide(F.covar_pop(x, y), F.var_pop(x)).alias("slope"))
 
 
 def mann_whitney(df: DataFrame, value: str, first: Column, buckets: int | None = None) -> DataFrame:

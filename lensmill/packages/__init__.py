@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from lensmill.functions.rules import Any, Category, Count, Groups, Keyword, Package, Raw, Rule
 
 DOMAINS = (("shop.", "commerce"), ("src13.example", "blocklist"), ("casino", "gambling"))
@@ -60,6 +62,8 @@ CULTURAL = Package(
 )
 CULTURAL_TYPE = (Rule(Count(DISCOVERY, 2), "discovery"), *(Rule(Any(c.patterns) & ~Any(c.exceptions), c.name) for c in CULTURAL.categories), Rule(Raw("true"), "general"))
 CULTURAL_OLD = Package("cultural_discovery", 3, domains=DOMAINS, categories=CULTURAL.categories[:3])
+#: Version 2's prefilter is version 1's.
+CULTURAL_EARLY = tuple(replace(CULTURAL_OLD, version=v) for v in (1, 2))
 
 FORESIGHT_POSITIVE = ((r"\blong-?term\b", r"\bgenerations?\b"), (r"\bscenario", r"\bforesight\b"), (r"\bprecaution", r"\bprevention\b"), (r"\binfrastructure\b", r"\binvested\b"))
 FORESIGHT = Package(
@@ -92,6 +96,8 @@ INVESTMENT_LEGACY = Package(
         Rule(Any(PICKS) & ~Any(MACRO), "stock_picking"), Rule(Any(FOMO), "fomo"),
     ),
 )
+#: Versions 2 and 3 have the flow of version 4, its academic block included.
+INVESTMENT_EARLY = tuple(replace(INVESTMENT_LEGACY, version=v) for v in (2, 3))
 
 NATURE = (r"\bforests?\b", r"\bwetlands?\b", r"\bspecies\b", r"\breefs?\b", r"\brivers?\b")
 RECOVERY = (r"\brecover", r"\brestor", r"\brebound", r"\breturned\b")

@@ -42,17 +42,17 @@ def tags_sql(c: str) -> str:
 simple("text_whitespace", lambda: X.normalize_whitespace(F.replace("content", F.lit(". "), F.lit(" \t \n\n\n\n  "))), ws_sql("replace(content, '. ', ' ' || chr(9) || ' ' || repeat(chr(10), 4) || '  ')"))
 query("text_html_tags", f"SELECT page_id, {tags_sql('html')} AS out FROM pages")(lambda spark, d: table(spark, d, "pages").select("page_id", X.strip_tags(C("html")).alias("out")))
 query("text_html_entities")(lambda spark, d: X.decode_entities(table(spark, d, "pages").select("page_id", "html"), "html", "out").select("page_id", "out"))
-query("text_unicode")(lambda spark, d: articles(spark, d).select("id", X.drop_invalid(C("content")).alias("out")))
+query("text_unicode", q("SELECT id, content AS out FROM articles", ARTICLES))(lambda spark, d: articles(spark, d).select("id", X.drop_invalid(C("content")).alias("out")))
 MARKED = "replace(content, ' ', ' <b> ')"
-query("text_sanitize", q(f"SELECT id, {ws_sql(tags_sql(MARKED))} AS out FROM articles WHERE content NOT LIKE '%&%'", ARTICLES))(
-    lambda spark, d: X.sanitize(articles(spark, d).filter(~F.contains("content", F.lit("&"))).select("id", F.replace("content", F.lit(" "), F.lit(" <b> ")).alias("c")), "c", "out").select("id", "out")
+query("text_sanitize", q(f"SELECT id, {ws_sql(tags_sql(MARKED))} AS out FROM articles", ARTICLES))(
+    lambda spark, d: X.sanitize(articles(spark, d).select("id", F.replace("content", F.lit(" "), F.lit(" <b> ")).alias("c")), "c", "out").select("id", "out")
 )
 
 
 @query("text_clean_struct")
 def text_clean_struct(spark, d):
     a = table(spark, d, "pages").select("page_id", F.struct(C("html").alias("body"), F.array("url", "html").alias("parts"), F.create_map(F.lit("h"), C("html")).alias("m"), C("page_id").alias("n")).alias("article"))
-    return a.select("page_id", X.clean_struct(C("article"), a.schema["article"].dataType).alias("article")).select("page_id", "article.body", F.element_at("article.parts", 1).alias("url"), C("article.n").alias("n"))
+    return X.clean_nested(a, "article").select("page_id", "article.body", F.element_at("article.parts", 1).alias("url"), C("article.n").alias("n"))
 
 
 @query("text_clean_labeling")
@@ -136,7 +136,7 @@ query("json_extract", q(f"SELECT id, {EXTRACT} AS out FROM ans", ARTICLES, ANSWE
 query("json_repair")(lambda spark, d: articles(spark, d).select("id", X.repair_json(F.concat(F.lit('{"a": "c:\\d", /* x */ "n": ['), C("id").cast("string"), F.lit(",],} // end"))).alias("out")))
 
 
-@query("json_parse_or_repair")
+@query("json_parse_or_repair", q("SELECT id, id AS n, id % 2 = 0 AS json_repaired FROM articles", ARTICLES))
 def json_parse_or_repair(spark, d):
     a = articles(spark, d).select("id", F.concat(F.lit('{"n": '), C("id").cast("string"), F.when(C("id") % 2 == 0, F.lit(",}")).otherwise(F.lit("}"))).alias("a"))
     return X.parse_or_repair(a, "a").select("id", F.try_variant_get("parsed", "$.n", "bigint").alias("n"), "json_repaired")
@@ -203,7 +203,7 @@ query("project_provenance", q("SELECT id, 'uplift' AS filter_name, '7' AS versio
 )
 
 
-@query("json_verdict")
+@query("json_verdict", q("SELECT id, CASE id % 3 WHEN 0 THEN 'block' WHEN 1 THEN 'keep' ELSE 'parse_error' END AS verdict, CASE WHEN id % 3 = 0 THEN 'x' END AS reason FROM articles", ARTICLES))
 def json_verdict(spark, d):
     raw = F.when(C("id") % 3 == 0, '{"verdict": " BLOCK ", "reason": "x"}').when(C("id") % 3 == 1, 'ok {"verdict": "keep"}').otherwise("nothing")
     v = F.try_parse_json(F.regexp_extract(raw, r"(?s)\{.*\}", 0))
@@ -211,7 +211,7 @@ def json_verdict(spark, d):
     return articles(spark, d).select("id", F.when(said.isin("block", "keep", "unsure"), said).otherwise("parse_error").alias("verdict"), F.substring(F.try_variant_get(v, "$.reason", "string"), 1, 200).alias("reason"))
 
 
-@query("json_commerce_response")
+@query("json_commerce_response", q("SELECT id, CASE WHEN id % 2 = 0 THEN CAST(id % 10 AS DOUBLE) / 10 ELSE -1 END AS score, CASE WHEN id % 2 = 1 THEN 'failed' END AS error FROM articles", ARTICLES))
 def json_commerce_response(spark, d):
     raw = F.when(C("id") % 2 == 0, F.concat(F.lit("```json\n{\"score\": 0."), (C("id") % 10).cast("string"), F.lit("}\n```"))).otherwise("failed")
     v = F.try_parse_json(X.extract_json(raw))

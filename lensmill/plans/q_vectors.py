@@ -47,11 +47,13 @@ def _chunks(spark, d):
     return c.groupBy("doc").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "embedding"))), lambda x: x["embedding"]).alias("chunks"))
 
 
-query("scan_chunk_embeddings")(lambda spark, d: _e(spark, d).select(F.floor(C("id") / 4).alias("doc"), (C("id") % 4).alias("pos"), F.size("embedding").alias("dims")))
+query("scan_chunk_embeddings", "SELECT vec_id // 4 AS doc, vec_id % 4 AS pos, CAST(len(embedding) AS INTEGER) AS dims FROM embeddings")(lambda spark, d: _e(spark, d).select(F.floor(C("id") / 4).alias("doc"), (C("id") % 4).alias("pos"), F.size("embedding").alias("dims")))
 LONGCH = "lc AS (SELECT doc, pos, i, CAST(embedding[i] AS DOUBLE) AS x, count(*) OVER (PARTITION BY doc, i) AS n FROM ch, (SELECT unnest(range(1, 65)) AS i))"
 AGGS = {
     "mean": ["avg(x)"], "max": ["max(x)"], "min": ["min(x)"], "mean_max": ["avg(x)", "max(x)"], "min_max": ["min(x)", "max(x)"], "first_last": ["min_by(x, pos)", "max_by(x, pos)"],
     "weighted_position": ["sum(x * (n - pos)) / (any_value(n) * (any_value(n) + 1) / 2.0)"], "mean_std": ["avg(x)", "sqrt(greatest(avg(x * x) - avg(x) * avg(x), 0))"],
+    "first_middle_last": ["min_by(x, pos)", "max(CASE WHEN pos = n // 2 THEN x END)", "max_by(x, pos)"], "percentile_25_75": ["quantile_cont(x, 0.25)", "quantile_cont(x, 0.75)"],
+    "all_concat": ["avg(x)", "max(x)", "min(x)", "sqrt(greatest(avg(x * x) - avg(x) * avg(x), 0))"],
 }
 for _name in L.STRATEGIES:
     _sql = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,10 @@ def usable_jsonl(spark: SparkSession, path: str, schema: T.StructType = ARTICLE)
 
 def counters(rows: DataFrame) -> DataFrame:
     """Lines read, malformed, and usable."""
-    return rows.cache().agg(F.count("*").alias("read"), F.count_if(F.col("_corrupt_record").isNotNull()).alias("malformed"), F.count_if(F.col("_corrupt_record").isNull()).alias("usable"))
+    # the reader refuses to read the corrupt column alone, so one more column is asked something that always holds
+    other = F.col(next(c for c in rows.columns if c != "_corrupt_record")).cast("string")
+    bad = F.col("_corrupt_record").isNotNull() & (other.isNull() | (F.length(other) >= 0))
+    return rows.agg(F.count("*").alias("read"), F.count_if(bad).alias("malformed"), F.count_if(~bad).alias("usable"))
 
 
 def next_batch(rows: DataFrame, processed: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
@@ -64,6 +67,33 @@ def splits(spark: SparkSession, paths: dict[str, str], schema: T.StructType = AR
     return out
 
 
+def cache_key(url: Column) -> Column:
+    """The key that scraped texts are kept under."""
+    return F.substring(F.sha2(url, 256), 1, 16)
+
+
+def from_cache(rows: DataFrame, cache: DataFrame, url: str, least: int = 0) -> DataFrame:
+    """``rows`` whose url is in ``cache`` (key, text) with a text of at least ``least`` characters, plus ``key`` and ``cached``."""
+    found = cache.filter(F.length("text") >= least).select("key", F.col("text").alias("cached"))
+    return rows.withColumn("key", cache_key(F.col(url))).join(found, "key")
+
+
+def cohorts(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """Rows of several JSONL files in order; of an id (``id``, else ``article_id``) the first row stays.
+
+    Rows without content go first, so that they claim no id. ``cohort`` is the file's place.
+    """
+    from lensmill.operators.relate import first_by
+
+    both = T.StructType([*(schema or ARTICLE).fields, T.StructField("article_id", T.StringType())])
+    out = None
+    for k, path in enumerate(paths):
+        part = spark.read.schema(both).json(path).withColumn("cohort", F.lit(k))
+        out = part if out is None else out.unionByName(part)
+    known = out.withColumn("id", F.coalesce("id", "article_id")).drop("article_id").filter((F.trim(F.coalesce("content", F.lit(""))) != "") & F.col("id").isNotNull())
+    return first_by(known, ["id"], ["cohort"])
+
+
 def id_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("id")).filter("id <> ''").distinct()
 
