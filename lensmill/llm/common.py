@@ -9,9 +9,11 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lensmill.operators.ranking import fresh, numbered  # noqa: F401
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: A word is a run of anything but ASCII white space.
@@ -68,25 +70,6 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fresh(columns: Iterable[str], name: str) -> str:
-    """``name``, with as many lines appended as it takes not to be one of ``columns`` (in any case of letters)."""
-    used = {c.lower() for c in columns}
-    while name.lower() in used:
-        name += "_"
-    return name
-
-
-def numbered(rows: DataFrame, group: list[str], bucket: str, order: list[str], name: str) -> DataFrame:
-    """``rows`` with their number (from 0) within ``group``, in order of (bucket, order).
-
-    Rows are counted by bucket, running totals over the few buckets of a group give each bucket's start, and rows are
-    numbered within their bucket only. ``rows`` must be stable when read twice.
-    """
-    start, at = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*group, bucket).orderBy(*order)
-    starts = rows.groupBy(*group, bucket).agg(F.count("*").alias("n_")).withColumn("start_", F.coalesce(F.sum("n_").over(start), F.lit(0))).drop("n_")
-    return rows.join(starts, [*group, bucket]).withColumn(name, F.col("start_") + F.row_number().over(at) - 1).drop("start_")
-
-
 #: Rows of an Arrow batch. The default suits short rows; texts, pages and packed blobs are long, and both the JVM and the
 #: Python worker hold a batch.
 BATCH_ROWS = 512
