@@ -39,6 +39,71 @@ def sql_pattern(p: str) -> str:
     return re.sub(r"(?<!_)[^\x00-\x7F](?!_)", lambda m: own(m[0]), out)
 
 
+def required(p: str) -> tuple[str, ...] | None:
+    """Literals of which every match of a pattern holds one: the longest run of the pattern, or else the alternatives of
+    a group of words; None if neither is plain to see."""
+    import re
+
+    runs, run, i, depth, groups = [], "", 0, 0, []
+    while i < len(p):
+        c, step = p[i], 1
+        literal = None
+        if c == "\\":
+            step = 2
+            literal = p[i + 1] if i + 1 < len(p) and not p[i + 1].isalnum() else None
+            if p[i : i + 2] == r"\b":  # a boundary has no width
+                i += 2
+                continue
+        elif c == "(":
+            depth, step = 1, 1
+            while i + step < len(p) and depth:
+                if p[i + step] == "\\":
+                    step += 1
+                else:
+                    depth += {"(": 1, ")": -1}.get(p[i + step], 0)
+                step += 1
+            group = re.fullmatch(r"\((?:\?:)?([a-z '-]{3,}(?:\|[a-z '-]{3,})*)\)", p[i : i + step])
+            if group and p[i + step : i + step + 1] not in ("?", "*", "{"):
+                groups.append(tuple(group[1].split("|")))
+        elif c == "[":
+            step = p.find("]", i + 2) - i + 1
+            if step <= 0:
+                return None
+        elif c == "|":
+            return None
+        elif c in "?*{":
+            runs.append(run[:-1])
+            run, i = "", (p.find("}", i) if c == "{" else i) + 1
+            continue
+        elif c not in ".^$+":
+            literal = c
+        if literal is None:
+            runs.append(run)
+            run = ""
+        else:
+            run += literal
+        i += step
+    best = max([*runs, run], key=len)
+    if p.startswith("(?") and not p.startswith("(?:"):
+        return None
+    return (best,) if len(best) > 2 else max(groups, key=lambda g: min(map(len, g)), default=None)
+
+
+def may_match(on: str, patterns: tuple[str, ...]) -> Column | None:
+    """Whether a text holds a literal that some pattern needs: far cheaper than the patterns. None if a pattern has none."""
+    found = [required(p) for p in patterns]
+    if on not in LOWER or any(f is None for f in found):
+        return None
+    words = [w for f in found for w in f]
+    if any(w != w.lower() for w in words):
+        return None
+    return reduce(lambda a, b: a | b, (F.contains(F.col(on), F.lit(w)) for w in dict.fromkeys(words)))
+
+
+#: Columns that hold lower-case text by agreement.
+LOWER = ("t", "title_lower")
+
+
 class Cond:
     def col(self) -> Column:
         raise NotImplementedError
@@ -87,7 +152,9 @@ class Any(Cond):
     on: str = "t"
 
     def col(self) -> Column:
-        return F.col(self.on).rlike(spark_pattern("|".join(f"(?:{p})" for p in self.patterns)))
+        hit = F.col(self.on).rlike(spark_pattern("|".join(f"(?:{p})" for p in self.patterns)))
+        some = may_match(self.on, self.patterns)
+        return hit if some is None else some & hit
 
     def sql(self) -> str:
         return f"regexp_matches({sql_text(self.on)}, {_q('|'.join(f'(?:{sql_pattern(p)})' for p in self.patterns))})"
@@ -103,7 +170,11 @@ class Count(Cond):
     on: str = "t"
 
     def number(self) -> Column:
-        return reduce(lambda a, b: a + b, (F.regexp_count(F.col(self.on), F.lit(spark_pattern(p))) for p in self.patterns))
+        def one(p: str) -> Column:
+            n, some = F.regexp_count(F.col(self.on), F.lit(spark_pattern(p))), may_match(self.on, (p,))
+            return n if some is None else F.when(some, n).when(F.col(self.on).isNotNull(), 0)
+
+        return reduce(lambda a, b: a + b, map(one, self.patterns))
 
     def number_sql(self) -> str:
         return "(" + " + ".join(f"len(regexp_extract_all({sql_text(self.on)}, {_q(sql_pattern(p))}))" for p in self.patterns) + ")"
@@ -132,10 +203,6 @@ class Groups(Cond):
         return "(" + " + ".join(f"CAST({Any(g, self.on).sql()} AS INTEGER)" for g in self.groups) + f") >= {self.least}"
 
 
-#: Columns that hold lower-case text by agreement.
-LOWER = ("t", "title_lower")
-
-
 @dataclass(frozen=True)
 class Keyword(Cond):
     """Some substring occurs in ``on``, which is lower-cased unless ``case`` or lower-cased already (``LOWER``)."""

@@ -78,3 +78,21 @@ def test_max_cosine_in_blocks(spark):
         assert got.keys() == set(range(60)) and all(abs(got[i] - want[i]) < 1e-9 for i in range(60))
     assert {x.sim for x in max_cosine(df, df.filter("false"), "id", "v").collect()} == {None}
     assert max_cosine(df.filter("id = 1"), df.filter("id = 1"), "id", "v").collect()[0].sim is None
+
+
+def test_required_literals_are_in_every_match():
+    want = {
+        r"\bquarterly earnings\b": "quarterly earnings", r"\bforests?\b": "forest", r"\blaunch(?:es|ed)\b": "launch", r"a|b": None, r"\d+ percent\b": " percent", r"(?i)abc": None, r"\bunder \$\d+": "under $",
+        r"\bto{2,3}day\b": "day", r"[^.]{0,40}forbidden": "forbidden", r"\bgo+al\b": "go", r"\bai\b": None, r"x(y|z)+word": "word", r"\beco-?friendly\b": "friendly", r"(?:one|three) (?:abcd|efgh)": ("abcd", "efgh"), r"\b(abc|def)?x": None, r"(ab|cde)": None,
+    }
+    for p, literal in want.items():
+        got = R.required(p)
+        want_ = (literal,) if isinstance(literal, str) else literal
+        assert got == (want_ if want_ and all(len(x) > 2 for x in want_) else None), (p, got)
+    for group in vars(P).values():
+        if isinstance(group, tuple) and group and all(isinstance(x, str) for x in group):
+            for p in group:
+                word = R.required(p)
+                for t in (*TEXTS, *P.TOPICS, *P.JUNK_PAGES):
+                    for m in re.finditer(p, t.lower()) if word and "\\p" not in p else ():
+                        assert any(w in m[0] for w in word), (p, word, m[0])
