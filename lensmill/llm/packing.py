@@ -22,7 +22,7 @@ from lensmill.llm.common import bounded_batches, tidy
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FLUSH = 300_000
+FLUSH = 200_000
 #: Text that a bucket stands for, and the most buckets or ranges of them that a task deals to.
 BUCKET_BYTES, FAN = 16 << 20, 4096
 #: Size of a membership bitmap (``bitmap``): fixed, whatever the input.
