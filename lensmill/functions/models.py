@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -36,6 +37,20 @@ def stub_model(dims: int = 6) -> Callable[[], Callable[[list[str]], list[list[fl
     return load
 
 
+def zero_shot(scores: Column, labels: Sequence[str], confidence: float = 0.35) -> Column:
+    """(passed, reason) by a model's ``scores`` of the lower-cased text for each of ``labels``, the wanted one first.
+
+    Passes where the wanted label has the highest score (the first of equal ones) and that is at least ``confidence``;
+    else the reason names the first word of the highest label. Without scores nothing passes, and the reason is
+    ``no_scores``. A column that a ``score_udf`` makes is best added first, so that the model runs once a row.
+    """
+    top = F.array_max(scores)
+    best = F.array_position(scores, top).cast("int")
+    passed = F.coalesce((best == 1) & (top >= confidence), F.lit(False))
+    words = F.array(*(F.lit("blocked_category:" + re.split("[, ]", label, maxsplit=1)[0]) for label in labels))
+    return F.struct(passed.alias("passed"), F.when(passed, "passed_semantic").otherwise(F.coalesce(F.get(words, best - 1), F.lit("no_scores"))).alias("reason"))
+
+
 def two_stage(df: DataFrame, screen: str, threshold: float, stage2: Callable[[DataFrame], DataFrame], empty: Column) -> DataFrame:
     """Send only rows that pass the screen through the costly stage.
 

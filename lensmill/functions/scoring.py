@@ -138,7 +138,7 @@ def score(df: DataFrame, dims: Sequence[str], s: Scoring) -> DataFrame:
 
 
 #: The result of a row that a prefilter rejects: every field is there, and says nothing.
-EMPTY_RESULT = "struct<scores:array<double>,weighted_average:double,tier:string,gatekeeper_applied:boolean,passed_prefilter:boolean,prefilter_reason:string,scoring_mode:string>"
+EMPTY_RESULT = "struct<scores:array<double>,weighted_average:double,tier:string,tier_description:string,gatekeeper_applied:boolean,passed_prefilter:boolean,prefilter_reason:string>"
 
 
 def empty_result(reason: Column) -> Column:
@@ -147,7 +147,7 @@ def empty_result(reason: Column) -> Column:
     return F.when(
         reason.isNotNull(),
         F.struct(
-            null("array<double>").alias("scores"), null("double").alias("weighted_average"), null("string").alias("tier"), F.lit(False).alias("gatekeeper_applied"),
-            F.lit(False).alias("passed_prefilter"), reason.alias("prefilter_reason"), null("string").alias("scoring_mode"),
+            null("array<double>").alias("scores"), null("double").alias("weighted_average"), null("string").alias("tier"), null("string").alias("tier_description"),
+            F.lit(False).alias("gatekeeper_applied"), F.lit(False).alias("passed_prefilter"), reason.alias("prefilter_reason"),
         ).cast(EMPTY_RESULT),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lensmill import packages as P
 from lensmill.functions import rules as R
+from lensmill.functions import scoring as S
 from lensmill.plans.registry import query
 from lensmill.plans.views import ARTICLES, SCORES, WA, articles, big, q, r6, with_wa
 
@@ -165,9 +166,11 @@ package("pkg_belonging", P.BELONGING)
 package("pkg_cultural", P.CULTURAL)
 classes("pkg_cultural_type", P.CULTURAL_TYPE)
 package("pkg_cultural_old", P.CULTURAL_OLD)
+package("pkg_cultural_early", P.CULTURAL_EARLY[-1])
 package("pkg_foresight", P.FORESIGHT)
 package("pkg_investment", P.INVESTMENT)
 package("pkg_investment_legacy", P.INVESTMENT_LEGACY)
+package("pkg_investment_early", P.INVESTMENT_EARLY[-1])
 package("pkg_nature_gate", P.NATURE_GATE)
 package("pkg_passthrough", P.PASSTHROUGH)
 package("pkg_sustech", P.SUSTECH, oracle=False)  # a lookahead, which RE2 has not
@@ -178,3 +181,16 @@ package("pkg_greenwash", P.GREENWASH)
 package("pkg_econ_viability", P.ECON_VIABILITY, oracle=False)  # a lookahead
 package("pkg_policy", P.POLICY)
 package("pkg_ai_practice", P.AI_PRACTICE)
+
+REASON = R.package_sql(P.UPLIFTING).replace("regexp_like(", "regexp_matches(")
+
+
+@query(
+    "score_empty_result",
+    q(f"SELECT id, r AS prefilter_reason, false AS passed_prefilter, false AS gatekeeper_applied, true AS unscored FROM (SELECT id, {REASON} AS r FROM tx) WHERE r IS NOT NULL", ARTICLES, TOPICAL, TEXT),
+)
+def score_empty_result(spark, d):
+    """The default results of the rejected rows, and whether all that only a scorer gives is null."""
+    found = R.apply_package(topical(spark, d), P.UPLIFTING).select("id", S.empty_result(C("prefilter_reason")).alias("r")).filter("r IS NOT NULL")
+    unscored = C("r.scores").isNull() & C("r.weighted_average").isNull() & C("r.tier").isNull() & C("r.tier_description").isNull()
+    return found.select("id", "r.prefilter_reason", "r.passed_prefilter", "r.gatekeeper_applied", unscored.alias("unscored"))

@@ -114,6 +114,16 @@ query("udf_score")(lambda spark, d: articles(spark, d).select("id", M.score_udf(
 query("udf_commerce")(lambda spark, d: articles(spark, d).select("id", (M.score_udf(M.stub_model(1))("content")[0] / 10 >= 0.95).alias("commerce")))
 
 
+ZERO_SHOT = ("renewable energy, climate", "sports results", "politics, elections")
+
+
+@query("prefilter_zero_shot")
+def prefilter_zero_shot(spark, d):
+    text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("content", F.lit("")))
+    scored = articles(spark, d).select("id", M.score_udf(M.stub_model(len(ZERO_SHOT)))(F.lower(text)).alias("s"))
+    return scored.select("id", M.zero_shot(F.transform("s", lambda x: x / 10), ZERO_SHOT).alias("r")).select("id", "r.*")
+
+
 @query("udf_screen")
 def udf_screen(spark, d):
     s = _e(spark, d).select("id", "embedding", r6(L.mlp(_layers())("embedding")[0]).alias("screen"))

@@ -8,6 +8,7 @@ import numpy as np
 
 from lensmill import packages as P
 from lensmill.functions import rules as R
+from lensmill.plans.q_vectors import ZERO_SHOT
 
 SPACES = re.compile(r" {2,}")
 
@@ -224,8 +225,19 @@ def newest(got, t):
     assert len(got) == 2 and set(got.n) <= {n // 3, n // 3 + 1}
 
 
+def zero_shot(got, t):
+    labels, d = ZERO_SHOT, t("documents")
+    want = {}
+    for i, x in zip(d.doc_id, d.text, strict=True):
+        s = [v / 10 for v in stub(f"{(x or '').split('.')[0]} {x or ''}".lower(), len(labels))]
+        top = s.index(max(s))
+        want[i] = "passed_semantic" if top == 0 and s[0] >= 0.35 else "blocked_category:" + labels[top].split(",")[0].split(" ")[0]
+    assert by_id(got, "reason") == want and by_id(got, "passed") == {i: r == "passed_semantic" for i, r in want.items()}
+    assert len(set(want.values())) >= 3
+
+
 CHECKS = {
     "text_html_entities": html_entities, "text_clean_struct": clean_struct, "text_clean_labeling": clean_labeling, "json_repair": json_repair, "pred_death_adjacent": death,
     "pkg_sustech": package(P.SUSTECH), "pkg_econ_viability": package(P.ECON_VIABILITY), "calib_fit": calib_fit, "vec_pooling_top2_norm": top2_norm, "vec_mlp_forward": mlp, "topk_probe": topk_probe,
-    "vec_pca": pca, "ml_probe_train": probe, "udf_score": udf_score, "udf_commerce": udf_commerce, "udf_screen": udf_screen, "udf_oracle_stub": oracle_stub, "scan_newest_files": newest,
+    "vec_pca": pca, "ml_probe_train": probe, "udf_score": udf_score, "udf_commerce": udf_commerce, "prefilter_zero_shot": zero_shot, "udf_screen": udf_screen, "udf_oracle_stub": oracle_stub, "scan_newest_files": newest,
 }

@@ -207,6 +207,14 @@ def test_packages_from_files(spark, tmp_path):
     got = R.apply_package(df, p).withColumn("e", scoring.empty_result(F.col("prefilter_reason"))).collect()
     assert [r.prefilter_reason for r in got] == ["excluded_décès", None, None, "content_too_short", "excluded_domain_spam", "missing_title"] and R.statistics(p)["patterns"] == 1
     assert [r.e and (r.e.passed_prefilter, r.e.prefilter_reason) for r in got][:2] == [(False, "excluded_décès"), None]
+    assert sorted(got[0].e.asDict()) == ["gatekeeper_applied", "passed_prefilter", "prefilter_reason", "scores", "tier", "tier_description", "weighted_average"]
+
+
+def test_zero_shot(spark):
+    rows = [([0.4, 0.3],), ([0.34, 0.3],), ([0.3, 0.9],), ([0.5, 0.5],), ([],), (None,)]
+    df = spark.createDataFrame(rows, "s array<double>")
+    got = df.select(models.zero_shot(F.col("s"), ("climate, energy", "sports results")).alias("r")).select("r.*").collect()
+    assert [tuple(r) for r in got] == [(True, "passed_semantic"), (False, "blocked_category:climate"), (False, "blocked_category:sports"), (True, "passed_semantic"), (False, "no_scores"), (False, "no_scores")]
 
 
 def test_percentile_pooling(spark):
