@@ -187,10 +187,16 @@ REASON = R.package_sql(P.UPLIFTING).replace("regexp_like(", "regexp_matches(")
 
 @query(
     "score_empty_result",
-    q(f"SELECT id, r AS prefilter_reason, false AS passed_prefilter, false AS gatekeeper_applied, true AS unscored FROM (SELECT id, {REASON} AS r FROM tx) WHERE r IS NOT NULL", ARTICLES, TOPICAL, TEXT),
+    q(f"SELECT id, r AS prefilter_reason, r IS NULL AS passed_prefilter, false AS gatekeeper_applied, r IS NOT NULL AS unscored FROM (SELECT id, {REASON} AS r FROM tx)", ARTICLES, TOPICAL, TEXT),
 )
 def score_empty_result(spark, d):
-    """The default results of the rejected rows, and whether all that only a scorer gives is null."""
-    found = R.apply_package(topical(spark, d), P.UPLIFTING).select("id", S.empty_result(C("prefilter_reason")).alias("r")).filter("r IS NOT NULL")
+    """The default results of the rejected rows, and whether they lack all that only a scorer gives.
+
+    Other rows stay: a filter on the reason would be pushed below it, and the rules evaluated once more for it.
+    """
+    found = R.apply_package(topical(spark, d), P.UPLIFTING).select("id", S.empty_result(C("prefilter_reason")).alias("r"))
     unscored = C("r.scores").isNull() & C("r.weighted_average").isNull() & C("r.tier").isNull() & C("r.tier_description").isNull()
-    return found.select("id", "r.prefilter_reason", "r.passed_prefilter", "r.gatekeeper_applied", unscored.alias("unscored"))
+    return found.select(
+        "id", "r.prefilter_reason", F.coalesce("r.passed_prefilter", F.lit(True)).alias("passed_prefilter"),
+        F.coalesce("r.gatekeeper_applied", F.lit(False)).alias("gatekeeper_applied"), (C("r").isNotNull() & unscored).alias("unscored"),
+    )
