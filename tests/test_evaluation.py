@@ -253,3 +253,26 @@ def test_streams_stop_at_a_number_of_batches(spark, tmp_path):
 def test_cleaner_keeps_genuine_replacement_characters(spark):
     df = spark.createDataFrame([(bytearray("a�b".encode()),), (bytearray(b"a\xff b\xed\xa0\x80"),)], "b binary").selectExpr("cast(b as string) as t")
     assert [r.t for r in df.select(X.drop_invalid(F.col("t")).alias("t")).collect()] == ["a�b", "a b"]
+
+
+def test_manifest_reads_files_as_streams(spark, tmp_path):
+    """Files beyond what a row may hold, of odd names, packed and without a last newline."""
+    import hashlib
+
+    from lensmill.sources import writers
+
+    held = {"a b%20#?.jsonl": "ü\r\n\n{}".encode() * 3000, "x.json.gz": b"\x1f\x8b not gzip\n", "bom.txt": b"\xef\xbb\xbf\xff\n\nend"}
+    for name, data in held.items():
+        (tmp_path / "deep").mkdir(exist_ok=True)
+        (tmp_path / "deep" / name).write_bytes(data)
+    want = sorted((name, len(d), hashlib.sha256(d).hexdigest(), d.count(b"\n")) for name, d in held.items())
+    key = "spark.sql.sources.binaryFile.maxLength"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1000")
+    try:
+        assert sorted(tuple(r) for r in writers.manifest(spark, str(tmp_path)).collect()) == want
+    finally:
+        spark.conf.set(key, before)
+    # a file system that only Spark's readers open
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.manifest.link./in", f"file://{tmp_path}")
+    assert sorted(tuple(r) for r in writers.manifest(spark, "viewfs://manifest/in").collect()) == want
