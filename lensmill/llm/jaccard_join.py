@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from lensmill.llm.common import bounded_batches, materialize, text_or_empty, tidy
 from lensmill.llm.components import components
-from lensmill.llm.packing import KeyPacker, Packer, U, bitmap, bucket_count, by_bucket, in_bitmap, mix, packed_schema, spot, word_hashes
+from lensmill.llm.packing import START, Packer, RunPacker, U, bitmap, bucket_count, by_bucket, in_bitmap, mix, packed_schema, spot, unrun, word_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -269,19 +269,23 @@ def describe(docs: DataFrame, n: int, text: str = "text", seed: int = 0) -> Data
     return _documents(docs, text).mapInArrow(tidy(run), "doc_id bigint, n_shingles bigint, c1 bigint, c2 bigint, sketch binary, bytes bigint")
 
 
-#: In a posting's last field: this group has a set with too few segments. As a key: the same, later.
-SHORT, SHORT_KEY = 0xFFFFFFFF, (1 << 64) - 1
-POSTING = [np.uint32, np.int64, np.uint32]
+#: As the note of a posting or the tag of a shared key: this group has a set with too few segments. As a key: the same, later.
+SHORT_NOTE, SHORT, SHORT_KEY = 0xFFFF, 0xFFFFFFFF, (1 << 64) - 1
+#: The key, of which bit 30 says whether the group's number is odd; for each run of a class: its hash and its note.
+POSTING = [np.uint32, np.int64, np.uint16]
+ODD, SPARE_MOST = 30, 254
 
 
 def postings(docs: DataFrame, n: int, plan: Plan, buckets: int, text: str = "text", seed: int = 0) -> DataFrame:
-    """Packed (key, class, group and spare segments): every class of a task once.
+    """Packed (key, class, note): every class of a task once. The two groups of a class are told apart by the key's bit ``ODD``.
 
-    Spare: how many of a set's non-empty segments it could do without, N - H - 1; 0 in groups with one-deletion keys.
+    The note is the spare of the even group and that of the odd one, a byte each. Spare: how many of a set's non-empty
+    segments it could do without, N - H - 1, at most ``SPARE_MOST``; 0 in groups with one-deletion keys.
     """
+    free = ~U((1 << ODD) | START)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, packer, seen = Sets(n, seed), KeyPacker(buckets), set()
+        sets, packer, seen = Sets(n, seed), RunPacker(buckets), set()
         for batch in batches:
             for part in _slices(batch):
                 fresh, ids = [], []
@@ -295,11 +299,15 @@ def postings(docs: DataFrame, n: int, plan: Plan, buckets: int, text: str = "tex
                 index, g, m, q, h = plan.entries(fresh)
                 if index:
                     keys, owner, weight = segment_keys([fresh[i] for i in index], g, m, q)
-                    spare = np.minimum(np.where(q > 0, 0, np.maximum(weight - h - 1, 0)), (1 << 24) - 1)
-                    tag = (g.astype(np.uint32) << np.uint32(24)) | spare.astype(np.uint32)
-                    packer.add(keys, np.array(ids, dtype=np.int64)[np.array(index)][owner], tag[owner])
+                    spare = np.minimum(np.where(q > 0, 0, np.maximum(weight - h - 1, 0)), SPARE_MOST)
+                    at, odd = np.array(index), g & 1
+                    note = np.bincount(at, weights=spare << 8 * odd, minlength=len(fresh)).astype(np.uint16)
+                    order = np.argsort(at[owner], kind="stable")  # all keys of a class together
+                    keys, owner = keys[order], owner[order]
+                    keys = (keys & free) | (odd[owner].astype(np.uint64) << U(ODD))
+                    packer.add(keys, np.array(ids, dtype=np.int64)[at[owner]], note[at[owner]])
                     if len(bad := np.unique(g[weight < h + 1])):
-                        packer.add(mix(bad.astype(np.uint64)), bad.astype(np.int64), np.full(len(bad), SHORT, np.uint32))
+                        packer.add(mix(bad.astype(np.uint64)) & free, bad.astype(np.int64), np.full(len(bad), SHORT_NOTE, np.uint16))
                 if packer.full():
                     yield from packer.flush()
         yield from packer.flush()
@@ -308,14 +316,20 @@ def postings(docs: DataFrame, n: int, plan: Plan, buckets: int, text: str = "tex
 
 
 def shared_keys(packed: DataFrame, buckets: int) -> DataFrame:
-    """Of the postings, those whose key another class has too: packed (class, key, classes with the key, tag)."""
+    """Of the postings, those whose key another class has too: packed (class, key, classes with the key, tag).
 
-    def process(out: Packer, bucket: int, key, cls, tag) -> None:
-        short = tag == SHORT
+    The tag is the group's parity and, in the lower 24 bits, the class's spare there.
+    """
+
+    def process(out: Packer, bucket: int, key, cls, note) -> None:
+        key, cls, note = unrun(key, cls, note)
+        short = note == SHORT_NOTE
         if short.any():
             g = np.unique(cls[short])
             out.add(g.astype(np.uint64), np.full(len(g), SHORT_KEY, np.uint64), np.zeros(len(g), np.uint32), np.full(len(g), SHORT, np.uint32))
-            key, cls, tag = key[~short], cls[~short], tag[~short]
+            key, cls, note = key[~short], cls[~short], note[~short]
+        odd = (key >> np.uint32(ODD)).astype(np.uint32)
+        tag = (odd << np.uint32(24)) | ((note >> (8 * odd)) & np.uint32(0xFF))
         order = np.lexsort((tag, cls, key))
         key, cls, tag = key[order], cls[order], tag[order]
         new = np.ones(len(key), dtype=bool)
@@ -328,7 +342,7 @@ def shared_keys(packed: DataFrame, buckets: int) -> DataFrame:
         whole = (np.uint64(bucket) << U(32)) | key[many].astype(np.uint64)
         out.add(cls[many].astype(np.uint64), whole, often[many].astype(np.uint32), tag[many])
 
-    return by_bucket(packed, POSTING, buckets, process, packed_schema(4), repack=buckets)
+    return by_bucket(packed, POSTING, buckets, process, packed_schema(4), repack=buckets, runs=True)
 
 
 def rarest_keys(shared: DataFrame, buckets: int) -> DataFrame:
@@ -530,7 +544,8 @@ def similar(docs: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN, t
         if classes.filter("x <> y").isEmpty():
             break
         seed += 1
-    buckets = bucket_count(spark, found.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"])
+    # the fewer the buckets, the more keys of a class share a run
+    buckets = bucket_count(spark, found.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"], least=1)
     while True:
         packed = rarest_keys(shared_keys(postings(docs, n, Plan(num, den, wider), buckets, text, seed), buckets), buckets)
         runs = materialize(by_bucket(packed, [np.uint64, np.int64], buckets, _runs, "kind int, a bigint, b bigint, own bigint, blocks bigint"), "runs")

@@ -1,7 +1,7 @@
 """Token hashing and packed postings for the similarity joins.
 
 Postings are dealt by a bucket of their key as packed arrays (one row for each bucket and flush) instead of one row for
-each posting: the shuffle then carries 14 to 70 bytes a posting, and a task sorts plain arrays of one bucket at a time.
+each posting: the shuffle then carries 12 to 70 bytes a posting, and a task sorts plain arrays of one bucket at a time.
 The number of buckets follows the bytes of text, as counted: a bucket stands for ``BUCKET_BYTES`` of them, at any size of
 the input. A task that dealt to very many buckets would pack only a few postings a row, so beyond ``FAN`` buckets postings
 are dealt twice: first by ranges of buckets, then each range by its buckets.
@@ -71,9 +71,9 @@ def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, start
 
 
-def bucket_count(spark: SparkSession, text_bytes: int) -> int:
-    """One for each ``BUCKET_BYTES`` of text; of a small input enough to keep the session's partitions busy."""
-    return max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes // BUCKET_BYTES))
+def bucket_count(spark: SparkSession, text_bytes: int, least: int = 2) -> int:
+    """One for each ``BUCKET_BYTES`` of text; of a small input ``least`` for each of the session's partitions, to keep them busy."""
+    return max(least * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes // BUCKET_BYTES))
 
 
 class Packer:
@@ -94,19 +94,26 @@ class Packer:
     def full(self) -> bool:
         return self.held >= FLUSH
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if not self.held:
-            return
+    def dealt(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """What was gathered, in order of buckets: the buckets, where each begins and ends, and the arrays."""
         columns = [np.concatenate(c) for c in zip(*self.parts, strict=True)]
         self.parts, self.held = [], 0
         b = ((columns[0] >> U(32)) % self.buckets).astype(np.int64) // self.width
         order = np.argsort(b, kind="stable")
         b, columns = b[order], [c[order] for c in columns]
         cuts = np.flatnonzero(np.diff(b, prepend=-1))
-        ends = np.append(cuts[1:], len(b))
-        rows = [[c[s:e].tobytes() for c in columns] for s, e in zip(cuts, ends, strict=True)]
-        arrays = [pa.array(b[cuts].astype(np.int32)), *(pa.array(c, pa.binary()) for c in zip(*rows, strict=True))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["bucket", *(f"c{i}" for i in range(len(columns)))])
+        return b[cuts], cuts, np.append(cuts[1:], len(b)), columns
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        b, cuts, ends, columns = self.dealt()
+        yield _packed(b, [[c[s:e].tobytes() for c in columns] for s, e in zip(cuts, ends, strict=True)])
+
+
+def _packed(b: np.ndarray, rows: list[list[bytes]]) -> pa.RecordBatch:
+    arrays = [pa.array(b.astype(np.int32)), *(pa.array(c, pa.binary()) for c in zip(*rows, strict=True))]
+    return pa.RecordBatch.from_arrays(arrays, names=["bucket", *(f"c{i}" for i in range(len(arrays) - 1))])
 
 
 def packed_schema(n: int) -> str:
@@ -125,16 +132,48 @@ class KeyPacker(Packer):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), *batch.columns[2:]], names=batch.schema.names)
 
 
-def _spread(packed: DataFrame, dtypes: list, buckets: int) -> DataFrame:
+#: The bit of a key that says that its posting begins a run, in ``RunPacker``; callers leave it 0.
+START = 1 << 31
+
+
+class RunPacker(KeyPacker):
+    """Of the arrays after the keys, what is equal in neighbouring postings of a bucket is kept once: a run.
+
+    A set has many keys and each posting would repeat the set's number, which outweighs the key. ``unrun`` undoes it.
+    """
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        b, cuts, ends, (key, *columns) = self.dealt()
+        new = np.zeros(len(key), dtype=bool)
+        new[cuts] = True
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        key = key | (new.astype(np.uint64) << U(31))
+        if self.width == 1:
+            key = (key & U(0xFFFFFFFF)).astype(np.uint32)
+        columns, at = [c[new] for c in columns], np.append(0, np.cumsum(new))
+        yield _packed(b, [[key[s:e].tobytes(), *(c[at[s] : at[e]].tobytes() for c in columns)] for s, e in zip(cuts, ends, strict=True)])
+
+
+def unrun(key: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
+    """The arrays that a ``RunPacker`` was given: whole rows of it, one after the other."""
+    run = np.cumsum(key & key.dtype.type(START) != 0) - 1
+    return [key & ~key.dtype.type(START), *(c[run] for c in columns)]
+
+
+def _spread(packed: DataFrame, dtypes: list, buckets: int, runs: bool = False) -> DataFrame:
     """Deal ranges of buckets by bucket: a task holds one flush, whatever the size of a range."""
     n = len(dtypes)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = (KeyPacker if dtypes[0] is np.uint32 else Packer)(buckets, fine=True)
+        packer = (RunPacker if runs else KeyPacker if dtypes[0] is np.uint32 else Packer)(buckets, fine=True)
         full = [np.uint64, *dtypes[1:]]
         for batch in batches:
             for i in range(batch.num_rows):
-                packer.add(*(np.frombuffer(batch.column(k + 1)[i].as_py(), dtype=full[k]) for k in range(n)))
+                arrays = [np.frombuffer(batch.column(k + 1)[i].as_py(), dtype=full[k]) for k in range(n)]
+                packer.add(*(unrun(*arrays) if runs else arrays))
                 if packer.full():
                     yield from packer.flush()
         yield from packer.flush()
@@ -143,15 +182,16 @@ def _spread(packed: DataFrame, dtypes: list, buckets: int) -> DataFrame:
     return packed.repartitionById(ranges, "bucket").mapInArrow(tidy(run), packed_schema(n))
 
 
-def by_bucket(packed: DataFrame, dtypes: list, buckets: int, process: Callable[..., Iterable[pa.RecordBatch]], schema: str, repack: int = 0) -> DataFrame:
+def by_bucket(packed: DataFrame, dtypes: list, buckets: int, process: Callable[..., Iterable[pa.RecordBatch]], schema: str, repack: int = 0, runs: bool = False) -> DataFrame:
     """Deal packed rows by bucket and run ``process(*arrays)`` on each bucket's arrays.
 
-    A first type of 32 bits says that a ``KeyPacker`` made the rows. With ``repack``, a number of buckets,
+    A first type of 32 bits says that a ``KeyPacker`` made the rows; with ``runs`` a ``RunPacker`` did, and ``process`` gets
+    them as they are (``unrun``). With ``repack``, a number of buckets,
     ``process(packer, bucket, *arrays)`` adds its postings to a packer that the buckets of a task share, so that a task
     gives out a row for each of those buckets and flush.
     """
     if buckets > FAN:
-        packed = _spread(packed, dtypes, buckets)
+        packed = _spread(packed, dtypes, buckets, runs)
     # two buckets a task, exactly: by hash some tasks would get several times as many as others
     tasks = -(-buckets // 2)
     return by_group(packed.repartitionById(tasks, F.col("bucket") % tasks), dtypes, process, schema, repack)

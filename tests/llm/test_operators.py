@@ -732,3 +732,35 @@ def test_components(spark):
             want[root].add(n)
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [7, 3 * packing.FAN])
+def test_runs_are_given_back(buckets):
+    """A packer of runs, by buckets and by ranges of buckets."""
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    key = r.integers(0, 1 << 63, 5000, dtype=np.uint64) & ~np.uint64(packing.START)
+    cls = np.sort(r.integers(0, 300, 5000))
+    note = (cls % 7).astype(np.uint16)
+    packer = packing.RunPacker(buckets)
+    packer.add(key, cls, note)
+    (rows,) = packer.flush()
+    wide = packer.width > 1
+    types = [np.uint64 if wide else np.uint32, np.int64, np.uint16]
+    got = packing.unrun(*(np.frombuffer(b"".join(rows.column(i + 1).to_pylist()), dtype=t) for i, t in enumerate(types)))
+    order = np.argsort(((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64) // packer.width, kind="stable")
+    want = [key if wide else (key & np.uint64(0xFFFFFFFF)).astype(np.uint32), cls, note]
+    assert all((g == w[order]).all() for g, w in zip(got, want, strict=True))
+
+
+def test_postings_name_a_class_once_a_run(spark):
+    """At most ten bytes for each class and bucket beside the keys."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(500)), "a") for i in range(40)]
+    packed = jaccard_join.postings(docs(spark, rows), 4, jaccard_join.Plan(85, 100, {}), 8)
+    size = lambda c: F.sum(F.octet_length(c))
+    keys, classes, notes = packed.agg(size("c0"), size("c1"), size("c2")).first()
+    assert keys > 40 * 4 * 60
+    assert classes <= 40 * 8 * 8 and notes <= 40 * 8 * 2
