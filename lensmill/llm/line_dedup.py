@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lensmill.llm.common import bounded_batches, fresh, materialize, text_or_empty, tidy
-from lensmill.llm.packing import GOLD, KeyPacker, Packer, U, bitmap, bucket_count, by_bucket, by_group, in_bitmap, mix, packed_schema, spot, word_hashes
+from lensmill.llm.packing import BITMAP_BITS, GOLD, KeyPacker, Packer, U, bitmap, bucket_count, by_bucket, by_group, in_bitmap, mix, packed_schema, spot, word_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -73,20 +73,25 @@ class Lines:
     def __init__(self, pieces: list[tuple[int, int, int, bytes]]):
         buf = np.frombuffer(b"\n".join(p[3] for p in pieces), dtype=np.uint8)
         words, start = word_hashes(buf)
-        breaks = np.concatenate(([0], np.cumsum(buf == 10)))
-        line = breaks[start].astype(np.uint64)
-        flat = np.sort(line << U(TOKEN_BITS) | (words & TOKEN))
+        breaks = np.flatnonzero(buf == 10)
+        ends = np.searchsorted(start, breaks)  # the words before each line break
+        flat = np.repeat(np.arange(len(breaks) + 1, dtype=np.uint64) << U(TOKEN_BITS), np.diff(ends, prepend=0, append=len(start)))
+        words &= TOKEN
+        flat |= words
+        flat.sort()
         new = np.ones(len(flat), dtype=bool)
-        new[1:] = flat[1:] != flat[:-1]
+        np.not_equal(flat[1:], flat[:-1], out=new[1:])
         self.flat = flat[new]
         self.token = self.flat & TOKEN
-        here = (self.flat >> U(TOKEN_BITS)).astype(np.int64)
-        self.first = np.flatnonzero(np.diff(here, prepend=-1))
+        here = (self.flat >> U(TOKEN_BITS)).view(np.int64)
+        new = np.ones(len(here), dtype=bool)
+        np.not_equal(here[1:], here[:-1], out=new[1:])
+        self.first = np.flatnonzero(new)
         self.size = np.diff(np.append(self.first, len(here)))
         self.of = np.repeat(np.arange(len(self.first)), self.size)
         line = here[self.first]
         offsets = np.concatenate(([0], np.cumsum([len(p[3]) + 1 for p in pieces])))[:-1]
-        starts = breaks[np.minimum(offsets, len(buf))]  # the first line of each piece
+        starts = np.searchsorted(breaks, offsets)  # the first line of each piece
         self.piece = np.searchsorted(starts, line, side="right") - 1
         self.doc = np.array([p[0] for p in pieces], dtype=np.int64)[self.piece]
         self.tie = np.array([p[1] for p in pieces], dtype=np.int64)[self.piece]
@@ -173,7 +178,7 @@ def _ties(tie: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _pieces(doc: int, tie: int, data: bytes) -> Iterator[tuple[int, int, int, bytes]]:
     """A document, cut between lines if it has very many."""
-    if data.count(b"\n") < MAX_LINES:
+    if len(data) < MAX_LINES or data.count(b"\n") < MAX_LINES:
         yield doc, tie, 0, data
         return
     lines = data.split(b"\n")
@@ -436,16 +441,12 @@ def candidates(docs: DataFrame, codes, num: int, den: int, buckets: int, text: s
 
 def place(doc: np.ndarray, tie: np.ndarray, line: np.ndarray) -> np.ndarray:
     """Where (doc, tie, line) stands in the bitmap of undecided lines."""
-    from lensmill.llm.packing import BITMAP_BITS
-
     with np.errstate(over="ignore"):
         return (mix((doc.astype(np.uint64) + tie.astype(np.uint64)) * U(0x9FB21C651E98DF25) + line.astype(np.uint64)) & U(BITMAP_BITS - 1)).astype(np.int64)
 
 
 def places_bitmap(lines: DataFrame) -> np.ndarray:
     """A bitmap of (doc, tie, line): each task's is or-ed into at most its fixed size."""
-    from lensmill.llm.packing import BITMAP_BITS
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(BITMAP_BITS, dtype=bool)
         for b in batches:
@@ -464,7 +465,7 @@ def places_bitmap(lines: DataFrame) -> np.ndarray:
 def lines_of(docs: DataFrame, pairs: DataFrame, text: str = "text", tied: bool = False) -> DataFrame:
     """(doc, tie, line, data) of all lines of ``pairs``: documents sieved by a bitmap, then joined exactly."""
     ends = pairs.select(*X).toDF("doc", "tie", "line").union(pairs.select(*Y))
-    wanted = materialize(ends.groupBy("doc", "tie").agg(F.collect_set("line").alias("lines")), "wanted")
+    wanted = materialize(ends.distinct().groupBy("doc", "tie").agg(F.collect_list("line").alias("lines")), "wanted")
     bits = bitmap(wanted, "doc")
 
     def sieve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -543,8 +544,10 @@ def strip(docs: DataFrame, gone: DataFrame, text: str = "text") -> DataFrame:
     Where ``docs`` has columns of these names, lines are appended to the new ones' until they differ.
     """
     doc, tie, lost, n_all, n_gone = (fresh(docs.columns, n) for n in ("doc", "tie", "lost", "n_lines", "n_removed"))
-    per_doc = gone.groupBy(F.col("doc").alias(doc), F.col("tie").alias(tie)).agg(F.collect_set(F.struct("line", "class")).alias(lost))
     tied = not gone.filter("tie <> 0").isEmpty()
+    # a doc_id that one row has says which text is meant; a tie is a hash, so the class of each line is looked at as well
+    lines = F.struct("line", "class") if tied else F.struct("line")
+    per_doc = gone.groupBy(F.col("doc").alias(doc), F.col("tie").alias(tie)).agg(F.collect_set(lines).alias(lost))
     keyed = docs.withColumns({doc: _doc(), tie: _tie(text, tied)})
     joined = keyed.join(per_doc, [doc, tie], "left").select(*docs.columns, lost)
     at = docs.columns.index(text)
@@ -553,19 +556,25 @@ def strip(docs: DataFrame, gone: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, n_lines = [t.as_py() for t in b.column(at)], []
-            gone = b.column(b.num_columns - 1).to_pylist()
-            lines = [t.encode().split(b"\n") if t is not None else [] for t in texts]
+            texts = b.column(at).cast(pa.binary()).to_pylist()
+            lines = [t.split(b"\n") if t is not None else [] for t in texts]
             n_lines = [sum(1 for x in row if x.strip()) for row in lines]
-            asked = [(k, g["line"], g["class"]) for k, row in enumerate(gone) for g in row or () if g["line"] < len(lines[k])]
+            lists = b.column(b.num_columns - 1)
+            inner = lists.flatten()
+            number, cls = inner.field("line").to_pylist(), inner.field("class").to_pylist() if tied else None
+            size = np.asarray(lists.value_lengths().fill_null(0))
+            asked = [(k, n) for k, n in zip(np.repeat(np.arange(len(size)), size).tolist(), number, strict=True)]
+            if tied:
+                own = classes_of([lines[k][n] if n < len(lines[k]) else b"" for k, n in asked])
+                asked = [kn for kn, c, o in zip(asked, cls, own, strict=True) if c == o]
             drop: list[set[int]] = [set() for _ in texts]
-            for (k, n, c), own in zip(asked, classes_of([lines[k][n] for k, n, _ in asked]), strict=True):
-                if own == c:
+            for k, n in asked:
+                if n < len(lines[k]):
                     drop[k].add(n)
             n_removed = [len(x) for x in drop]
-            texts = [b"\n".join(x for i, x in enumerate(lines[k]) if i not in drop[k]).decode() if drop[k] else t for k, t in enumerate(texts)]
+            texts = [b"\n".join(x for i, x in enumerate(lines[k]) if i not in drop[k]) if drop[k] else t for k, t in enumerate(texts)]
             columns = list(b.columns[:-1])
-            columns[at] = pa.array(texts, b.column(at).type)
+            columns[at] = pa.array(texts, pa.binary()).cast(b.column(at).type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], names=names)
 
     return joined.mapInArrow(tidy(run), schema)

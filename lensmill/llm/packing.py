@@ -34,9 +34,13 @@ GOLD, M1, M2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111E
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose output bits depend on all input bits."""
-    x = (x ^ (x >> U(30))) * M1
-    x = (x ^ (x >> U(27))) * M2
-    return x ^ (x >> U(31))
+    y = x >> U(30)
+    y ^= x
+    y *= M1
+    y ^= y >> U(27)
+    y *= M2
+    y ^= y >> U(31)
+    return y
 
 
 LONG_WORD = 256
@@ -48,26 +52,37 @@ def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
     All words advance together, eight bytes at a time; the few very long ones are hashed one by one.
     """
-    blank = (buf == 32) | ((buf >= 9) & (buf <= 13))
-    inside = ~blank
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    size = end - start
+    blank = np.ones(len(buf) + 2, dtype=bool)
+    np.less(buf - np.uint8(9), 5, out=blank[1:-1])
+    blank[1:-1] |= buf == 32
+    edge = np.flatnonzero(blank[1:] != blank[:-1])
+    start, size = edge[::2].copy(), edge[1::2] - edge[::2]
     out = size.astype(np.uint64) * GOLD
     padded = np.concatenate((buf, np.zeros(16, np.uint8)))
     eights = np.lib.stride_tricks.as_strided(padded, shape=(len(buf) + 8, 8), strides=(1, 1))
     with np.errstate(over="ignore"):
-        at = np.flatnonzero(size <= LONG_WORD)
-        pos, rest = start[at], size[at]
-        while len(at):
-            piece = np.ascontiguousarray(eights[pos]).view(np.uint64)[:, 0] & _MASKS[np.minimum(rest, 8)]
-            out[at] = mix((out[at] ^ piece) * GOLD)
-            more = rest > 8
-            at, pos, rest = at[more], pos[more] + 8, rest[more] - 8
+        at = None  # all words
+        pos, rest, was = start, size, out
+        if len(size) and size.max() > LONG_WORD:
+            at = np.flatnonzero(size <= LONG_WORD)
+            pos, rest, was = start[at], size[at], out[at]
+        while len(pos):
+            piece = eights[pos].view(np.uint64)[:, 0]
+            piece &= _MASKS[np.minimum(rest, 8)]
+            piece ^= was
+            piece *= GOLD
+            piece = mix(piece)
+            if at is None:
+                out = piece
+            else:
+                out[at] = piece
+            more = np.flatnonzero(rest > 8)
+            at = more if at is None else at[more]
+            pos, rest, was = pos[more] + 8, rest[more] - 8, piece[more]
     for i in np.flatnonzero(size > LONG_WORD):
         from xxhash import xxh64_intdigest
 
-        out[i] = xxh64_intdigest(buf[start[i] : end[i]].tobytes(), 7)
+        out[i] = xxh64_intdigest(buf[start[i] : start[i] + size[i]].tobytes(), 7)
     return out, start
 
 

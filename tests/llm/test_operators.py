@@ -380,6 +380,43 @@ def test_lines_in_long_runs(spark, monkeypatch):
     assert {(x.doc, x.line) for x in line_dedup.removed(df).collect()} == brute_lines(rows)
 
 
+def test_lines_are_hashed_again_only_where_a_doc_id_is_shared(spark, monkeypatch):
+    rows = [(1, "a b c\nd e f\n"), (2, "x\na b c\n\nd e f g"), (3, None)]
+    for tied in (False, True):
+        df = docs(spark, [(i if not tied else 1, t, "a") for i, t in rows])
+        gone = line_dedup.removed(df, 75)
+        with monkeypatch.context() as m:
+            if not tied:
+                m.setattr(line_dedup, "classes_of", None)
+            got = Counter((r.text, r.n_lines, r.n_removed) for r in line_dedup.strip(df, gone).collect())
+        first = {r.text: r for r in df.withColumn("h", F.xxhash64(F.lit(False), F.col("text").cast("binary"))).collect()}
+        if not tied or first[rows[0][1]].h < first[rows[1][1]].h:
+            assert got == Counter([(rows[0][1], 2, 0), ("x\n", 3, 2), (None, 0, 0)])
+        else:
+            assert got == Counter([("", 2, 2), (rows[1][1], 3, 0), (None, 0, 0)])
+
+
+def test_lines_with_other_words_between_shared_ones(spark):
+    r = random.Random(6)
+    rows = []
+    for i in range(120):
+        w = [f"g{i // 6}w{k}" for k in range(r.choice([4, 5, 10, 25]))]
+        rows.append((i, " ".join(x if r.random() > 0.1 else f"c{r.randint(0, 30)}" for x in w)))
+    want = brute_lines(rows)
+    assert 10 < len(want) < 90
+    assert {(x.doc, x.line) for x in line_dedup.removed(docs(spark, [(i, t, "a") for i, t in rows])).collect()} == want
+
+
+def test_word_hashes_tell_words_apart():
+    words = [b"a", b"b", b"a\x00", b"\x00", b"abcdefgh", b"abcdefghi", b"q" * 256, b"q" * 257, b"q" * 700, "é\x85".encode(), b"\x1c"]
+    buf = b" ".join([b"", *words, b"\t\n\x0b\x0c\r", *words, b""])
+    got, start = packing.word_hashes(packing.np.frombuffer(buf, dtype=packing.np.uint8))
+    n = len(words)
+    assert got[:n].tolist() == got[n:].tolist() and len(set(got.tolist())) == n
+    assert [buf[s:].split()[0] for s in start] == words * 2
+    assert len(packing.word_hashes(packing.np.zeros(0, packing.np.uint8))[0]) == 0
+
+
 def test_hot_classes_are_posted_once(monkeypatch):
     hot, posted = line_dedup.Hot(), []
     for pieces in ([(5, 0, 0, b"a b\na b\nc")], [(7, 0, 0, b"a b\na b")], [(3, 0, 0, b"b a\na b")], [(4, 0, 0, b"a b\na b\nd\nd")]):
